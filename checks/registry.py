@@ -62,20 +62,19 @@ def wire_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     Which rows are damaged depends on the source table's own event type and
     value, and every kind of damage the decoder tells apart occurs.
     """
-    events = playback_events(spark, sf_dir)
-    nested = decode.nest_events(events).select(
-        "event", F.timestamp_millis("event.timestamp").alias("timestamp"))
-    last = F.substring("event.eventId", -2, 2)
-    text = F.to_json("event")
-    damaged = (F.when(last == "07", F.substring(text, 1, 40))
-                .when(last == "17", F.to_json(F.col("event").withField("userId", F.lit(None)
-                                                                       .cast("string"))))
-                .when(last == "27", F.to_json(F.col("event").withField("eventType",
-                                                                       F.lit("REWIND"))))
-                .when(last == "37", F.to_json(F.col("event").withField(
-                    "timestamp", F.lit(None).cast("bigint"))))
-                .otherwise(text))
-    return nested.select(damaged.alias("value"), "timestamp")
+    last = F.substring("event_id", -2, 2)
+    events = playback_events(spark, sf_dir).select(
+        "*", last.alias("last"), F.timestamp_millis(F.unix_millis("event_timestamp"))
+        .alias("timestamp"))
+    damaged = (events
+               .withColumn("user_id", F.when(F.col("last") != "17", F.col("user_id")))
+               .withColumn("event_type", F.when(F.col("last") == "27", "REWIND")
+                           .otherwise(F.col("event_type")))
+               .withColumn("event_timestamp", F.when(F.col("last") != "37",
+                                                     F.col("event_timestamp"))))
+    length = F.when(F.col("last") == "07", 40).otherwise(2_147_483_647)
+    return decode.nest_events(damaged, "last", "timestamp").select(
+        F.substring(F.to_json("event"), F.lit(1), length).alias("value"), "timestamp")
 
 
 @register("decode_events")

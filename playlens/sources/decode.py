@@ -31,7 +31,9 @@ def decode_events(raw: DataFrame, fmt: str = "json", avro_schema: str | None = N
         unreadable = F.col("event").isNull()
     else:
         raise ValueError(f"unknown wire format: {fmt}")
-    with_event = raw.withColumn("event", parsed)
+    # As a generator the parse is evaluated once per row: a filter on its result
+    # cannot be pushed below it, which would repeat the parse in every condition.
+    with_event = raw.select("*", F.explode(F.array(parsed)).alias("event"))
     return with_event.withColumn("reject_reason", _reject_reason(unreadable))
 
 
@@ -131,8 +133,8 @@ def flatten_events(decoded: DataFrame, broker_time: str | None = None) -> DataFr
     )
 
 
-def nest_events(flat: DataFrame) -> DataFrame:
-    """Flat row back to the nested wire record, as column `event`.
+def nest_events(flat: DataFrame, *keep: str) -> DataFrame:
+    """Flat row back to the nested wire record, as column `event`; `keep` stays beside it.
 
     Used to replay a history through the decoder; payload fields the flat row
     does not carry are null.
@@ -178,5 +180,5 @@ def nest_events(flat: DataFrame) -> DataFrame:
         "deviceInfo": F.when(has_device, struct_of(RAW_EVENT["deviceInfo"].dataType, device)),
         "payload": F.when(has_payload, payload),
     }
-    return flat.select(F.struct(*[fields[f.name].alias(f.name) for f in RAW_EVENT.fields])
-                        .alias("event"))
+    return flat.select(*keep, F.struct(*[fields[f.name].alias(f.name)
+                                         for f in RAW_EVENT.fields]).alias("event"))
