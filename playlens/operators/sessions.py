@@ -44,8 +44,9 @@ def user_sessions(events: DataFrame, gap: str = "30 minutes") -> DataFrame:
     ).agg(F.min("event_timestamp").alias("first_at"), F.max("event_timestamp").alias("last_at"),
           *_measures())
 
-    spans = summed.groupBy("user_id", "span").agg(
-        F.min("first_at").alias("first_at"), F.max("last_at").alias("last_at"))
+    # a second scan, of two columns
+    spans = events.groupBy("user_id", time_span("event_timestamp", gap).alias("span")).agg(
+        F.min("event_timestamp").alias("first_at"), F.max("event_timestamp").alias("last_at"))
     by_time = Window.partitionBy("user_id").orderBy("span")
     silence = (F.unix_micros("first_at") - F.unix_micros(F.lag("last_at").over(by_time)))
     opens = silence.isNull() | (silence > interval_micros(gap))

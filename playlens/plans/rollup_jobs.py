@@ -2,11 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import datetime
 
-from playlens.operators import rollup
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from playlens.operators import quality, rollup
+from playlens.plans import files
+from playlens.plans.layout import read_history
+from playlens.plans.replace import days_between, replace_scope
 
 TARGETS = ("hourly", "daily", "all")
+HOURLY_PARTITIONS = ["event_date", "event_hour"]
+DAILY_PARTITIONS = ["event_date"]
+
+
+def previous_hour(now: datetime.datetime) -> tuple[str, int]:
+    """Date and hour a run at `now` (UTC) should process."""
+    before = now - datetime.timedelta(hours=1)
+    return str(before.date()), before.hour
+
+
+def has_rows(spark: SparkSession, path: str, start: str, end: str) -> bool:
+    """Whether a day-partitioned table exists and holds a row in [start, end]."""
+    folders = [d for d in days_between(start, end)
+               if files.exists(spark, f"{path}/event_date={d}")]
+    if not folders:
+        return False
+    found = spark.read.option("basePath", path).parquet(
+        *[f"{path}/event_date={d}" for d in folders])
+    return not found.isEmpty()
 
 
 def backfill_frames(history: DataFrame, start: str, end: str, target: str = "all"
@@ -17,3 +42,79 @@ def backfill_frames(history: DataFrame, start: str, end: str, target: str = "all
     hourly = rollup.hourly_content_stats(history, start=start, end=end)
     frames = {"hourly": hourly, "daily": rollup.daily_content_stats(hourly)}
     return frames if target == "all" else {target: frames[target]}
+
+
+def _processed(df: DataFrame) -> DataFrame:
+    return df.withColumn("processed_at", F.current_timestamp())
+
+
+def run_hour(spark: SparkSession, history_path: str, out_path: str, date: str, hour: int = 0
+             ) -> int:
+    """Recomputes one hour of the hourly table; 0 and no change without events."""
+    if not has_rows(spark, history_path, date, date):
+        return 0
+    history = read_history(spark, history_path)
+    of_hour = history.filter((F.col("event_date") == F.lit(date).cast("date"))
+                             & (F.col("event_hour") == hour))
+    if of_hour.isEmpty():
+        return 0
+    stats = rollup.hourly_content_stats(history, date=date, hour=hour)
+    return replace_scope(spark, _processed(stats), out_path, HOURLY_PARTITIONS,
+                         [f"event_date={date}/event_hour={hour}"])
+
+
+def backfill(spark: SparkSession, history_path: str, hourly_path: str, daily_path: str,
+             start: str, end: str, target: str = "all") -> dict[str, int]:
+    """Recomputes a date range; returns rows written per table.
+
+    The daily table is built from the stored hourly one, after it.
+    """
+    if target not in TARGETS:
+        raise ValueError(f"target must be one of {TARGETS}")
+    scope = [f"event_date={day}" for day in days_between(start, end)]
+    written = {}
+    if target in ("hourly", "all"):
+        written["hourly"] = 0
+        if has_rows(spark, history_path, start, end):
+            stats = rollup.hourly_content_stats(read_history(spark, history_path),
+                                                start=start, end=end)
+            written["hourly"] = replace_scope(spark, _processed(stats), hourly_path,
+                                              HOURLY_PARTITIONS, scope)
+    if target in ("daily", "all"):
+        written["daily"] = 0
+        if has_rows(spark, hourly_path, start, end):
+            hourly = spark.read.parquet(hourly_path).filter(
+                F.col("event_date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+            written["daily"] = replace_scope(
+                spark, _processed(rollup.daily_content_stats(hourly)), daily_path,
+                DAILY_PARTITIONS, scope)
+    return written
+
+
+def rebuild_and_swap(spark: SparkSession, history_path: str, new_path: str, view_name: str,
+                     start: str, end: str) -> bool:
+    """Rebuilds the hourly table beside the live one and switches a view to it.
+
+    The switch happens only when every title and day of the new table adds up to
+    the events of the history.
+    """
+    history = read_history(spark, history_path).filter(
+        F.col("event_date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+    stats = rollup.hourly_content_stats(history)
+    replace_scope(spark, _processed(stats), new_path, HOURLY_PARTITIONS,
+                  [f"event_date={day}" for day in days_between(start, end)])
+    rebuilt = spark.read.parquet(new_path)
+    keys = ["content_id", "event_date"]
+    counted = rebuilt.groupBy(*keys).agg(F.sum("total_events").alias("rows_rebuilt"))
+    expected = history.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows_expected"))
+    wrong = expected.join(counted, keys, "full_outer").filter(
+        ~F.col("rows_expected").eqNullSafe(F.col("rows_rebuilt")))
+    if not wrong.isEmpty():
+        return False
+    rebuilt.createOrReplaceTempView(view_name)
+    return True
+
+
+def reconciles(hot: DataFrame, cold: DataFrame, keys: list[str]) -> bool:
+    """Whether two stores hold the same number of rows for every key."""
+    return quality.reconcile(hot, cold, keys).filter(F.col("status") != "match").isEmpty()
