@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import logging
-import math
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +13,8 @@ log = logging.getLogger(__name__)
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 MIN_INPUT_FILES = 2
+# Fixed value: folder name of a null partition value.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 def table_stats(spark: SparkSession, path: str) -> DataFrame:
@@ -54,8 +55,9 @@ def compact_partitions(spark: SparkSession, path: str, partition_by: list[str],
         *[f"{path}/{row['partition']}" for row in crowded])
     plan = spark.createDataFrame([(r["partition"], r["slots"]) for r in crowded],
                                  "partition string, slots int")
-    folder = F.concat_ws("/", *[F.concat(F.lit(f"{c}="), F.col(c).cast("string"))
-                                for c in partition_by])
+    folder = F.concat_ws("/", *[
+        F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit(NULL_PARTITION)))
+        for c in partition_by])
     placed = source.withColumn("partition", folder).join(plan, "partition")
     slot = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("slots"))
     spread = placed.withColumn("slot", slot).repartition(*partition_by, "slot")
@@ -94,6 +96,3 @@ def maintain_tables(spark: SparkSession, tables: dict[str, list[str]],
             outcome[path] = False
     return outcome
 
-
-def estimated_files(total_bytes: int, target_bytes: int = TARGET_FILE_BYTES) -> int:
-    return max(1, math.ceil(total_bytes / target_bytes))

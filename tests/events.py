@@ -1,0 +1,36 @@
+"""Small hand-made event sets."""
+
+from __future__ import annotations
+
+import datetime
+
+from playlens.sources.schema import FLAT_EVENT
+
+UTC = datetime.timezone.utc
+DEFAULTS = {"user_id": "u1", "device_id": "d1", "session_id": "s1", "content_id": "c1",
+            "event_type": "PROGRESS"}
+
+
+def at(text: str) -> datetime.datetime:
+    """`10:00:00` on the first of January 2024, or a full date and time."""
+    if len(text) < 19:
+        text = f"2024-01-01 {text}"
+    return datetime.datetime.fromisoformat(text).replace(tzinfo=UTC)
+
+
+def make_events(spark, rows: list[dict]):
+    filled = []
+    for number, row in enumerate(rows):
+        known = {**DEFAULTS, "event_id": f"e{number:04d}", **row}
+        if isinstance(known.get("event_timestamp"), str):
+            known["event_timestamp"] = at(known["event_timestamp"])
+        filled.append(tuple(known.get(f.name) for f in FLAT_EVENT.fields))
+    return spark.createDataFrame(filled, FLAT_EVENT)
+
+
+def rows_of(df) -> list[dict]:
+    return [row.asDict() for row in df.collect()]
+
+
+def as_set(df) -> set:
+    return {tuple(str(v) for v in row) for row in df.collect()}
