@@ -13,6 +13,7 @@ log = logging.getLogger(__name__)
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 MIN_INPUT_FILES = 2
+FILES_PER_JOB = 4000
 # Fixed value: folder name of a null partition value.
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
@@ -32,41 +33,60 @@ def partition_stats(spark: SparkSession, path: str) -> DataFrame:
 
 
 def compact_partitions(spark: SparkSession, path: str, partition_by: list[str],
-                       target_bytes: int = TARGET_FILE_BYTES,
-                       sort_by: list[str] | None = None) -> int:
+                       target_bytes: int = TARGET_FILE_BYTES, sort_by: list[str] | None = None,
+                       files_per_job: int = FILES_PER_JOB) -> int:
     """Rewrites partitions that hold more files than their size calls for.
 
-    One job for all of them: rows are shuffled by (partition, slot) with as many
-    slots as the partition needs files, and the new files replace the old ones
-    when the job commits. Returns the number of partitions rewritten. What the
-    driver sees is one line per partition folder.
+    A partition gets as many slots as its size calls for files; rows are dealt
+    over the slots and each slot becomes one file. Partitions are taken in jobs
+    of bounded shuffle width, and the new files of a job replace the old ones
+    when it commits, so an interrupted run keeps what it finished. Returns the
+    number of partitions rewritten. What the driver sees is one line per
+    partition folder.
     """
     wanted = F.greatest(F.lit(1), F.ceil(F.col("total_bytes") / F.lit(float(target_bytes))))
     crowded = (partition_stats(spark, path).withColumn("slots", wanted.cast("int"))
                .filter((F.col("file_count") >= MIN_INPUT_FILES)
                        & (F.col("file_count") > F.col("slots")))
-               .select("partition", "slots").collect())
+               .select("partition", "slots").orderBy("partition").collect())
     if not crowded:
         return 0
     if not partition_by:
         _rewrite_whole(spark, path, crowded[0]["slots"], sort_by)
         return 1
-    source = spark.read.option("basePath", path).parquet(
-        *[f"{path}/{row['partition']}" for row in crowded])
-    plan = spark.createDataFrame([(r["partition"], r["slots"]) for r in crowded],
-                                 "partition string, slots int")
+    for job in _jobs([(row["partition"], row["slots"]) for row in crowded], files_per_job):
+        _rewrite_partitions(spark, path, partition_by, job, sort_by)
+    return len(crowded)
+
+
+def _jobs(crowded: list[tuple[str, int]], files_per_job: int) -> list[list[tuple[str, int, int]]]:
+    """Groups partitions; each entry is (partition, slots, first slot of the job)."""
+    jobs, used = [[]], 0
+    for partition, slots in crowded:
+        if jobs[-1] and used + slots > files_per_job:
+            jobs.append([])
+            used = 0
+        jobs[-1].append((partition, slots, used))
+        used += slots
+    return jobs
+
+
+def _rewrite_partitions(spark: SparkSession, path: str, partition_by: list[str],
+                        job: list[tuple[str, int, int]], sort_by: list[str] | None) -> None:
+    source = spark.read.option("basePath", path).parquet(*[f"{path}/{p}" for p, _, _ in job])
+    plan = spark.createDataFrame(job, "partition string, slots int, first_slot int")
     folder = F.concat_ws("/", *[
         F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit(NULL_PARTITION)))
         for c in partition_by])
-    placed = source.withColumn("partition", folder).join(plan, "partition")
-    slot = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("slots"))
-    spread = placed.withColumn("slot", slot).repartition(*partition_by, "slot")
+    dealt = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("slots")).cast("int")
+    placed = source.withColumn("partition", folder).join(plan, "partition").withColumn(
+        "slot", F.col("first_slot") + dealt)
+    spread = placed.repartitionById(sum(slots for _, slots, _ in job), "slot")
     if sort_by:
         spread = spread.sortWithinPartitions(*partition_by, *sort_by)
-    (spread.drop("partition", "slots", "slot").write.mode("overwrite")
+    (spread.drop("partition", "slots", "first_slot", "slot").write.mode("overwrite")
            .options(partitionOverwriteMode="dynamic", compression="zstd")
            .partitionBy(*partition_by).parquet(path))
-    return len(crowded)
 
 
 def _rewrite_whole(spark: SparkSession, path: str, slots: int, sort_by: list[str] | None) -> None:
