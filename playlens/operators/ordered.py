@@ -41,25 +41,54 @@ def first_rows_per_key(df: DataFrame, keys: list[str], order: list[Column], n: i
               .filter(F.col("row_no") <= n))
 
 
+# A group this large is cut into finer time slices, and at most so many groups
+# are: the list of them is broadcast and must have a bound. A group outside the
+# list holds less than one part in MAX_SPLIT_GROUPS of all rows.
+ROWS_PER_GROUP = 2_000_000
+MAX_SPLIT_GROUPS = 10_000
+
+
+def time_slices(df: DataFrame, keys: list[str], ts: str, width: str,
+                rows_per_group: int = ROWS_PER_GROUP) -> DataFrame:
+    """Adds `span` and `slice`: consecutive stretches of time of a key.
+
+    Spans have a fixed width. A (key, span) with more than `rows_per_group` rows
+    is cut into as many slices as it exceeds that, so that no group of
+    (key, span, slice) grows with the traffic of a hot key.
+    """
+    width_us = interval_micros(width)
+    placed = df.withColumn("span", time_span(ts, width))
+    crowded = (placed.groupBy(*keys, "span").agg(F.count(F.lit(1)).alias("rows"))
+               .filter(F.col("rows") > rows_per_group)
+               .orderBy(F.desc("rows")).limit(MAX_SPLIT_GROUPS)
+               .select(*keys, "span", F.ceil(F.col("rows") / rows_per_group).alias("slices")))
+    inside = F.pmod(F.unix_micros(ts), F.lit(width_us))
+    slice_us = F.greatest(F.call_function("div", F.lit(width_us), F.col("slices")), F.lit(1))
+    number = F.when(F.col("slices").isNull(), F.lit(0).cast("bigint")).otherwise(
+        F.call_function("div", inside, slice_us))
+    return (placed.join(F.broadcast(crowded), [*keys, "span"], "left")
+                  .withColumn("slice", number).drop("slices"))
+
+
 def with_previous(df: DataFrame, keys: list[str], ts: str, tie: str, columns: list[str],
-                  width: str = "1 hour") -> DataFrame:
+                  width: str = "1 hour", rows_per_group: int = ROWS_PER_GROUP) -> DataFrame:
     """Adds `prev`: the struct of `columns` from the preceding row of the key.
 
-    Rows are ordered by (ts, tie). The window runs per (key, time span), so the
-    rows of one key are spread over as many groups as it has active spans; the
-    value that crosses a span border comes from the last row of the key's
-    previous span, of which there is one per span. Exact, whatever the width.
+    Rows are ordered by (ts, tie). The window runs per (key, time slice), so the
+    rows of one key are spread over as many groups as it has active slices; the
+    value that crosses a border comes from the last row of the key's previous
+    slice, of which there is one per slice. Exact, whatever the width.
     """
-    placed = df.withColumn("span", time_span(ts, width))
-    group = [*keys, "span"]
+    placed = time_slices(df, keys, ts, width, rows_per_group)
+    group = [*keys, "span", "slice"]
     inside = Window.partitionBy(*group).orderBy(ts, tie)
     local = placed.withColumn("prev", F.lag(F.struct(*columns)).over(inside))
 
     tails = placed.groupBy(*group).agg(
         F.max_by(F.struct(*columns), F.struct(ts, tie)).alias("tail"))
-    across = Window.partitionBy(*keys).orderBy("span")
+    across = Window.partitionBy(*keys).orderBy("span", "slice")
     carried = tails.select(*group, F.lag("tail").over(across).alias("carried"))
 
     return (local.join(carried, group, "left")
                  .withColumn("prev", F.coalesce("prev", "carried"))
-                 .drop("span", "carried"))
+                 .drop("span", "slice", "carried"))
