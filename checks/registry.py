@@ -42,9 +42,10 @@ def comparable(df: DataFrame) -> DataFrame:
     return df.select(*columns)
 
 
-def on_events(name: str, build: Callable[[DataFrame], DataFrame]) -> None:
+def on_events(name: str, build: Callable[[DataFrame], DataFrame], settled: bool = False) -> None:
     """Registers a query that needs the playback events only."""
-    QUERIES[name] = lambda spark, sf_dir: comparable(build(playback_events(spark, sf_dir)))
+    QUERIES[name] = lambda spark, sf_dir: comparable(
+        build(playback_events(spark, sf_dir, settled)))
 
 
 def register(name: str):
@@ -92,7 +93,7 @@ def _(spark, sf_dir):
 
 @register("hot_cold_join")
 def _(spark, sf_dir):
-    events = playback_events(spark, sf_dir)
+    events = playback_events(spark, sf_dir, settled=True)
     return enrich.hot_cold_join(views.user_content_progress(events), events)
 
 
@@ -102,15 +103,17 @@ on_events("events_by_user", views.events_by_user)
 on_events("events_by_session",
           lambda e: views.events_by_session(with_payload_json(e)))
 on_events("events_by_content", views.events_by_content)
-on_events("user_content_progress", views.user_content_progress)
-on_events("continue_watching_log", views.continue_watching_log)
-on_events("continue_watching_latest", views.continue_watching_latest)
+on_events("user_content_progress", views.user_content_progress, settled=True)
+on_events("continue_watching_log", views.continue_watching_log, settled=True)
+on_events("continue_watching_latest", views.continue_watching_latest, settled=True)
 on_events("quality_events", views.quality_events)
 on_events("history_events", lambda e: views.history_events(with_payload_json(e)))
 on_events("route_counts", views.route_counts)
-on_events("progress_display", lambda e: views.progress_display(views.user_content_progress(e)))
+on_events("progress_display", lambda e: views.progress_display(views.user_content_progress(e)),
+          settled=True)
 on_events("continue_watching_display",
-          lambda e: views.continue_watching_display(views.continue_watching_latest(e)))
+          lambda e: views.continue_watching_display(views.continue_watching_latest(e)),
+          settled=True)
 on_events("retention_apply", lambda e: enrich.retained(
     views.events_by_user(e), "timestamp", "2024-04-15 00:00:00",
     RETENTION_DAYS["events_by_user"]))
@@ -177,11 +180,13 @@ on_events("content_health", qos.content_health)
 # --- lookups ----------------------------------------------------------------------------
 
 on_events("lookup_continue_watching",
-          lambda e: lookups.continue_watching(views.continue_watching_log(e), USER))
+          lambda e: lookups.continue_watching(views.continue_watching_log(e), USER),
+          settled=True)
 on_events("lookup_progress",
-          lambda e: lookups.progress(views.user_content_progress(e), USER, CONTENT))
+          lambda e: lookups.progress(views.user_content_progress(e), USER, CONTENT),
+          settled=True)
 on_events("lookup_all_progress",
-          lambda e: lookups.all_progress(views.user_content_progress(e), USER))
+          lambda e: lookups.all_progress(views.user_content_progress(e), USER), settled=True)
 on_events("lookup_user_events", lambda e: lookups.user_events(views.events_by_user(e), USER))
 on_events("lookup_session_events", lambda e: lookups.session_events(
     views.events_by_session(with_payload_json(e)), SESSION))
@@ -194,9 +199,10 @@ on_events("lookup_quality_events",
 on_events("lookup_user_sessions",
           lambda e: lookups.user_sessions(sessions.user_sessions(e), USER))
 on_events("continue_watching_top20",
-          lambda e: lookups.continue_watching_top(views.continue_watching_log(e)))
+          lambda e: lookups.continue_watching_top(views.continue_watching_log(e)), settled=True)
 on_events("user_timeline_top", lambda e: lookups.user_timeline_top(views.events_by_user(e)))
-on_events("smart_resume", lambda e: lookups.smart_resume(views.user_content_progress(e)))
+on_events("smart_resume", lambda e: lookups.smart_resume(views.user_content_progress(e)),
+          settled=True)
 on_events("active_sessions", lambda e: lookups.active_sessions(e, AS_OF))
 
 # --- joins ----------------------------------------------------------------------------------

@@ -38,6 +38,8 @@ def children(spark: SparkSession, path: str) -> list[str]:
     if not exists(spark, path):
         return []
     fs, hadoop = _file_system(spark, path)
+    if not fs.getFileStatus(hadoop.Path(path)).isDirectory():
+        return []
     names = [status.getPath().getName() for status in fs.listStatus(hadoop.Path(path))]
     return sorted(n for n in names if not n.startswith(("_", ".")))
 

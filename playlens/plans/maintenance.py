@@ -102,6 +102,23 @@ def _rewrite_whole(spark: SparkSession, path: str, slots: int, sort_by: list[str
     files.delete(spark, retired)
 
 
+def warehouse_tables(spark: SparkSession, root: str, only: str | None = None
+                     ) -> dict[str, list[str]]:
+    """Tables below a folder with their partition columns, read off the folder names."""
+    found = {}
+    for name in files.children(spark, root):
+        if only in (None, name):
+            path, columns = f"{root.rstrip('/')}/{name}", []
+            step = next((c for c in files.children(spark, path) if "=" in c), None)
+            below = path
+            while step:
+                columns.append(step.split("=", 1)[0])
+                below = f"{below}/{step}"
+                step = next((c for c in files.children(spark, below) if "=" in c), None)
+            found[path] = columns
+    return found
+
+
 def maintain_tables(spark: SparkSession, tables: dict[str, list[str]],
                     target_bytes: int = TARGET_FILE_BYTES) -> dict[str, bool]:
     """Compacts several tables (path to partition columns); one failure stops no other."""

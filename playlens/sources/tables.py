@@ -60,17 +60,19 @@ _PLAYBACK_COLUMNS = """
 """
 
 
-def playback_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def playback_events(spark: SparkSession, sf_dir: str, settled: bool = False) -> DataFrame:
     """Flat playback events over the whole `events` table.
 
     Times are instants in UTC: the table's zone-less column is read as UTC.
+    `settled` computes position and duration once per row, for queries that
+    filter on them: a generator keeps the filter from repeating their formulas.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     base = spark.read.schema(_EVENTS).parquet(f"{sf_dir}/events.parquet").selectExpr(
         "event_id AS id", "CAST(ts AS TIMESTAMP) AS event_timestamp", "user_id AS u",
         "CAST(round(value * 100) AS BIGINT) AS v",
-        # as a generator the JSON is read once per row, not once per use in a filter
-        "explode(array(CAST(get_json_object(props, '$.k') AS BIGINT))) AS k",
+        # one number of a flat JSON object: the pattern is ten times cheaper than a parse
+        r"""TRY_CAST(regexp_extract(props, '"k":\\s*(-?[0-9]+)', 1) AS BIGINT) AS k""",
         "event_id % 100 AS r", "event_type AS source_type")
     timed = base.withColumn("duration_ms", F.expr(
         "CASE WHEN id % 97 = 0 THEN NULL WHEN id % 89 = 0 THEN 0"
@@ -78,6 +80,10 @@ def playback_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = timed.withColumn("position_ms", F.expr(
         "CASE WHEN id % 101 = 0 THEN NULL ELSE (v * 7919) %"
         " (CASE WHEN duration_ms > 0 THEN duration_ms ELSE 3600000 END) END"))
+    if settled:
+        placed = placed.withColumn("t", F.explode(F.array(F.struct(
+            "duration_ms", "position_ms")))).withColumns(
+            {"duration_ms": F.col("t.duration_ms"), "position_ms": F.col("t.position_ms")})
     named = placed.withColumn("qualities", F.expr(
         "array('AUTO', 'SD_480P', 'HD_720P', 'HD_1080P', 'UHD_4K', 'UHD_8K')"))
     return spark.sql(f"SELECT {_PLAYBACK_COLUMNS} FROM {{named}}", named=named)
