@@ -294,6 +294,11 @@ WHERE event_timestamp >= TIMESTAMP '2024-04-15 00:00:00' - INTERVAL 90 DAYS""")
 # --- metrics and sessions ---------------------------------------------------------
 
 oracle("content_metrics_5min", "SELECT * FROM metrics", content_metrics("5 minutes"))
+oracle("content_metrics_early", "SELECT * FROM metrics", content_metrics("5 minutes"))
+oracle("replay_content_metrics", "SELECT * FROM metrics", content_metrics("5 minutes"))
+oracle("viewers_rollup_sketch", """
+SELECT content_id, date_trunc('hour', event_timestamp) AS window_start,
+  count(DISTINCT user_id) AS approx_viewers FROM e GROUP BY 1, 2""")
 oracle("viewers_rollup", """
 SELECT content_id, date_trunc('hour', event_timestamp) AS hour_start,
   count(DISTINCT user_id) AS unique_viewers FROM e GROUP BY 1, 2""")
@@ -314,6 +319,7 @@ FROM (
                ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING))""", content_metrics("1 hour"))
 oracle("user_sessions", "SELECT * FROM user_sessions", sessions("30 minutes"))
 oracle("user_sessions_12h", "SELECT * FROM user_sessions", sessions("12 hours"))
+oracle("user_sessions_window", "SELECT * FROM user_sessions", sessions("12 hours"))
 oracle("sessions_by_lag", "SELECT user_id, session_start, session_id FROM user_sessions",
        sessions("12 hours"))
 

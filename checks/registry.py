@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from playlens.operators import (enrich, lookups, metrics, qos, quality, reports, rollup, sessions,
                                 views)
 from playlens.plans import rollup_jobs
+from playlens.plans.layout import events_from_history
 from playlens.sources import decode
 from playlens.sources.schema import RETENTION_DAYS
 from playlens.sources.tables import (content_dimension, device_dimension, playback_events,
@@ -121,11 +122,17 @@ on_events("retention_apply", lambda e: enrich.retained(
 # --- metrics and sessions ---------------------------------------------------------
 
 on_events("content_metrics_5min", metrics.content_metrics)
+on_events("content_metrics_early", metrics.content_metrics_early)
+on_events("replay_content_metrics", lambda e: metrics.content_metrics(
+    events_from_history(views.history_events(with_payload_json(e)))))
 on_events("viewers_rollup", metrics.viewers_rollup)
+on_events("viewers_rollup_sketch", lambda e: metrics.merge_viewer_sketches(
+    metrics.viewer_sketches(e)))
 on_events("device_class_counts", metrics.device_class_counts)
 on_events("qos_anomalies", lambda e: metrics.qos_anomalies(metrics.content_metrics(e, "1 hour")))
 on_events("user_sessions", sessions.user_sessions)
 on_events("user_sessions_12h", lambda e: sessions.user_sessions(e, "12 hours"))
+on_events("user_sessions_window", lambda e: sessions.user_sessions_stream(e, "12 hours"))
 on_events("sessions_by_lag", lambda e: sessions.session_starts_by_lag(e, "12 hours"))
 on_events("session_distribution",
           lambda e: reports.session_distribution(sessions.user_sessions(e, "12 hours")))

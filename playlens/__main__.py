@@ -18,8 +18,8 @@ import logging
 from pyspark.sql import SparkSession
 
 from playlens.operators import quality
-from playlens.plans import files, maintenance, rollup_jobs
-from playlens.plans.layout import read_history
+from playlens.plans import maintenance, rollup_jobs
+from playlens.plans.layout import newest_day, recent_history
 from playlens.session import build_session
 
 log = logging.getLogger("playlens")
@@ -71,10 +71,10 @@ def run(spark: SparkSession, options: argparse.Namespace,
         log.info("%d of %d tables maintained", sum(outcome.values()), len(outcome))
         return 0 if all(outcome.values()) else 1
     else:
-        if not files.exists(spark, events):
+        if newest_day(spark, events) is None:
             return 1
         as_of = now.strftime("%Y-%m-%d %H:%M:%S")
-        state = quality.freshness(read_history(spark, events), as_of, options.max_lag).first()
+        state = quality.freshness(recent_history(spark, events), as_of, options.max_lag).first()
         log.info("latest event %s, %s minutes old", state["latest_event"], state["lag_minutes"])
         return 1 if state["is_stale"] else 0
     return 0

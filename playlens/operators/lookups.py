@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playlens.operators.ordered import first_rows_per_key, latest_per_key
+from playlens.operators.ordered import first_rows_per_key, latest_per_key, rows_since
 from playlens.sources.schema import DEFAULT_CONTINUE_LIMIT, DEFAULT_EVENT_LIMIT
 
 
@@ -93,9 +93,8 @@ def active_sessions(events: DataFrame, as_of: str, hours: int = 4) -> DataFrame:
     user who has a recent one.
     """
     now = F.lit(as_of).cast("timestamp")
-    recent = events.filter(
-        (F.col("event_timestamp") <= now)
-        & (F.col("event_timestamp") >= now - F.expr(f"INTERVAL {int(hours)} HOURS")))
+    recent = rows_since(events, now - F.expr(f"INTERVAL {int(hours)} HOURS")).filter(
+        F.col("event_timestamp") <= now)
     rows = recent.select("user_id", "session_id", "content_id", "event_type", "position_ms",
                          F.col("event_timestamp").alias("last_event_at"), "event_id")
     newest = latest_per_key(rows, ["user_id"], ["last_event_at", "event_id"])

@@ -19,6 +19,14 @@ def interval_micros(text: str) -> int:
     return int(amount) * seconds * 1_000_000
 
 
+def rows_since(events: DataFrame, bound: Column) -> DataFrame:
+    """Events from a moment on; on a stored history only the days from it on are read."""
+    kept = events.filter(F.col("event_timestamp") >= bound)
+    if "event_date" in events.columns:
+        kept = kept.filter(F.col("event_date") >= F.to_date(bound))
+    return kept
+
+
 def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The last row of each key, in `order`; works on batches and on streams.
 

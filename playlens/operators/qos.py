@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from playlens.functions import expr as X
-from playlens.operators.ordered import with_previous
+from playlens.operators.ordered import rows_since, with_previous
 
 
 def _measures() -> list[Column]:
@@ -44,11 +44,12 @@ def qos_realtime(events: DataFrame, window: str = "5 minutes") -> DataFrame:
     """The latest window: one row per title and one, marked ALL, for everything.
 
     The newest event time is a scalar subquery, so the main scan reads only the
-    rows of that window.
+    rows of that window. Give it `layout.recent_history` on a large history: then
+    the subquery, too, reads the newest day only.
     """
     newest = events.agg(F.max("event_timestamp").alias("at"))
     start = newest.select(F.window("at", window)["start"].alias("start")).scalar()
-    current = events.filter(F.col("event_timestamp") >= start)
+    current = rows_since(events, start)
     return (current.rollup("content_id")
                    .agg(*_measures(), F.countDistinct("user_id").alias("viewers"),
                         F.grouping("content_id").alias("is_total"))

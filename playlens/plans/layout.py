@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from playlens.operators.views import history_events
+from playlens.plans import files
 from playlens.sources.schema import FLAT_EVENT, HISTORY_COLUMNS, HISTORY_DERIVED
 
 _PARQUET = {"compression": "zstd"}
@@ -42,6 +43,20 @@ def read_history(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(history_schema()).parquet(path)
 
 
+def newest_day(spark: SparkSession, path: str) -> str | None:
+    """The last day folder of a history, from folder names alone."""
+    days = [name.split("=", 1)[1] for name in files.children(spark, path)
+            if name.startswith("event_date=")]
+    return max(days, default=None)
+
+
+def recent_history(spark: SparkSession, path: str, days: int = 1) -> DataFrame:
+    """The newest days of a history; no other folder is read."""
+    newest = F.lit(newest_day(spark, path)).cast("date")
+    return read_history(spark, path).filter(
+        F.col("event_date") > F.date_sub(newest, days))
+
+
 def events_from_history(history: DataFrame) -> DataFrame:
     """Flat events again, payload measures read back from the payload text.
 

@@ -41,6 +41,20 @@ def test_day_filter_reads_one_folder(spark, history_path):
     assert "PushedFilters: [IsNotNull(event_hour), EqualTo(event_hour,20)" in plan
 
 
+def test_recent_rows_read_recent_folders(spark, history_path, scratch):
+    assert layout.newest_day(spark, history_path) == "2024-01-30"
+    assert layout.newest_day(spark, f"{scratch}/none") is None
+    recent = layout.recent_history(spark, history_path, days=2)
+    days = {str(r["event_date"]) for r in recent.select("event_date").distinct().collect()}
+    assert days == {"2024-01-29", "2024-01-30"}
+    active = lookups.active_sessions(layout.read_history(spark, history_path),
+                                     "2024-01-31 00:00:00")
+    plan = active._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan
+    assert as_set(active) == as_set(lookups.active_sessions(
+        with_payload_json(playback_events(spark, SMALL)), "2024-01-31 00:00:00"))
+
+
 def test_append_keeps_what_is_there(spark, scratch):
     events = make_events(spark, [{"event_timestamp": "10:00:00"}])
     for _ in range(2):
