@@ -93,9 +93,9 @@ def business_totals(events: DataFrame) -> DataFrame:
 
 
 def percentiles_of(df: DataFrame, measures: dict[str, Column],
-                   points: tuple[float, ...] = (0.5, 0.95, 0.99)) -> DataFrame:
+                   points: tuple[int, ...] = (50, 95, 99)) -> DataFrame:
     """Exact percentiles of several integer measures: the smallest value that at
-    least the given share of the rows does not exceed.
+    least the given percentage of the rows does not exceed.
 
     Rows are counted per distinct value first, so the running count that locates
     a percentile goes over distinct values, not over rows.
@@ -108,8 +108,8 @@ def percentiles_of(df: DataFrame, measures: dict[str, Column],
     whole = Window.partitionBy("measure")
     ranked = (counted.withColumn("seen", F.sum("n").over(upto))
                      .withColumn("all", F.sum("n").over(whole)))
-    at = [F.min(F.when(F.col("seen") >= F.ceil(F.lit(p) * F.col("all")), F.col("value")))
-           .alias(f"p{round(p * 100):02d}") for p in points]
+    at = [F.min(F.when(F.col("seen") * 100 >= F.col("all") * percent, F.col("value")))
+           .alias(f"p{percent:02d}") for percent in points]
     return ranked.groupBy("measure").agg(
         F.sum("n").alias("samples"), F.min("value").alias("min_value"),
         F.max("value").alias("max_value"),
@@ -153,7 +153,7 @@ def bitrate_distribution(events: DataFrame) -> DataFrame:
         "bitrate_kbps": quality,
         "progress_bitrate_kbps": F.col("current_bitrate"),
         "switched_bitrate_kbps": F.col("new_bitrate"),
-    }, (0.05, 0.25, 0.5, 0.75, 0.95))
+    }, (5, 25, 50, 75, 95))
 
 
 def _completion(events: DataFrame, key: Column | str) -> DataFrame:

@@ -34,6 +34,20 @@ RETENTION_DAYS = {
     "user_sessions": 90,
 }
 
+# Primary key and time column of the hot tables. A row written
+# again with the same key replaces the earlier one.
+TABLE_KEYS = {
+    "events_by_user": (("user_id", "timestamp", "event_id"), "timestamp"),
+    "events_by_session": (("session_id", "timestamp", "event_id"), "timestamp"),
+    "events_by_content": (("content_id", "timestamp", "user_id", "event_id"), "timestamp"),
+    "user_content_progress": (("user_id", "content_id"), "last_watched"),
+    "continue_watching": (("user_id", "last_watched", "content_id"), "last_watched"),
+    "playback_quality_events": (("content_id", "event_date", "timestamp", "event_id"),
+                                "timestamp"),
+    "content_metrics_5min": (("content_id", "window_start"), "window_start"),
+    "user_sessions": (("user_id", "session_start", "session_id"), "session_start"),
+}
+
 
 def _struct(**fields: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])

@@ -14,9 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playlens.operators import views
+from playlens.operators.enrich import retained
 from playlens.operators.ordered import latest_per_key
 from playlens.plans import files
 from playlens.sources.decode import accepted, decode_events, quarantined
+from playlens.sources.schema import RETENTION_DAYS, TABLE_KEYS
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -104,6 +106,19 @@ def latest_rows(log: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return latest_per_key(log, keys, [*order, "batch_id"]).drop("batch_id")
 
 
+def current_rows(log: DataFrame, table: str, as_of: str | None = None) -> DataFrame:
+    """What a hot table holds: one row per primary key, expired rows left out."""
+    keys, ts = TABLE_KEYS[table]
+    order = ["last_watched", "event_id"] if table == "user_content_progress" else []
+    rows = latest_rows(log, list(keys), order)
+    return retained(rows, ts, as_of, RETENTION_DAYS.get(table)) if as_of else rows
+
+
+def fold_table(spark: SparkSession, path: str, table: str, as_of: str | None = None) -> int:
+    """Folds the log of a hot table down to its current rows."""
+    return fold_batches(spark, path, lambda log: current_rows(log, table, as_of))
+
+
 def fold_batches(spark: SparkSession, path: str,
                  merge: Callable[[DataFrame], DataFrame] | None = None,
                  partition_by: list[str] | None = None) -> int:

@@ -130,7 +130,7 @@ def test_anomaly_needs_history(spark):
 
 def test_percentiles_are_values_of_the_data(spark):
     frame = spark.range(1, 101).withColumnRenamed("id", "v")
-    row, = rows_of(reports.percentiles_of(frame, {"v": F.col("v")}, (0.5, 0.95, 0.99)))
+    row, = rows_of(reports.percentiles_of(frame, {"v": F.col("v")}, (50, 95, 99)))
     assert (row["p50"], row["p95"], row["p99"], row["samples"]) == (50, 95, 99, 100)
 
 

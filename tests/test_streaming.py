@@ -158,11 +158,34 @@ def test_fold_of_an_upsert_log(spark, scratch):
         write(make_events(spark, [{"event_timestamp": f"10:0{batch}:00", "duration_ms": 100,
                                    "position_ms": position}]), batch)
     path = f"{scratch}/user_content_progress"
-    keys, order = ["user_id", "content_id"], ["last_watched", "event_id"]
-    assert sinks.fold_batches(spark, path, lambda log: sinks.latest_rows(log, keys, order)) == 3
+    assert sinks.fold_table(spark, path, "user_content_progress") == 3
     log = spark.read.parquet(path)
     assert log.count() == 2
-    assert sinks.latest_rows(log, keys, order).first()["last_position"] == 40
+    assert sinks.current_rows(log, "user_content_progress").first()["last_position"] == 40
+
+
+def test_rows_written_twice_count_once_and_expire(spark, scratch):
+    write = sinks.fan_out_to(scratch)
+    old = make_events(spark, [{"event_timestamp": "2024-01-01 10:00:00", "event_id": "old"}])
+    new = make_events(spark, [{"event_timestamp": "2024-01-10 10:00:00", "event_id": "new"}])
+    for batch, events in enumerate((old, new, new, new)):
+        write(events, batch)
+    log = spark.read.parquet(f"{scratch}/events_by_session")
+    def ids(as_of=None):
+        rows = sinks.current_rows(log, "events_by_session", as_of)
+        return sorted(r["event_id"] for r in rows.collect())
+    assert log.count() == 4 and ids() == ["new", "old"]
+    assert ids("2024-01-11 00:00:00") == ["new"]
+    sinks.fold_table(spark, f"{scratch}/events_by_session", "events_by_session",
+                     "2024-01-11 00:00:00")
+    assert spark.read.parquet(f"{scratch}/events_by_session").count() == 2
+
+
+@pytest.mark.parametrize("table", sorted(sinks.HOT_VIEWS))
+def test_every_hot_view_has_its_key(spark, table):
+    events = make_events(spark, [{"event_timestamp": "10:00:00"}])
+    keys, ts = sinks.TABLE_KEYS[table]
+    assert {*keys, ts} <= set(sinks.HOT_VIEWS[table](events).columns)
 
 
 def test_ingest_splits_good_and_bad(spark, scratch):
