@@ -111,9 +111,9 @@ continue_latest AS (
   WHERE rn = 1 AND completion_percentage >= 2 AND completion_percentage < 95)"""
 
 CONTINUE_COLUMNS = """user_id, last_watched, content_id, title, last_position, duration,
-  round(completion_percentage, 6) AS completion_percentage"""
+  round(completion_percentage, 9) AS completion_percentage"""
 PROGRESS_COLUMNS = """user_id, content_id, title, last_position, duration,
-  round(completion_percentage, 6) AS completion_percentage, last_watched, total_watch_time,
+  round(completion_percentage, 9) AS completion_percentage, last_watched, total_watch_time,
   session_id, device_type, country"""
 USER_COLUMNS = """user_id, event_timestamp AS "timestamp", event_id, event_type, session_id,
   content_id, title, position_ms AS "position", duration_ms AS duration,
@@ -191,7 +191,7 @@ user_sessions AS (
     nullif(device_type, '-') AS device_type,
     epoch_us(session_end) // 1000 - epoch_us(session_start) // 1000 AS session_duration_ms,
     content_count, total_events, total_watch_time_ms,
-    round(avg_completion_percentage, 6) AS avg_completion_percentage,
+    round(avg_completion_percentage, 9) AS avg_completion_percentage,
     play_start_count, pause_count, seek_count, error_count, rebuffer_count,
     total_rebuffer_duration_ms
   FROM grouped)"""
@@ -234,7 +234,7 @@ FLAT = """event_id, event_type,
 oracle("decode_events", f"""
 SELECT {FLAT}, seek_from_ms, seek_to_ms, old_quality, new_quality, new_bitrate, automatic,
   current_bitrate, bitrate_kbps, bandwidth_estimate, rebuffer_duration_ms, total_watch_time_ms,
-  round(completion_percentage, 6) AS completion_percentage, end_reason,
+  round(completion_percentage, 9) AS completion_percentage, end_reason,
   event_type IN {PAYLOAD_TYPES} AS has_payload
 FROM e WHERE lpad(right(event_id, 2), 2, '-') NOT IN ('07', '17', '27')""")
 oracle("quarantine", """
@@ -306,8 +306,8 @@ oracle("device_class_counts", f"""
 SELECT {DEVICE_CLASS} AS device_class, count(*) AS events,
   count(*) FILTER (event_type = 'PLAY_START') AS views FROM e GROUP BY 1""")
 oracle("qos_anomalies", """
-SELECT content_id, window_start, round(ratio, 6) AS rebuffer_ratio,
-  round(mean_before, 6) AS mean_before, round(std_before, 6) AS std_before, windows_before,
+SELECT content_id, window_start, round(ratio, 9) AS rebuffer_ratio,
+  round(mean_before, 9) AS mean_before, round(std_before, 9) AS std_before, windows_before,
   coalesce(abs(ratio - mean_before) > 3 * std_before, false) AS is_anomaly
 FROM (
   SELECT *, avg(ratio) OVER w AS mean_before, stddev_samp(ratio) OVER w AS std_before,
@@ -328,7 +328,7 @@ def distribution(rows: str, points: tuple[int, ...] = (50, 95, 99)) -> str:
     at = ", ".join(f"quantile_disc(value, {p / 100}) AS p{p:02d}" for p in points)
     return f"""
 SELECT measure, count(*) AS samples, min(value) AS min_value, max(value) AS max_value,
-  round(avg(value), 6) AS mean_value, {at}
+  round(avg(value), 9) AS mean_value, {at}
 FROM ({rows}) WHERE value IS NOT NULL GROUP BY measure"""
 
 
@@ -365,14 +365,14 @@ oracle("peak_hour", "SELECT * FROM peak", HOURLY, PEAK)
 oracle("daily_content_stats", """
 SELECT d.* EXCLUDE (mobile, tv, web, tablet), p.peak_hour, p.peak_hour_events,
   round(CASE WHEN mobile + tv + web + tablet > 0
-             THEN mobile / CAST(mobile + tv + web + tablet AS DOUBLE) ELSE 0 END, 6)
+             THEN mobile / CAST(mobile + tv + web + tablet AS DOUBLE) ELSE 0 END, 9)
     AS mobile_ratio,
   round(CASE WHEN mobile + tv + web + tablet > 0
-             THEN tv / CAST(mobile + tv + web + tablet AS DOUBLE) ELSE 0 END, 6) AS tv_ratio,
+             THEN tv / CAST(mobile + tv + web + tablet AS DOUBLE) ELSE 0 END, 9) AS tv_ratio,
   round(CASE WHEN mobile + tv + web + tablet > 0
-             THEN web / CAST(mobile + tv + web + tablet AS DOUBLE) ELSE 0 END, 6) AS web_ratio,
+             THEN web / CAST(mobile + tv + web + tablet AS DOUBLE) ELSE 0 END, 9) AS web_ratio,
   round(CASE WHEN mobile + tv + web + tablet > 0
-             THEN tablet / CAST(mobile + tv + web + tablet AS DOUBLE) ELSE 0 END, 6)
+             THEN tablet / CAST(mobile + tv + web + tablet AS DOUBLE) ELSE 0 END, 9)
     AS tablet_ratio
 FROM (
   SELECT content_id, event_date, CAST(sum(total_events) AS BIGINT) AS total_events,
@@ -411,7 +411,7 @@ SELECT content_id, count(*) AS total_events,
 FROM e GROUP BY 1 ORDER BY play_starts DESC, content_id LIMIT 10""")
 oracle("rebuffer_top", """
 SELECT content_id, count(*) AS rebuffer_events,
-  round(avg(rebuffer_duration_ms), 6) AS avg_rebuffer_ms,
+  round(avg(rebuffer_duration_ms), 9) AS avg_rebuffer_ms,
   max(rebuffer_duration_ms) AS max_rebuffer_ms
 FROM e WHERE event_type IN ('REBUFFER_START', 'REBUFFER_END') GROUP BY 1
 ORDER BY rebuffer_events DESC, content_id LIMIT 10""")
@@ -436,18 +436,18 @@ oracle("bitrate_distribution", distribution("""
 for _name, _key in (("completion_by_device", "coalesce(device_type, 'UNKNOWN') AS device_type"),
                     ("completion_by_content", "content_id")):
     oracle(_name, f"""
-SELECT *, CASE WHEN play_ends > 0 THEN round(completed / CAST(play_ends AS DOUBLE), 6)
+SELECT *, CASE WHEN play_ends > 0 THEN round(completed / CAST(play_ends AS DOUBLE), 9)
                END AS completion_rate
 FROM (SELECT {_key}, count(*) FILTER (event_type = 'PLAY_START') AS play_starts,
         count(*) FILTER (event_type = 'PLAYBACK_END') AS play_ends,
         count(*) FILTER (completion_percentage >= 90) AS completed,
-        round(avg(completion_percentage), 6) AS avg_completion_percentage
+        round(avg(completion_percentage), 9) AS avg_completion_percentage
       FROM e GROUP BY ALL)""")
 oracle("device_behaviour", f"""
-SELECT *, CASE WHEN views > 0 THEN round(pauses / CAST(views AS DOUBLE), 6) ELSE 0
+SELECT *, CASE WHEN views > 0 THEN round(pauses / CAST(views AS DOUBLE), 9) ELSE 0
                END AS pauses_per_view,
-  CASE WHEN views > 0 THEN round(seeks / CAST(views AS DOUBLE), 6) ELSE 0 END AS seeks_per_view,
-  CASE WHEN views > 0 THEN round(watch_time_ms / 60000.0E0 / views, 6) ELSE 0
+  CASE WHEN views > 0 THEN round(seeks / CAST(views AS DOUBLE), 9) ELSE 0 END AS seeks_per_view,
+  CASE WHEN views > 0 THEN round(watch_time_ms / 60000.0E0 / views, 9) ELSE 0
        END AS watch_minutes_per_view
 FROM (SELECT {DEVICE_CLASS} AS device_class,
         count(*) FILTER (event_type = 'PLAY_START') AS views,
@@ -466,8 +466,8 @@ SELECT content_id, event_date, count(DISTINCT user_id) AS viewers,
   count(*) FILTER (event_type = 'PLAY_START') AS views FROM e GROUP BY 1, 2""")
 oracle("seek_patterns", """
 SELECT content_id, count(*) AS seeks, count(*) FILTER (d > 0) AS forward_seeks,
-  count(*) FILTER (d < 0) AS backward_seeks, round(avg(d) FILTER (d > 0), 6) AS avg_forward_ms,
-  round(avg(-d) FILTER (d < 0), 6) AS avg_backward_ms
+  count(*) FILTER (d < 0) AS backward_seeks, round(avg(d) FILTER (d > 0), 9) AS avg_forward_ms,
+  round(avg(-d) FILTER (d < 0), 9) AS avg_backward_ms
 FROM (SELECT content_id, seek_to_ms - seek_from_ms AS d FROM e WHERE event_type = 'SEEK')
 GROUP BY 1""")
 oracle("period_report", "\nUNION ALL\n".join(f"""
@@ -489,14 +489,14 @@ SELECT user_id, date_diff('day', CAST(max(event_timestamp) AS DATE), DATE '2024-
   count(*) FILTER (event_type = 'REBUFFER_START') AS rebuffers,
   CASE WHEN count(*) FILTER (event_type = 'PLAYBACK_END') > 0 THEN
     round(count(*) FILTER (completion_percentage >= 90)
-          / CAST(count(*) FILTER (event_type = 'PLAYBACK_END') AS DOUBLE), 6)
+          / CAST(count(*) FILTER (event_type = 'PLAYBACK_END') AS DOUBLE), 9)
     ELSE 0 END AS completion_rate
 FROM e GROUP BY 1""")
 oracle("user_content_matrix", """
 SELECT user_id, content_id, count(*) AS interactions,
   count(*) FILTER (event_type = 'PLAY_START') AS views,
   CAST(coalesce(sum(total_watch_time_ms), 0) AS BIGINT) AS watch_time_ms,
-  round(max(completion_percentage), 6) AS best_completion,
+  round(max(completion_percentage), 9) AS best_completion,
   max(event_timestamp) AS last_interaction FROM e GROUP BY 1, 2""")
 
 # --- quality of service -------------------------------------------------------------------
@@ -506,7 +506,7 @@ QOS = """CAST(coalesce(sum(rebuffer_duration_ms), 0) AS BIGINT) AS rebuffer_ms,
   count(*) FILTER (event_type = 'REBUFFER_END') AS rebuffer_count,
   round(avg(bitrate_kbps), 6) AS avg_bitrate_kbps,
   CASE WHEN sum(total_watch_time_ms) > 0 THEN
-    round(coalesce(sum(rebuffer_duration_ms), 0) / CAST(sum(total_watch_time_ms) AS DOUBLE), 6)
+    round(coalesce(sum(rebuffer_duration_ms), 0) / CAST(sum(total_watch_time_ms) AS DOUBLE), 9)
     END AS rebuffer_ratio"""
 oracle("qos_by_content", f"SELECT content_id, {QOS} FROM e GROUP BY content_id")
 oracle("qos_by_device", f"""SELECT coalesce(device_type, 'UNKNOWN') AS device_type, {QOS} FROM e
@@ -536,17 +536,17 @@ FROM (SELECT *, lag(event_type) OVER w AS prev_type, lag(event_timestamp) OVER w
       WINDOW w AS (PARTITION BY session_id ORDER BY event_timestamp, event_id))
 WHERE event_type = 'RESUME' AND prev_type = 'PAUSE'""")
 oracle("quality_stability", """
-SELECT *, CASE WHEN play_ms > 0 THEN round(quality_changes * 3600000.0E0 / play_ms, 6)
+SELECT *, CASE WHEN play_ms > 0 THEN round(quality_changes * 3600000.0E0 / play_ms, 9)
                END AS changes_per_hour,
   CASE WHEN quality_changes > 0
-       THEN round(automatic_changes / CAST(quality_changes AS DOUBLE), 6) END AS automatic_share
+       THEN round(automatic_changes / CAST(quality_changes AS DOUBLE), 9) END AS automatic_share
 FROM (SELECT content_id, count(*) FILTER (event_type = 'QUALITY_CHANGE') AS quality_changes,
         count(*) FILTER (event_type = 'QUALITY_CHANGE' AND automatic) AS automatic_changes,
         CAST(coalesce(sum(total_watch_time_ms), 0) AS BIGINT) AS play_ms FROM e GROUP BY 1)""")
 oracle("error_rates", """
-SELECT *, CASE WHEN play_ends > 0 THEN round(error_ends / CAST(play_ends AS DOUBLE), 6)
+SELECT *, CASE WHEN play_ends > 0 THEN round(error_ends / CAST(play_ends AS DOUBLE), 9)
                END AS error_rate,
-  round((sessions - failed_sessions) / CAST(sessions AS DOUBLE), 6) AS session_success_rate
+  round((sessions - failed_sessions) / CAST(sessions AS DOUBLE), 9) AS session_success_rate
 FROM (SELECT country, count(*) FILTER (event_type = 'PLAYBACK_END') AS play_ends,
         count(*) FILTER (end_reason IN ('ERROR', 'NETWORK_ERROR')) AS error_ends,
         count(DISTINCT session_id) AS sessions,
@@ -554,8 +554,8 @@ FROM (SELECT country, count(*) FILTER (event_type = 'PLAYBACK_END') AS play_ends
           AS failed_sessions
       FROM e GROUP BY 1)""")
 oracle("content_health", """
-SELECT content_id, round(rebuffer_ratio, 6) AS rebuffer_ratio, round(error_rate, 6) AS error_rate,
-  round(completion_rate, 6) AS completion_rate, rebuffer_rank, error_rank, completion_rank,
+SELECT content_id, round(rebuffer_ratio, 9) AS rebuffer_ratio, round(error_rate, 9) AS error_rate,
+  round(completion_rate, 9) AS completion_rate, rebuffer_rank, error_rank, completion_rank,
   rebuffer_rank + error_rank + completion_rank AS rank_sum,
   rank() OVER (ORDER BY rebuffer_rank + error_rank + completion_rank) AS health_rank
 FROM (
@@ -606,7 +606,7 @@ SELECT {USER_COLUMNS}, row_no FROM (
     AS row_no FROM e) WHERE row_no <= 100""")
 oracle("smart_resume", """
 SELECT user_id, content_id, last_position,
-  round(completion_percentage, 6) AS completion_percentage,
+  round(completion_percentage, 9) AS completion_percentage,
   completion_percentage >= 90 AS is_completed,
   CASE WHEN completion_percentage >= 90 OR last_position < 120000 THEN 0
        ELSE last_position - 10000 END AS resume_position,
@@ -681,22 +681,22 @@ compared AS (
                              ROWS BETWEEN 24 PRECEDING AND 1 PRECEDING) AS expected
   FROM counted),
 volume AS (
-  SELECT hour_start, events, round(expected, 6) AS expected,
+  SELECT hour_start, events, round(expected, 9) AS expected,
     coalesce(abs(events - expected) <= 0.2E0 * expected, true) AS within_tolerance
   FROM compared)"""
 oracle("dq_required_fields", "SELECT * FROM checks", CHECKS)
 oracle("dq_freshness", """
 SELECT max(event_timestamp) AS latest_event,
-  round((epoch_us(TIMESTAMP '2024-01-31 00:00:00') - epoch_us(max(event_timestamp))) / 6e7, 6)
+  round((epoch_us(TIMESTAMP '2024-01-31 00:00:00') - epoch_us(max(event_timestamp))) / 6e7, 9)
     AS lag_minutes,
   max(event_timestamp) < TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 30 MINUTES AS is_stale
 FROM e""")
 oracle("dq_volume", "SELECT * FROM volume", VOLUME)
 oracle("dq_scorecard", """
 SELECT round(sum(rows_checked - violations) FILTER (rule LIKE '% present') * 100.0E0
-             / sum(rows_checked) FILTER (rule LIKE '% present'), 6) AS completeness_percent,
-  round(sum(rows_checked - violations) * 100.0E0 / sum(rows_checked), 6) AS accuracy_percent,
-  (SELECT round(avg(CAST(within_tolerance AS INTEGER)) * 100.0E0, 6) FROM volume)
+             / sum(rows_checked) FILTER (rule LIKE '% present'), 9) AS completeness_percent,
+  round(sum(rows_checked - violations) * 100.0E0 / sum(rows_checked), 9) AS accuracy_percent,
+  (SELECT round(avg(CAST(within_tolerance AS INTEGER)) * 100.0E0, 9) FROM volume)
     AS steady_hours_percent
 FROM checks""", CHECKS, VOLUME)
 NULL_COLUMNS = """event_id source_type event_type event_timestamp user_id profile_id device_id
@@ -706,5 +706,5 @@ NULL_COLUMNS = """event_id source_type event_type event_timestamp user_id profil
   completion_percentage end_reason""".split()
 oracle("dq_null_rates", "\nUNION ALL ".join(
     "SELECT 'source_type' AS column_name, 0.0E0 AS null_rate" if _c == "source_type" else
-    f"SELECT '{_c}' AS column_name, round(1 - count({_c}) / CAST(count(*) AS DOUBLE), 6) "
+    f"SELECT '{_c}' AS column_name, round(1 - count({_c}) / CAST(count(*) AS DOUBLE), 9) "
     "AS null_rate FROM e" for _c in NULL_COLUMNS))
