@@ -26,8 +26,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 AS_OF = "2024-01-31 00:00:00"
 USER, CONTENT, SESSION, DAY = "user-1", "content-1", "s-1-20240105", "2024-01-05"
 
-# A mean of means depends on the order of adding in its last digits.
-DIGITS = {"avg_bitrate_kbps": 6}
+# Large means keep fewer decimals: a double has no more correct ones.
+DIGITS = dict.fromkeys(("avg_bitrate_kbps", "avg_forward_ms", "avg_backward_ms",
+                        "avg_rebuffer_ms", "mean_value"), 6)
 
 QUERIES: dict[str, Query] = {}
 
