@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playlens.llm import (exact_dedup, html_text, minhash, mixing, packing, pii, quality, toxicity,
-                          warc)
+from playlens.llm import (exact_dedup, html_text, minhash, mixing, ngram_join, packing, pii, quality,
+                          toxicity, warc)
 from playlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +42,10 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup.refine(table(spark, sf_dir, "documents"), hash_all=True)
     return found.withColumnRenamed("full_hash", "text_sha256")
@@ -57,7 +61,7 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_quality, op2_html_text, op3_mixing, op4_warc, op5_toxicity, op6_packing,
-    op8_exact_dedup, op9_pii, op10_minhash)}
+    op7_ngram_join, op8_exact_dedup, op9_pii, op10_minhash)}
 
 ORACLE_SQL: dict[str, str] = {
     "op4_warc": """
@@ -69,6 +73,24 @@ ORACLE_SQL: dict[str, str] = {
                CASE WHEN first_id <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN first_id <> page_id THEN first_id END AS refers_to
         FROM p LEFT JOIN f ON p.payload_digest = f.payload_digest AND payload_bytes >= 1000""",
+    "op7_ngram_join": r"""
+        WITH RECURSIVE
+        w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+                  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+        s AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 2], ' ') AS g
+              FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 2, 1) + 1)) AS i
+                    FROM w WHERE len(ws) > 0)),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+              FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+        l AS (SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+              WHERE 100 * c >= 90 * (x.n + y.n - c)),
+        r(a, b) AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
+        SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles,
+               least(d.doc_id, coalesce((SELECT min(b) FROM r WHERE r.a = d.doc_id), d.doc_id))
+                   AS component_id
+        FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id""",
     "op8_exact_dedup": r"""
         WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')
                    AS body FROM documents)

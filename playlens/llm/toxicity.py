@@ -34,16 +34,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playlens.llm.common import REMEMBERED_WORDS
+from playlens.llm.common import REMEMBERED_WORDS, mix
 
 DIMENSIONS = 1 << 19
 FACTORS = 4
 STEMS = (4, 5, 6)
 SAMPLE_ROWS = 20_000
 FOLDS = 5
-RAREST = 3  # terms in fewer sampled rows carry no weight
-EPOCHS, BATCH, RATE = 6, 256, 0.1
-L1, L2 = 0.02, 0.002
+SIGNIFICANT = 3.3  # root of the likelihood ratio from which a term counts
+COPY_TERMS = 4
+EPOCHS, BATCH, RATE, DECAY, START = 10, 256, 0.05, 0.01, 0.2
 
 WORD = re.compile(r"\w+")
 
@@ -99,54 +99,90 @@ def pair_scores(weights: np.ndarray, factors: np.ndarray, starts: np.ndarray) ->
     return linear + 0.5 * ((sums * sums).sum(axis=1) - squares), sums
 
 
+def association(rows: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
+    """Log odds of every term between toxic and other rows; 0 where chance explains them.
+
+    Significance is the signed root of the likelihood ratio of the term's two rates.
+    """
+    toxic = labels > 0
+    sizes = np.array([toxic.sum(), (~toxic).sum()], float)
+    counts = np.stack([np.bincount(np.concatenate([r for r, t in zip(rows, toxic, strict=True)
+                                                   if t == side]), minlength=DIMENSIONS)
+                       for side in (True, False)]).astype(float)
+    expected = counts.sum(axis=0) * (sizes / sizes.sum())[:, None]
+    parts = counts * np.log(np.maximum(counts, 1e-9) / np.maximum(expected, 1e-9))
+    root = np.sqrt(2 * np.maximum(parts.sum(axis=0), 0))
+    odds = np.log((counts[0] + 0.5) / (sizes[0] + 1)) - np.log((counts[1] + 0.5) / (sizes[1] + 1))
+    return np.where(root >= SIGNIFICANT, odds, 0.0)
+
+
+def distinct(rows: list[np.ndarray], labels: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """One row of each group of copies: rows that agree in label and smallest mixed terms.
+
+    Copies of one text would make its plain words look telling.
+    """
+    seen = {}
+    for i, row in enumerate(rows):
+        lowest = np.sort(mix(row.astype(np.uint64)))[:COPY_TERMS].tobytes()
+        seen.setdefault((lowest, labels[i]), i)
+    chosen = sorted(seen.values())
+    return [rows[i] for i in chosen], labels[chosen]
+
+
 def fit(rows: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Model:
-    """Adagrad with a soft threshold on the weights and decay on the factors."""
+    """Adagrad over the terms whose association with the labels is significant.
+
+    A term enters with its log odds as value, so that few labelled rows suffice; the values are
+    folded into weights and factors at the end.
+    """
     model = Model(-30.0, np.zeros(DIMENSIONS, np.float32),
                   np.zeros((DIMENSIONS, FACTORS), np.float32))
     if not len(rows):
         return model
+    rows, labels = distinct(rows, labels)
     share = (labels.sum() + 0.5) / (len(labels) + 1)
     model.bias = float(np.log(share / (1 - share)))
-    if labels.min() == labels.max():
+    if labels.min() == labels.max() or not any(map(len, rows)):
         return model
-    ids = np.concatenate(rows)
-    counts = np.bincount(ids, minlength=DIMENSIONS)
-    kept = np.flatnonzero(counts >= RAREST)
+    odds = association(rows, labels)
+    kept = np.flatnonzero(odds)
     dense = np.full(DIMENSIONS, -1, np.int64)
     dense[kept] = np.arange(len(kept))
+    value = odds[kept]
     rows = [d[d >= 0] for d in (dense[r] for r in rows)]
-    usable = np.flatnonzero([len(r) for r in rows])
-    if not len(usable):
-        return model
     random = np.random.default_rng(seed)
-    weights, factors = np.zeros(len(kept)), random.normal(0, 0.01, (len(kept), FACTORS))
-    past_w, past_f = np.full(len(kept), 1e-3), np.full((len(kept), FACTORS), 1e-3)
+    weights, factors = np.full(len(kept), START), random.normal(0, 0.01, (len(kept), FACTORS))
+    past_w, past_f = np.full(len(kept), 1.0), np.full((len(kept), FACTORS), 1.0)
     bias, past_b = model.bias, 1.0
     for _ in range(EPOCHS):
-        order = random.permutation(usable)
+        order = random.permutation(len(rows))
         for at in range(0, len(order), BATCH):
             batch = order[at:at + BATCH]
             lengths = np.array([len(rows[i]) for i in batch])
-            terms = np.concatenate([rows[i] for i in batch])
-            starts = np.cumsum(lengths) - lengths
-            score, sums = pair_scores(weights[terms], factors[terms], starts)
-            wrong = 1 / (1 + np.exp(-np.clip(bias + score, -30, 30))) - labels[batch]
-            of_term = np.repeat(wrong, lengths)
-            pulls = of_term[:, None] * (np.repeat(sums, lengths, axis=0) - factors[terms])
-            seen, where = np.unique(terms, return_inverse=True)
-            grad_w = np.bincount(where, of_term)
-            grad_f = np.stack([np.bincount(where, pulls[:, k]) for k in range(FACTORS)], axis=1)
-            grad_f += L2 * factors[seen]
-            past_w[seen] += grad_w * grad_w
-            past_f[seen] += grad_f * grad_f
-            step = RATE / np.sqrt(past_w[seen])
-            moved = weights[seen] - step * grad_w
-            weights[seen] = np.sign(moved) * np.maximum(np.abs(moved) - step * L1, 0)
-            factors[seen] -= RATE / np.sqrt(past_f[seen]) * grad_f * 0.2
+            wrong = np.full(len(batch), bias)
+            filled = lengths > 0
+            if filled.any():
+                terms = np.concatenate([rows[i] for i in batch])
+                starts = (np.cumsum(lengths) - lengths)[filled]
+                v = factors[terms] * value[terms, None]
+                score, sums = pair_scores(weights[terms] * value[terms], v, starts)
+                wrong[filled] += score
+            wrong = 1 / (1 + np.exp(-np.clip(wrong, -30, 30))) - labels[batch]
+            if filled.any():
+                of_term = np.repeat(wrong[filled], lengths[filled]) * value[terms]
+                pulls = of_term[:, None] * (np.repeat(sums, lengths[filled], axis=0) - v)
+                seen, where = np.unique(terms, return_inverse=True)
+                grad_w = np.bincount(where, of_term) + DECAY * weights[seen]
+                grad_f = np.stack([np.bincount(where, pulls[:, k]) for k in range(FACTORS)], 1)
+                grad_f += DECAY * factors[seen]
+                past_w[seen] += grad_w * grad_w
+                past_f[seen] += grad_f * grad_f
+                weights[seen] -= RATE * grad_w / np.sqrt(past_w[seen])
+                factors[seen] -= RATE * grad_f / np.sqrt(past_f[seen])
             past_b += wrong.sum() ** 2
             bias -= RATE * wrong.sum() / np.sqrt(past_b)
     model.bias = float(bias)
-    model.weights[kept], model.factors[kept] = weights, factors
+    model.weights[kept], model.factors[kept] = weights * value, factors * value[:, None]
     return model
 
 
