@@ -30,6 +30,7 @@ from dataclasses import dataclass
 from itertools import chain
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -231,14 +232,13 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id",
     return rows.mapInArrow(judge, f"doc_id {kind}, score double")
 
 
-def reject(docs: DataFrame, labels: DataFrame, text_col: str = "text",
+def reject(docs: DataFrame, labelled_docs: DataFrame, labels: DataFrame, text_col: str = "text",
            threshold: float = 0.5) -> DataFrame:
     """The documents scored under the threshold, with all their columns."""
-    shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels, text_col=text_col))
+    shared = docs.sparkSession.sparkContext.broadcast(train(labelled_docs, labels))
 
     @F.pandas_udf("double")
-    def judge(texts):
-        import pandas as pd
+    def judge(texts: pd.Series) -> pd.Series:
         return pd.Series(shared.value.scores([terms_of(t) for t in texts]))
 
     return docs.filter(judge(text_col) < threshold)
