@@ -8,6 +8,15 @@ from pyspark.sql import functions as F
 from playlens.llm.common import materialized
 
 
+def are_stars(edges: DataFrame) -> bool:
+    """Whether every node has one smaller neighbour or is one itself, not both."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+    ends = ends.unionByName(edges.select(F.col("b").alias("node"), F.lit(0).alias("up"),
+                                         F.lit(1).alias("down")))
+    return ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).filter(
+        "up + down > 1").isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """node, component (the smallest node reachable) of every node of links (a, b).
 
@@ -20,16 +29,12 @@ def components(links: DataFrame) -> DataFrame:
     edges = materialized(links.select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         .filter("a <> b").distinct())
-    before = None
-    while True:
-        mark = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if mark == before:
-            break
-        before = mark
+    while not are_stars(edges):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        lowest = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
+        lowest = both.groupBy("a").agg(F.min("b").alias("m")).select(
+            "a", F.least("a", "m").alias("m"))
         tied = both.join(lowest, "a").filter("b > a").select(
-            F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+            F.col("b").alias("a"), F.col("m").alias("b"))
         lowest = tied.groupBy("a").agg(F.min("b").alias("m"))
         joined = tied.join(lowest, "a")
         edges = materialized(

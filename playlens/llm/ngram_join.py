@@ -48,6 +48,7 @@ SHINGLE_WORDS = 3
 PERCENT = 90
 BLOCK = 1000
 SHARED_SETS = 16
+FLAT = 32  # subtrees with so few sets are compared side by side
 
 
 @dataclass(frozen=True)
@@ -114,6 +115,17 @@ class Branch:
     most: int = 0
     longest: int = 0  # shared tokens of the longest set below
     children: list = field(default_factory=list)
+    leaves: Leaves | None = None  # sets of children with few sets
+
+
+@dataclass
+class Leaves:
+    """The last stretches of sets that branch off one place, side by side."""
+
+    places: np.ndarray
+    sizes: np.ndarray
+    tokens: np.ndarray
+    starts: np.ndarray
 
 
 def grow(ordered: list[np.ndarray], sizes: np.ndarray) -> Branch:
@@ -131,16 +143,24 @@ def grow(ordered: list[np.ndarray], sizes: np.ndarray) -> Branch:
         within = slice(branch.low, branch.high)
         branch.least, branch.most = int(sizes[within].min()), int(sizes[within].max())
         branch.longest = int(lengths[within].max())
-        at = branch.low
+        at, single = branch.low, []
         while at < branch.high and len(ordered[at]) == branch.end:
             at += 1  # sets that end here
         while at < branch.high:
             token, low = ordered[at][branch.end], at
             while at < branch.high and ordered[at][branch.end] == token:
                 at += 1
-            child = Branch(low, at, np.empty(0, np.int64), 0)
-            branch.children.append(child)
-            todo.append((child, branch.end))
+            if at - low > FLAT:
+                child = Branch(low, at, np.empty(0, np.int64), 0)
+                branch.children.append(child)
+                todo.append((child, branch.end))
+            else:
+                single.extend(range(low, at))
+        if single:
+            tails = [ordered[i][branch.end:] for i in single]
+            ends = np.cumsum([len(t) for t in tails])
+            branch.leaves = Leaves(np.array(single), sizes[single], np.concatenate(tails),
+                                   np.concatenate([[0], ends[:-1]]))
     return root
 
 
@@ -196,12 +216,20 @@ def trie_links(sets: list[np.ndarray], like: Similarity, labels: list | None = N
             reach = overlap + min(left, branch.longest - branch.end)
             if reach < like.overlap(size, branch.least):
                 continue
-            at = branch.low
+            hits, at = [], branch.low
             while at < high and len(ordered[at]) == branch.end:
-                if group[at] != group[probe] and overlap >= like.overlap(size, int(sizes[at])):
+                if overlap >= like.overlap(size, int(sizes[at])):
+                    hits.append(at)
+                at += 1
+            if (leaves := branch.leaves) is not None and leaves.places[0] < high:
+                overlaps = overlap + np.add.reduceat(inside[leaves.tokens], leaves.starts,
+                                                     dtype=np.int64)
+                fits = (overlaps >= like.overlap(size, leaves.sizes)) & (leaves.places < high)
+                hits += leaves.places[fits].tolist()
+            for at in hits:
+                if group[at] != group[probe]:
                     links.append((order[probe], order[at]))
                     group[group == group[at]] = group[probe]
-                at += 1
             todo.extend((child, overlap) for child in branch.children)
         inside[own] = False
     return links
@@ -223,6 +251,22 @@ def shingle_facts(docs: DataFrame, words: int, percent: int) -> DataFrame:
     return docs.mapInArrow(describe, "doc_id long, n_shingles long, same binary, keys array<long>")
 
 
+def as_stars(links: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Each linked node with the smallest node it is connected to."""
+    top: dict[int, int] = {}
+
+    def root(node: int) -> int:
+        while top.setdefault(node, node) != node:
+            top[node] = top[top[node]]
+            node = top[node]
+        return node
+
+    for a, b in links:
+        low, high = sorted((root(a), root(b)))
+        top[high] = low
+    return [(node, root(node)) for node in list(top) if root(node) != node]
+
+
 def linked_in_blocks(rows: DataFrame, words: int, percent: int) -> DataFrame:
     """Links (a, b) found in each block; rows have block, rep, label, probing, text.
 
@@ -235,7 +279,7 @@ def linked_in_blocks(rows: DataFrame, words: int, percent: int) -> DataFrame:
         choice = [probing for _, _, probing, _ in block]
         found = trie_links(sets, like, [label for _, label, _, _ in block],
                            None if all(choice) else choice)
-        return [(block[i][0], block[j][0]) for i, j in found]
+        return as_stars([(block[i][0], block[j][0]) for i, j in found])
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, block = None, []
@@ -254,7 +298,9 @@ def linked_in_blocks(rows: DataFrame, words: int, percent: int) -> DataFrame:
         yield pa.RecordBatch.from_arrays(
             [pa.array([x[i] for x in links], pa.int64()) for i in (0, 1)], ["a", "b"])
 
-    return rows.repartition("block").sortWithinPartitions("block").mapInArrow(
+    # Blocks cost by their pairs, not by their bytes: a fixed width keeps them apart.
+    width = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(width, "block").sortWithinPartitions("block").mapInArrow(
         walk, "a long, b long")
 
 
