@@ -16,11 +16,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from playlens.llm.common import SPACES, materialized
+from playlens.llm.common import SPACES, bit_maps, materialized, with_maybe
 
 PREFIX_CHARS = 256
-# Bits of the filter over surviving (length, prefix) groups: 256 rows of 4 KB whatever the input.
-FILTER_BITS = 1 << 23
 
 
 def normalized(text: str | Column) -> Column:
@@ -33,39 +31,25 @@ def _measured(body: Column, prefix_chars: int) -> list[Column]:
             F.xxhash64(F.substring(body, 1, prefix_chars)).alias("__prefix")]
 
 
-def _slot() -> Column:
-    return F.pmod(F.xxhash64("__length", "__prefix"), F.lit(FILTER_BITS))
-
-
 def surviving_groups(docs: DataFrame, text_col: str = "text",
                      prefix_chars: int = PREFIX_CHARS) -> DataFrame:
     """Bit maps of the (length, prefix hash) groups that hold more than one row.
 
     Rows that are alone with their length leave before the second grouping; only numbers are
-    shuffled. The result has at most FILTER_BITS / 32768 rows.
+    shuffled. The result has a fixed size.
     """
     facts = materialized(docs.select(*_measured(normalized(text_col), prefix_chars)))
     lengths = facts.groupBy("__length").agg(F.count("*").alias("n")).filter("n > 1")
     groups = (facts.join(lengths, "__length", "left_semi")
               .groupBy("__length", "__prefix").agg(F.count("*").alias("n")).filter("n > 1"))
-    return groups.groupBy(F.bitmap_bucket_number(_slot()).alias("__bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(_slot())).alias("__bits"))
+    return bit_maps(groups, "__length", "__prefix")
 
 
 def flagged(docs: DataFrame, survivors: DataFrame, text_col: str = "text",
             prefix_chars: int = PREFIX_CHARS) -> DataFrame:
-    """The rows with `__maybe`: false means certainly without a copy.
-
-    The bit maps are joined by broadcast (1 MB at most), so no text is shuffled.
-    """
+    """The rows with `__maybe`: false means certainly without a copy. No text is shuffled."""
     measured = docs.select("*", *_measured(normalized(text_col), prefix_chars))
-    bit = F.bitmap_bit_position(_slot())
-    byte = F.conv(F.hex(F.substring("__bits", (bit / 8).cast("int") + 1, F.lit(1))), 16, 10)
-    is_set = F.getbit(byte.cast("bigint"), (bit % 8).cast("int")) == 1
-    joined = measured.withColumn("__bucket", F.bitmap_bucket_number(_slot())).join(
-        F.broadcast(survivors), "__bucket", "left")
-    return joined.withColumn("__maybe", F.coalesce(is_set, F.lit(False))).drop(
-        "__bucket", "__bits", "__length", "__prefix")
+    return with_maybe(measured, survivors, "__length", "__prefix").drop("__length", "__prefix")
 
 
 def refine(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

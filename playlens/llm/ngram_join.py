@@ -41,7 +41,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playlens.llm.common import materialized, mix, shingle_hashes
+from playlens.llm.common import (bit_maps, materialized, mix, shingle_hashes, with_maybe,
+                                 without)
 from playlens.llm.graph import components
 
 SHINGLE_WORDS = 3
@@ -315,15 +316,18 @@ def _slice_of(count: str):
 def near_links(docs: DataFrame, heads: DataFrame, words: int, percent: int) -> DataFrame:
     """Links (a, b) between classes; `heads` has rep and keys, `docs` doc_id and text."""
     keyed = heads.select("rep", F.explode("keys").alias("key"))
-    hubs = keyed.groupBy("key").agg(F.min("rep").alias("hub"), F.max("rep").alias("far")).filter(
-        "hub < far").drop("far")
-    ties = keyed.join(hubs, "key").filter("rep <> hub").select(
+    hubs = materialized(keyed.groupBy("key").agg(
+        F.min("rep").alias("hub"), F.max("rep").alias("far")).filter("hub < far").drop("far"))
+    # Most keys are of one class; filters of a fixed size keep them, and most texts, unshuffled.
+    common = with_maybe(keyed, bit_maps(hubs, "key"), "key").filter("__maybe")
+    ties = common.join(hubs, "key").filter("rep <> hub").select(
         F.col("rep").alias("a"), F.col("hub").alias("b")).distinct()
     grouped = materialized(components(ties).select(
         F.col("node").alias("rep"), F.col("component").alias("tied")))
     counts = grouped.groupBy("tied").agg(F.count("*").alias("n"))
     members = materialized(grouped.join(counts, "tied"))
-    texts = docs.select(F.col("doc_id").alias("rep"), "text")
+    texts = with_maybe(docs.select(F.col("doc_id").alias("rep"), "text"),
+                       bit_maps(members, "rep"), "rep").filter("__maybe").drop("__maybe")
     small = F.col("n") <= BLOCK
     everywhere = F.pmod(F.xxhash64("rep", F.lit(2)), F.col("n")) < SHARED_SETS
     places = F.when(small, F.array(F.lit(0))).when(
@@ -387,5 +391,5 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Rows without an id stay. Only the ids that go are joined with the documents.
     """
     gone = join(docs, id_col, text_col, words, percent).filter(
-        "component_id <> doc_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col(id_col) == F.col("__gone"), "left_anti")
+        "component_id <> doc_id").select("doc_id").distinct()
+    return without(docs, gone, id_col)
