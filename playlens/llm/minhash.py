@@ -68,8 +68,9 @@ def in_order(docs: DataFrame, ranges: int) -> DataFrame:
     one head per range are known outside it. Texts are shuffled once.
     """
     spark = docs.sparkSession
+    shares = [i / ranges for i in range(1, ranges)]
     borders = sorted(set(docs.filter("doc_id IS NOT NULL").approxQuantile(
-        "doc_id", [i / ranges for i in range(1, ranges)], 0.2 / ranges)))
+        "doc_id", shares, 0.2 / ranges))) if shares else []
     at = F.lit(0)
     if borders:
         bounds = F.array(*[F.lit(int(b)).cast("long") for b in borders])

@@ -375,13 +375,16 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     heads = members.filter("doc_id = rep").select("rep", "keys")
     links = near_links(rows, heads, words, percent)
     # Rows of one id in several classes tie these classes.
-    ties = members.filter("doc_id <> rep").select(
-        F.col("doc_id").alias("a"), F.col("rep").alias("b")).join(
-        classes.select(F.col("rep").alias("a")).distinct(), "a", "left_semi")
+    several = members.groupBy("doc_id").agg(
+        F.min("rep").alias("b"), F.max("rep").alias("far")).filter("b < far").drop("far")
+    ties = members.select("doc_id", "rep").join(several, "doc_id").select(
+        F.col("rep").alias("a"), "b")
     found = components(links.unionByName(ties))
     placed = facts.select("doc_id", "n_shingles", "same").join(classes, "same", "left")
     return placed.join(found, F.col("rep") == F.col("node"), "left").select(
-        "doc_id", "n_shingles", F.coalesce("component", "rep", "doc_id").alias("component_id"))
+        "doc_id", "n_shingles", F.when(
+            F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id"))
+        .alias("component_id"))
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
