@@ -23,7 +23,6 @@ import re
 import zlib
 from collections import defaultdict
 from collections.abc import Callable, Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,12 +36,14 @@ END_ID = 2
 VOCABULARY = "word_bpe_49k.json"
 RANK_BUCKETS = 64
 REMEMBERED_CHUNKS = 600_000
-GROUP_CHARS = 1_000_000
 
 # Characters Python takes for white space and the vocabulary's pattern does not; and the opening
 # of its special tokens, which may stand inside a chunk.
 UNUSUAL = re.compile("[\x1c-\x1f]|<\\|")
 
+# The vocabulary's pattern of words for printable ASCII in lower case (fixed value).
+ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
+
 Pattern = tuple[tuple[int, int], ...]  # (length, repeats), longest first
 
 
@@ -102,11 +103,27 @@ def place_of(plan: np.ndarray, length: np.ndarray, rank: np.ndarray) -> tuple:
     return sequence + along // repeats, offset + along % repeats * length
 
 
+class WordIds(dict):
+    """Token ids (little-endian, 4 bytes each) of words as the vocabulary's model takes them."""
+
+    def __init__(self, model):
+        super().__init__()
+        self.model = model
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= REMEMBERED_CHUNKS:
+            self.clear()
+        value = np.array([t.id for t in self.model.tokenize(word)], "<u4").tobytes()
+        self[word] = value
+        return value
+
+
 class ChunkIds(dict):
-    """Token ids (little-endian, 4 bytes each) of chunks between white space.
+    """Token ids of chunks between white space.
 
     The vocabulary drops white space and joins nothing across it, so the ids of a text are those of
-    its chunks.
+    its chunks. Printable ASCII chunks are split by the vocabulary's pattern as it reads for them;
+    others go through its own normalizer and splitter.
     """
 
     def __init__(self, path: str):
@@ -114,35 +131,28 @@ class ChunkIds(dict):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-
-    def whole(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        self.normalize = self.tokenizer.normalizer.normalize_str
+        self.split = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        self.words = WordIds(self.tokenizer.model)
+
+    def __missing__(self, chunk: str) -> bytes:
+        if chunk.isascii() and chunk.isprintable():
+            words = ASCII_WORDS.findall(chunk.lower())
+        else:
+            words = [word for word, _ in self.split(self.normalize(chunk))]
+        value = b"".join(map(self.words.__getitem__, words))
+        self[chunk] = value
+        return value
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
-        """The ids of each text; new chunks of a group of texts go to the tokenizer together."""
-        for group in by_size(texts, GROUP_CHARS):
-            split = [None if UNUSUAL.search(text) else text.split() for text in group]
+        for text in texts:
+            if UNUSUAL.search(text):
+                ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+                yield np.array(ids, "<u4").tobytes()
+                continue
             if len(self) > REMEMBERED_CHUNKS:
                 self.clear()
-            new = [c for c in set(chain.from_iterable(s for s in split if s)) if c not in self]
-            self.update(zip(new, self.whole(new), strict=True))
-            for text, chunks in zip(group, split, strict=True):
-                yield self.whole([text])[0] if chunks is None else b"".join(
-                    map(self.__getitem__, chunks))
-
-
-def by_size(texts: list[str], most: int) -> Iterator[list[str]]:
-    """Consecutive groups of texts with about `most` characters."""
-    group, size = [], 0
-    for text in texts:
-        group.append(text)
-        size += len(text)
-        if size >= most:
-            yield group
-            group, size = [], 0
-    if group:
-        yield group
+            yield b"".join(map(self.__getitem__, text.split()))
 
 
 _CHUNKS: dict[str, ChunkIds] = {}
