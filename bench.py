@@ -14,7 +14,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from checks.registry import QUERIES  # noqa: E402
 from playlens.session import build_session  # noqa: E402
 
-RUNS = 2
+RUNS = 3
 
 
 def main() -> None:

@@ -15,8 +15,9 @@ def time_span(ts: str, width: str) -> Column:
 
 def interval_micros(text: str) -> int:
     amount, unit = text.split()
-    seconds = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.rstrip("s")]
-    return int(amount) * seconds * 1_000_000
+    micros = {"millisecond": 1_000, "second": 1_000_000, "minute": 60_000_000,
+              "hour": 3_600_000_000, "day": 86_400_000_000}[unit.rstrip("s")]
+    return int(amount) * micros
 
 
 def rows_since(events: DataFrame, bound: Column) -> DataFrame:
@@ -49,54 +50,42 @@ def first_rows_per_key(df: DataFrame, keys: list[str], order: list[Column], n: i
               .filter(F.col("row_no") <= n))
 
 
-# A group this large is cut into finer time slices, and at most so many groups
-# are: the list of them is broadcast and must have a bound. A group outside the
-# list holds less than one part in MAX_SPLIT_GROUPS of all rows.
-ROWS_PER_GROUP = 2_000_000
-MAX_SPLIT_GROUPS = 10_000
-
-
-def time_slices(df: DataFrame, keys: list[str], ts: str, width: str,
-                rows_per_group: int = ROWS_PER_GROUP) -> DataFrame:
-    """Adds `span` and `slice`: consecutive stretches of time of a key.
-
-    Spans have a fixed width. A (key, span) with more than `rows_per_group` rows
-    is cut into as many slices as it exceeds that, so that no group of
-    (key, span, slice) grows with the traffic of a hot key.
-    """
-    width_us = interval_micros(width)
-    placed = df.withColumn("span", time_span(ts, width))
-    crowded = (placed.groupBy(*keys, "span").agg(F.count(F.lit(1)).alias("rows"))
-               .filter(F.col("rows") > rows_per_group)
-               .orderBy(F.desc("rows")).limit(MAX_SPLIT_GROUPS)
-               .select(*keys, "span", F.ceil(F.col("rows") / rows_per_group).alias("slices")))
-    inside = F.pmod(F.unix_micros(ts), F.lit(width_us))
-    slice_us = F.greatest(F.call_function("div", F.lit(width_us), F.col("slices")), F.lit(1))
-    number = F.when(F.col("slices").isNull(), F.lit(0).cast("bigint")).otherwise(
-        F.call_function("div", inside, slice_us))
-    return (placed.join(F.broadcast(crowded), [*keys, "span"], "left")
-                  .withColumn("slice", number).drop("slices"))
+# Spans of falling width in which the rows of a key are ordered: rows within the narrowest, then
+# only the last row of every span within the next wider one.
+WIDTHS = ("1 hour", "1 second", "1 millisecond")
 
 
 def with_previous(df: DataFrame, keys: list[str], ts: str, tie: str, columns: list[str],
-                  width: str = "1 hour", rows_per_group: int = ROWS_PER_GROUP) -> DataFrame:
+                  widths: tuple[str, ...] = WIDTHS) -> DataFrame:
     """Adds `prev`: the struct of `columns` from the preceding row of the key.
 
-    Rows are ordered by (ts, tie). The window runs per (key, time slice), so the
-    rows of one key are spread over as many groups as it has active slices; the
-    value that crosses a border comes from the last row of the key's previous
-    slice, of which there is one per slice. Exact, whatever the width.
+    Rows are ordered by (ts, tie). No window sees the whole of a busy key: rows are ordered within
+    a millisecond, the last rows of milliseconds within a second, those of seconds within an hour,
+    and those of hours over the key. What crosses a border comes from the level above. Exact,
+    whatever the widths; the input is read twice.
     """
-    placed = time_slices(df, keys, ts, width, rows_per_group)
-    group = [*keys, "span", "slice"]
-    inside = Window.partitionBy(*group).orderBy(ts, tie)
+    spans = [f"span_{i}" for i in range(len(widths))]
+    placed = df.withColumns({span: time_span(ts, width)
+                             for span, width in zip(spans, widths, strict=True)})
+    inside = Window.partitionBy(*keys, *spans).orderBy(ts, tie)
     local = placed.withColumn("prev", F.lag(F.struct(*columns)).over(inside))
 
-    tails = placed.groupBy(*group).agg(
-        F.max_by(F.struct(*columns), F.struct(ts, tie)).alias("tail"))
-    across = Window.partitionBy(*keys).orderBy("span", "slice")
-    carried = tails.select(*group, F.lag("tail").over(across).alias("carried"))
-
-    return (local.join(carried, group, "left")
+    last = F.max_by(F.struct(*columns), F.struct(ts, tie)).alias("tail")
+    tails = {len(spans): placed.groupBy(*keys, *spans).agg(last, F.max(F.struct(ts, tie)).alias(
+        "at"))}
+    for level in range(len(spans) - 1, 0, -1):
+        tails[level] = tails[level + 1].groupBy(*keys, *spans[:level]).agg(
+            F.max_by("tail", "at").alias("tail"), F.max("at").alias("at"))
+    carried = None
+    for level in range(1, len(spans) + 1):
+        group = [*keys, *spans[:level - 1]]
+        before = F.lag("tail").over(Window.partitionBy(*group).orderBy(spans[level - 1]))
+        own = tails[level].select(*group, spans[level - 1], before.alias("carried"))
+        if carried is not None:
+            wider = carried.withColumnRenamed("carried", "from_wider")
+            own = own.join(wider, group).withColumn(
+                "carried", F.coalesce("carried", "from_wider")).drop("from_wider")
+        carried = own
+    return (local.join(carried, [*keys, *spans], "left")
                  .withColumn("prev", F.coalesce("prev", "carried"))
-                 .drop("span", "slice", "carried"))
+                 .drop(*spans, "carried"))

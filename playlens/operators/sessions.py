@@ -107,7 +107,7 @@ def session_starts_by_lag(events: DataFrame, gap: str = "30 minutes") -> DataFra
     """Session starts found event by event; a second way to the same borders."""
     rows = events.select("user_id", "event_timestamp", "event_id")
     chained = with_previous(rows, ["user_id"], "event_timestamp", "event_id",
-                            ["event_timestamp"], width="1 day")
+                            ["event_timestamp"])
     silence = F.unix_micros("event_timestamp") - F.unix_micros("prev.event_timestamp")
     opens = F.col("prev").isNull() | (silence > interval_micros(gap))
     return chained.filter(opens).select(

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,9 +28,17 @@ def write_partitioned(df: DataFrame, path: str, partition_by: list[str], mode: s
        .partitionBy(*partition_by).parquet(path))
 
 
-def write_history(events: DataFrame, path: str, mode: str = "append") -> None:
-    """Appends events to the history, one folder per day."""
-    write_partitioned(history_events(events), path, ["event_date"], mode)
+# History folders: a day, then the batch that wrote the rows. Appends outside a stream share one
+# batch number; a stream's batches have their own, from 0 on.
+HISTORY_FOLDERS = ["event_date", "batch_id"]
+APPENDED = -1
+
+
+def write_history(events: DataFrame, path: str, mode: str = "append",
+                  batch_id: int = APPENDED) -> None:
+    """Adds events to the history. With mode `overwrite` a batch replaces its own folders only."""
+    rows = history_events(events).withColumn("batch_id", F.lit(batch_id))
+    write_partitioned(rows, path, HISTORY_FOLDERS, mode)
 
 
 def history_schema() -> T.StructType:
@@ -38,23 +49,39 @@ def history_schema() -> T.StructType:
                          for name in (*HISTORY_COLUMNS, *HISTORY_DERIVED)])
 
 
-def read_history(spark: SparkSession, path: str) -> DataFrame:
-    """The history; files written before a column was added give null for it."""
-    return spark.read.schema(history_schema()).parquet(path)
+def read_history(spark: SparkSession, path: str, days: list[str] | None = None) -> DataFrame:
+    """The history; files written before a column was added give null for it.
+
+    With `days` only the folders of these days are listed and read; days without one are empty.
+    """
+    reader = spark.read.schema(history_schema())
+    if days is None:
+        return reader.parquet(path).drop("batch_id")
+    folders = [f"{path}/event_date={day}" for day in days
+               if files.exists(spark, f"{path}/event_date={day}")]
+    if not folders:
+        return spark.createDataFrame([], history_schema())
+    return reader.option("basePath", path).parquet(*folders).drop("batch_id")
+
+
+def history_days(spark: SparkSession, path: str) -> list[str]:
+    """The days that have a folder, in order; rows without a date are in none of them."""
+    named = [name.split("=", 1)[1] for name in files.children(spark, path)
+             if name.startswith("event_date=")]
+    return sorted(day for day in named if re.fullmatch(r"\d{4}-\d{2}-\d{2}", day))
 
 
 def newest_day(spark: SparkSession, path: str) -> str | None:
     """The last day folder of a history, from folder names alone."""
-    days = [name.split("=", 1)[1] for name in files.children(spark, path)
-            if name.startswith("event_date=")]
-    return max(days, default=None)
+    return max(history_days(spark, path), default=None)
 
 
 def recent_history(spark: SparkSession, path: str, days: int = 1) -> DataFrame:
     """The newest days of a history; no other folder is read."""
-    newest = F.lit(newest_day(spark, path)).cast("date")
-    return read_history(spark, path).filter(
-        F.col("event_date") > F.date_sub(newest, days))
+    present = history_days(spark, path)
+    oldest = str(datetime.date.fromisoformat(present[-1]) - datetime.timedelta(days=days - 1)) \
+        if present else ""
+    return read_history(spark, path, [day for day in present if day >= oldest])
 
 
 def events_from_history(history: DataFrame) -> DataFrame:

@@ -53,7 +53,7 @@ def run_hour(spark: SparkSession, history_path: str, out_path: str, date: str, h
     """Recomputes one hour of the hourly table; 0 and no change without events."""
     if not has_rows(spark, history_path, date, date):
         return 0
-    history = read_history(spark, history_path)
+    history = read_history(spark, history_path, [date])
     of_hour = history.filter((F.col("event_date") == F.lit(date).cast("date"))
                              & (F.col("event_hour") == hour))
     if of_hour.isEmpty():
@@ -76,8 +76,8 @@ def backfill(spark: SparkSession, history_path: str, hourly_path: str, daily_pat
     if target in ("hourly", "all"):
         written["hourly"] = 0
         if has_rows(spark, history_path, start, end):
-            stats = rollup.hourly_content_stats(read_history(spark, history_path),
-                                                start=start, end=end)
+            stats = rollup.hourly_content_stats(
+                read_history(spark, history_path, days_between(start, end)), start=start, end=end)
             written["hourly"] = replace_scope(spark, _processed(stats), hourly_path,
                                               HOURLY_PARTITIONS, scope)
     if target in ("daily", "all"):
@@ -98,8 +98,7 @@ def rebuild_and_swap(spark: SparkSession, history_path: str, new_path: str, view
     The switch happens only when every title and day of the new table adds up to
     the events of the history.
     """
-    history = read_history(spark, history_path).filter(
-        F.col("event_date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+    history = read_history(spark, history_path, days_between(start, end))
     stats = rollup.hourly_content_stats(history)
     replace_scope(spark, _processed(stats), new_path, HOURLY_PARTITIONS,
                   [f"event_date={day}" for day in days_between(start, end)])

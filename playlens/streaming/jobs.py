@@ -47,9 +47,8 @@ def hot_views_job(events: DataFrame, root: str, checkpoint: str, **options) -> S
     return start(events, sinks.fan_out_to(root), checkpoint, **options)
 
 
-def history_job(events: DataFrame, path: str, checkpoint: str, files_per_day: int = 8, **options
-                ) -> StreamingQuery:
-    return start(events, sinks.history_to(path, files_per_day), checkpoint, **options)
+def history_job(events: DataFrame, path: str, checkpoint: str, **options) -> StreamingQuery:
+    return start(events, sinks.history_to(path), checkpoint, **options)
 
 
 def ingest_job(records: DataFrame, events_path: str, quarantine_path: str, checkpoint: str,

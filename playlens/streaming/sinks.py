@@ -11,12 +11,12 @@ from collections.abc import Callable
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from playlens.operators import views
 from playlens.operators.enrich import retained
 from playlens.operators.ordered import latest_per_key
-from playlens.plans import files
+from playlens.operators.quality import deduplicated
+from playlens.plans import files, layout
 from playlens.sources.decode import accepted, decode_events, quarantined
 from playlens.sources.schema import RETENTION_DAYS, TABLE_KEYS
 
@@ -40,14 +40,33 @@ def batches_to(path: str, partition_by: list[str] | None = None) -> BatchWriter:
     return lambda df, batch_id: write_batch(df, path, batch_id, partition_by)
 
 
-def history_to(path: str, files_per_day: int = 8) -> BatchWriter:
-    """History rows by day; a day's rows are spread over `files_per_day` tasks."""
-    def write(events: DataFrame, batch_id: int) -> None:
-        slot = F.pmod(F.xxhash64("event_id"), F.lit(files_per_day))
-        rows = views.history_events(events).withColumn("slot", slot)
-        write_batch(rows.repartition("event_date", "slot").drop("slot"), path, batch_id,
-                    ["event_date"])
-    return write
+def history_to(path: str) -> BatchWriter:
+    """History rows by day and batch; a repeated batch replaces its own folders."""
+    return lambda events, batch_id: layout.write_history(events, path, "overwrite", batch_id)
+
+
+def fold_history(spark: SparkSession, path: str, before: str) -> int:
+    """Merges the batch folders of every day earlier than `before`; returns the days merged.
+
+    Rows are deduplicated on the event id. The merged folder is complete and in place under a new
+    number before an old one goes, so a run that stops anywhere leaves every event readable, some
+    twice at worst, and the next run repairs that. Days with one folder are not touched.
+    """
+    folded = 0
+    for day in layout.history_days(spark, path):
+        folder = f"{path}/event_date={day}"
+        batches = sorted(int(name.split("=")[1]) for name in files.children(spark, folder)
+                         if name.startswith("batch_id="))
+        if day >= before or len(batches) < 2:
+            continue
+        staged = files.hidden_name(path, "fold")
+        rows = deduplicated(layout.read_history(spark, path, [day])).drop("event_date")
+        rows.hint("rebalance").write.option("compression", "zstd").parquet(staged)
+        files.rename(spark, staged, f"{folder}/batch_id={min(0, *batches) - 1}")
+        for batch in batches:
+            files.delete(spark, f"{folder}/batch_id={batch}")
+        folded += 1
+    return folded
 
 
 # The six views of the hot store: builder and key of the latest row, if it is

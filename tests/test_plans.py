@@ -194,23 +194,24 @@ def test_compaction_keeps_rows_and_cuts_files(spark, scratch):
     small_files(spark, path)
     before = maintenance.table_stats(spark, path).first()
     rows = sorted(layout.read_history(spark, path).collect())
-    assert maintenance.compact_partitions(spark, path, ["event_date"]) == 2
+    assert maintenance.compact_partitions(spark, path, layout.HISTORY_FOLDERS) == 2
     after = maintenance.table_stats(spark, path).first()
     assert sorted(layout.read_history(spark, path).collect()) == rows
     assert (before["file_count"], after["file_count"]) == (12, 2)
     assert before["record_count"] == after["record_count"] == 480
     assert after["total_size_mb"] < 1
-    assert maintenance.compact_partitions(spark, path, ["event_date"]) == 0
+    assert maintenance.compact_partitions(spark, path, layout.HISTORY_FOLDERS) == 0
 
 
 def test_compaction_to_several_files(spark, scratch):
     path = f"{scratch}/h"
     small_files(spark, path, times=8)
-    maintenance.compact_partitions(spark, path, ["event_date"], target_bytes=20_000,
+    maintenance.compact_partitions(spark, path, layout.HISTORY_FOLDERS, target_bytes=20_000,
                                    sort_by=["user_id", "event_timestamp"])
     counts = {r["partition"]: r["file_count"]
               for r in maintenance.partition_stats(spark, path).collect()}
-    assert set(counts) == {"event_date=2024-01-01", "event_date=2024-01-02"}
+    assert set(counts) == {"event_date=2024-01-01/batch_id=-1",
+                           "event_date=2024-01-02/batch_id=-1"}
     assert all(1 < n < 8 for n in counts.values())
     assert maintenance._jobs([('a', 3), ('b', 2), ('c', 9), ('d', 1)], 5) == [
         [('a', 3, 0), ('b', 2, 3)], [('c', 9, 0)], [('d', 1, 0)]]

@@ -8,7 +8,7 @@ from events import make_events
 from pyspark.sql import functions as F
 
 from playlens.operators import lookups, metrics, qos, sessions, views
-from playlens.operators.ordered import time_slices, with_previous
+from playlens.operators.ordered import WIDTHS, time_span, with_previous
 
 
 @pytest.fixture(scope="module")
@@ -37,13 +37,13 @@ def in_order(rows, key):
     return groups
 
 
-@pytest.mark.parametrize("width, limit", [("1 hour", 50), ("1 minute", 10**6), ("1 day", 7),
-                                          ("30 seconds", 1)])
-def test_previous_row_is_exact(skewed, width, limit):
+@pytest.mark.parametrize("widths", [WIDTHS, ("1 day",), ("1 minute", "30 seconds"),
+                                    ("1 day", "1 hour", "1 minute", "1 second")])
+def test_previous_row_is_exact(skewed, widths):
     rows, frame = skewed
     chained = with_previous(frame.select("user_id", "event_timestamp", "event_id"),
                             ["user_id"], "event_timestamp", "event_id", ["event_id"],
-                            width=width, rows_per_group=limit)
+                            widths=widths)
     got = {r["event_id"]: r["prev"] and r["prev"]["event_id"] for r in chained.collect()}
     expected = {}
     for group in in_order(rows, "user_id").values():
@@ -52,12 +52,16 @@ def test_previous_row_is_exact(skewed, width, limit):
     assert got == expected
 
 
-def test_hot_group_is_cut(skewed):
-    rows, frame = skewed
-    sizes = (time_slices(frame, ["user_id"], "event_timestamp", "1 hour", 100)
-             .groupBy("user_id", "span", "slice").count())
-    assert sizes.agg(F.max("count")).first()[0] < 200
-    assert sizes.agg(F.sum("count")).first()[0] == len(rows)
+def test_rows_of_one_second_are_cut(spark):
+    """A key whose rows all lie in one second: no group holds most of them."""
+    rows = spark.range(3000).select(
+        F.lit("u").alias("user_id"), F.col("id").cast("string").alias("event_id"),
+        F.timestamp_micros(F.lit(1_700_000_000_000_000) + F.col("id") * 300).alias("ts"))
+    groups = rows.groupBy(time_span("ts", WIDTHS[-1]).alias("s")).count()
+    assert groups.agg(F.max("count")).first()[0] <= 4
+    chained = with_previous(rows, ["user_id"], "ts", "event_id", ["event_id"]).collect()
+    got = {int(r["event_id"]): r["prev"] and int(r["prev"]["event_id"]) for r in chained}
+    assert got == {0: None, **{i: i - 1 for i in range(1, 3000)}}
 
 
 def test_sessions_of_a_hot_user(skewed):

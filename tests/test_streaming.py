@@ -8,7 +8,7 @@ from events import as_set, at, make_events
 from pyspark.sql import functions as F
 
 from playlens.operators import metrics, quality, sessions, views
-from playlens.plans import files
+from playlens.plans import files, layout, maintenance, replace, rollup_jobs
 from playlens.sources.schema import FLAT_EVENT
 from playlens.sources.tables import playback_events
 from playlens.streaming import jobs, sinks, sources
@@ -134,22 +134,49 @@ def test_repeated_batch_counts_once(spark, scratch):
     assert spark.read.parquet(f"{scratch}/events_by_user").count() == 1
 
 
-def test_history_stream_and_fold(spark, scratch):
+def test_history_stream_feeds_the_batch_jobs(spark, scratch):
+    """Stream, roll-up, backfill, freshness, retention and maintenance share one history."""
     events = flat(spark)
-    path = f"{scratch}/history"
+    path, apart = f"{scratch}/history", f"{scratch}/batch"
     for n in range(4):
         part = events.filter(F.pmod(F.col("event_id").cast("int"), F.lit(4)) == n)
         source = land(part, f"{scratch}/in", str(n))
-        run(jobs.history_job(sources.file_events(spark, source), path, f"{scratch}/cp",
-                             files_per_day=2, **ONCE))
-    expected = as_set(views.history_events(events).select("event_id", "event_date"))
-    assert as_set(spark.read.parquet(path).select("event_id", "event_date")) == expected
-    assert sinks.fold_batches(spark, path, partition_by=["event_date"]) == 3
-    assert files.children(spark, path) == ["batch_id=2", "batch_id=3"]
-    folded = spark.read.parquet(path)
-    assert folded.count() == events.count()
-    assert as_set(folded.select("event_id", "event_date")) == expected
-    assert sinks.fold_batches(spark, path, partition_by=["event_date"]) == 0
+        run(jobs.history_job(sources.file_events(spark, source), path, f"{scratch}/cp", **ONCE))
+    layout.write_history(events, apart)
+    days = layout.history_days(spark, path)
+    assert days == layout.history_days(spark, apart)
+    hours = []
+    for root in (path, apart):
+        written = rollup_jobs.backfill(spark, root, f"{root}_h", f"{root}_d", days[0], days[-1])
+        hours.append((written, as_set(spark.read.parquet(f"{root}_h").drop("processed_at"))))
+    assert hours[0] == hours[1] and hours[0][0]["hourly"] > 0
+    first = layout.read_history(spark, path).orderBy("event_timestamp").first()
+    assert rollup_jobs.run_hour(spark, path, f"{scratch}/one", str(first["event_date"]),
+                                first["event_hour"]) > 0
+    assert layout.recent_history(spark, path).count() > 0
+    tables = {path: layout.HISTORY_FOLDERS}
+    assert maintenance.maintain_tables(spark, tables) == {path: True}
+    assert layout.read_history(spark, path).count() == events.count()
+    assert replace.drop_expired(spark, path, "2100-01-01", 7) == [f"event_date={d}" for d in days]
+
+
+def test_history_batch_repeated_and_folded(spark, scratch):
+    write, path = sinks.history_to(scratch), scratch
+    batches = [make_events(spark, [{"event_id": str(n), "event_timestamp": f"10:0{n}:00"}])
+               for n in range(3)]
+    for n in (0, 1, 2, 2):
+        write(batches[n], n)
+    day = layout.history_days(spark, path)[0]
+    assert layout.read_history(spark, path).count() == 3
+    assert sinks.fold_history(spark, path, day) == 0  # the day is still open
+    # A run that stopped after its folder was in place leaves rows twice; the next one repairs it.
+    write(batches[0], 7)
+    write(batches[1], 8)
+    assert layout.read_history(spark, path).count() == 5
+    assert sinks.fold_history(spark, path, "9999-12-31") == 1
+    assert layout.read_history(spark, path).count() == 3
+    assert files.children(spark, f"{path}/event_date={day}") == ["batch_id=-1"]
+    assert sinks.fold_history(spark, path, "9999-12-31") == 0
 
 
 def test_fold_of_an_upsert_log(spark, scratch):
