@@ -19,7 +19,7 @@ MIX_1 = np.uint64(0xBF58476D1CE4E5B9)
 MIX_2 = np.uint64(0x94D049BB133111EB)
 
 # Words remembered by a Python worker; the memory is emptied when full.
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS = 150_000
 
 # Bits of the filters that spare rows a shuffle: 1,024 rows of 4 KB whatever the input.
 FILTER_BITS = 1 << 25

@@ -35,7 +35,7 @@ SEQUENCE = 4096
 END_ID = 2
 VOCABULARY = "word_bpe_49k.json"
 RANK_BUCKETS = 64
-REMEMBERED_CHUNKS = 600_000
+REMEMBERED_CHUNKS = 200_000
 
 # Characters Python takes for white space and the vocabulary's pattern does not; and the opening
 # of its special tokens, which may stand inside a chunk.

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from playlens.llm.common import WORD
 
 DIMENSIONS = 1 << 18
-SAMPLE_ROWS = 20_000
+SAMPLE_ROWS = 10_000
 EM_STEPS = 200
 EPOCHS, BATCH, RATE, DECAY = 4, 256, 0.1, 1e-4
 TOKEN = re.compile(r"\w+|[^\w\s]+")
@@ -142,10 +142,10 @@ def hashed(text: str | None) -> np.ndarray:
     tokens = TOKEN.findall(text.lower()) if text else []
     marks = [zlib.crc32(t.encode("utf-8", "surrogatepass")) for t in tokens]
     if not marks:
-        return np.empty(0, np.int64)
+        return np.empty(0, np.int32)
     single = np.array(marks, np.uint64)
     pairs = (single[:-1] * np.uint64(0x9E3779B1) + single[1:]) >> np.uint64(7)
-    return np.unique(np.concatenate([single, pairs]) % np.uint64(DIMENSIONS)).astype(np.int64)
+    return np.unique(np.concatenate([single, pairs]) % np.uint64(DIMENSIONS)).astype(np.int32)
 
 
 @dataclass
@@ -208,7 +208,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sample = voted.join(F.broadcast(ids), "doc_id").select("doc_id", "text", "votes").mapInArrow(
         features, f"doc_id {kind}, terms binary, soft double").toPandas()
     sample = sample.sort_values(["doc_id", "terms"], kind="stable")
-    scorer = fit([np.frombuffer(t, np.int64) for t in sample["terms"]],
+    scorer = fit([np.frombuffer(t, np.int32) for t in sample["terms"]],
                  sample["soft"].to_numpy(float))
     shared = docs.sparkSession.sparkContext.broadcast((model, scorer))
 

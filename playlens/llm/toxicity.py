@@ -40,7 +40,7 @@ from playlens.llm.common import REMEMBERED_WORDS, mix
 DIMENSIONS = 1 << 19
 FACTORS = 4
 STEMS = (4, 5, 6)
-SAMPLE_ROWS = 20_000
+SAMPLE_ROWS = 12_000
 FOLDS = 5
 SIGNIFICANT = 3.3  # root of the likelihood ratio from which a term counts
 COPY_TERMS = 4
@@ -53,7 +53,7 @@ class TermIds(dict):
     """Remembers the hashed terms of each word."""
 
     def __missing__(self, word: str) -> tuple[int, ...]:
-        if len(self) >= REMEMBERED_WORDS:
+        if len(self) >= REMEMBERED_WORDS // 2:
             self.clear()
         terms = [word] + [f"{n}:{word[:n]}" for n in STEMS if len(word) >= n]
         value = tuple(zlib.crc32(t.encode("utf-8", "surrogatepass")) % DIMENSIONS for t in terms)
