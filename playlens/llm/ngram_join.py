@@ -96,7 +96,10 @@ def part_hashes(shingles: np.ndarray, percent: int) -> np.ndarray:
         starts = (np.cumsum(sizes) - sizes)[filled]
         sums = np.zeros(parts, np.uint64)
         sums[filled] = np.add.reduceat(mix(shingles ^ salt)[order], starts)
-        first = np.lexsort((np.arange(parts), -sizes))[:most + 1]
+        # A set differs from its partners in no more parts than it can in shingles.
+        largest = min(n * 100 // percent, edges[scheme + 1] - 1)
+        differ = min(most, (n + largest) * (100 - percent) // (100 + percent))
+        first = np.lexsort((np.arange(parts), -sizes))[:differ + 1]
         # Empty parts tie sets only if so many are empty that all equal parts may be.
         if parts - len(filled) <= extra:
             first = first[sizes[first] > 0]
@@ -313,13 +316,18 @@ def _slice_of(count: str):
     return F.pmod(F.xxhash64("rep", F.lit(1)), _slices(count)).cast("int")
 
 
-def near_links(docs: DataFrame, heads: DataFrame, words: int, percent: int) -> DataFrame:
-    """Links (a, b) between classes; `heads` has rep and keys, `docs` doc_id and text."""
-    keyed = heads.select("rep", F.explode("keys").alias("key"))
+def near_links(docs: DataFrame, keyed: DataFrame, reps: DataFrame, words: int, percent: int
+               ) -> DataFrame:
+    """Links (a, b) between classes.
+
+    `docs` has doc_id and text, `keyed` a row (rep, key) per part hash of every class and maybe of
+    some copies, `reps` the names of the classes. The smallest id with a key is always a class.
+    """
     hubs = materialized(keyed.groupBy("key").agg(
         F.min("rep").alias("hub"), F.max("rep").alias("far")).filter("hub < far").drop("far"))
     # Most keys are of one class; filters of a fixed size keep them, and most texts, unshuffled.
-    common = with_maybe(keyed, bit_maps(hubs, "key"), "key").filter("__maybe")
+    common = with_maybe(keyed, bit_maps(hubs, "key"), "key").filter("__maybe").join(
+        reps, "rep", "left_semi")
     ties = common.join(hubs, "key").filter("rep <> hub").select(
         F.col("rep").alias("a"), F.col("hub").alias("b")).distinct()
     grouped = materialized(components(ties).select(
@@ -371,9 +379,12 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     facts = materialized(shingle_facts(rows, words, percent))
     classes = materialized(facts.filter("same IS NOT NULL AND doc_id IS NOT NULL").groupBy(
         "same").agg(F.min("doc_id").alias("rep")))
-    members = facts.join(classes, "same")
-    heads = members.filter("doc_id = rep").select("rep", "keys")
-    links = near_links(rows, heads, words, percent)
+    members = facts.select("doc_id", "same").join(classes, "same")
+    # The key lists stay where they are: a filter of fixed size drops copies unshuffled.
+    heads = with_maybe(facts.select(F.col("doc_id").alias("rep"), "keys"),
+                       bit_maps(classes, "rep"), "rep").filter("__maybe")
+    keyed = heads.select("rep", F.explode("keys").alias("key"))
+    links = near_links(rows, keyed, classes.select("rep"), words, percent)
     # Rows of one id in several classes tie these classes.
     several = members.groupBy("doc_id").agg(
         F.min("rep").alias("b"), F.max("rep").alias("far")).filter("b < far").drop("far")
