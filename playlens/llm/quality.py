@@ -49,15 +49,16 @@ def properties(text: Column) -> dict[str, Column]:
     body = F.coalesce(text, F.lit(""))
     chars = F.greatest(F.length(body), F.lit(1))
     words = F.greatest(F.regexp_count(body, F.lit(WORD)), F.lit(1))
-    letters = F.regexp_count(body, F.lit(r"\p{L}"))
+    solid = F.length(F.regexp_replace(body, r"\s+", ""))
+    letters = F.length(F.regexp_replace(body, r"\P{L}+", ""))
     marks = F.regexp_count(body, F.lit(r"[^\p{L}\p{N}\s]"))
     lines = F.filter(F.split(body, "\n"), lambda line: F.length(F.trim(line)) > 0)
-    frequent = F.regexp_count(body, F.lit(r"(?i)(?<![\p{L}])(?:" + "|".join(FREQUENT)
-                                          + r")(?![\p{L}])"))
+    frequent = F.size(F.filter(F.split(F.lower(body), r"\P{L}+"),
+                               lambda word: word.isin(*FREQUENT)))
     return {
         "words": F.regexp_count(body, F.lit(WORD)).cast("double"),
-        "word_length": F.length(F.regexp_replace(body, r"\s", "")) / words,
-        "letters": letters / F.greatest(F.length(F.regexp_replace(body, r"\s", "")), F.lit(1)),
+        "word_length": solid / words,
+        "letters": letters / F.greatest(solid, F.lit(1)),
         "marks": marks / words,
         "frequent": frequent / words,
         "distinct_lines": F.size(F.array_distinct(lines)) / F.greatest(F.size(lines), F.lit(1)),
@@ -205,7 +206,10 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 [batch.column("doc_id"), pa.array(terms, pa.binary()),
                  pa.array(model.posterior(patterns))], ["doc_id", "terms", "soft"])
 
-    sample = voted.join(F.broadcast(ids), "doc_id").select("doc_id", "text", "votes").mapInArrow(
+    # Joined before the vote: labellers look at the sample only.
+    chosen = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(
+        F.broadcast(ids), "doc_id")
+    sample = votes(chosen, "doc_id", "text").mapInArrow(
         features, f"doc_id {kind}, terms binary, soft double").toPandas()
     sample = sample.sort_values(["doc_id", "terms"], kind="stable")
     scorer = fit([np.frombuffer(t, np.int32) for t in sample["terms"]],
