@@ -2,16 +2,16 @@
 hashed linear scorer trained on the posterior labels.
 
 Every labeller looks at one property of a text and votes good (1), bad (0) or abstains (-1). Votes
-are computed by Spark functions; documents with the same votes are counted together, so the corpus
-reaches the driver as at most 3^8 = 6,561 patterns with counts. Expectation-maximisation finds each
-labeller's accuracies and the share of good documents from those counts, over all documents. The
-posterior of its pattern is a document's soft label; a logistic scorer over hashed words and word
-pairs is fitted to the soft labels of at most SAMPLE_ROWS documents, the first by a hash of the id,
-and scores every document.
+are computed by Spark functions, once per text, and kept beside the id and a 64-bit hash of the
+text. Documents with the same votes are counted together, so the corpus reaches the driver as at
+most 3^8 = 6,561 patterns with counts. Expectation-maximisation finds each labeller's accuracies and
+the share of good documents from those counts, over all documents. The posterior of its pattern is a
+document's soft label; a logistic scorer over hashed words and word pairs is fitted to the soft
+labels of at most SAMPLE_ROWS documents, the first by a hash of the id, and scores every document.
 
 Edge cases
     null, empty text   no words: votes bad where a labeller needs words, never kept
-    repeated rows      scored alike
+    repeated rows      scored alike, sampled once; other texts under one id are other documents
     null doc_id        voted on and scored, not sampled
     empty table        empty result
     other columns      ignored
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from playlens.llm.common import WORD
+from playlens.llm.common import WORD, materialized
 
 DIMENSIONS = 1 << 18
 SAMPLE_ROWS = 10_000
@@ -81,8 +81,8 @@ LABELLERS = {
 
 
 def votes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, text, votes: one of 1, 0, -1 per labeller."""
-    measured = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
+    """doc_id, mark (a hash of the text), votes: one of 1, 0, -1 per labeller."""
+    measured = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("mark"),
                            F.struct(*[c.cast("double").alias(name) for name, c in
                                       properties(F.col(text_col)).items()]).alias("p"))
     cast = []
@@ -90,7 +90,7 @@ def votes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         value = F.col(f"p.{name}")
         cast.append(F.when(value.between(low, high), 1)
                     .when((value < worst_low) | (value > worst_high), 0).otherwise(-1))
-    return measured.select("doc_id", "text", F.array(*cast).alias("votes"))
+    return measured.select("doc_id", "mark", F.array(*cast).alias("votes"))
 
 
 @dataclass
@@ -185,7 +185,8 @@ def fit(rows: list[np.ndarray], soft: np.ndarray, seed: int = 3) -> Scorer:
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """doc_id, votes, posterior, score, kept (score of one half or more) of every document."""
-    voted = votes(docs, id_col, text_col)
+    # Labellers look at every text once; what they say is narrow and kept.
+    voted = materialized(votes(docs, id_col, text_col))
     # At most 3^8 patterns come to the driver.
     found = voted.groupBy("votes").agg(F.count("*").alias("n")).collect()
     kind = dict(voted.dtypes)["doc_id"]
@@ -194,8 +195,12 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                             F.lit(0.0).alias("score"), F.lit(False).alias("kept"))
     model = expectation_maximisation(np.array([r["votes"] for r in found]),
                                      np.array([r["n"] for r in found], float))
-    ids = docs.select(F.col(id_col).alias("doc_id")).filter("doc_id IS NOT NULL").orderBy(
-        F.xxhash64("doc_id"), "doc_id").limit(sample_rows).distinct()
+    # Rows with one id and one text vote alike.
+    distinct = voted.groupBy("doc_id", "mark").agg(F.first("votes").alias("votes"))
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
+                        F.xxhash64(text_col).alias("mark"))
+    chosen = distinct.filter("doc_id IS NOT NULL").orderBy(
+        F.xxhash64("doc_id"), "doc_id", "mark").limit(sample_rows)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -206,28 +211,32 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 [batch.column("doc_id"), pa.array(terms, pa.binary()),
                  pa.array(model.posterior(patterns))], ["doc_id", "terms", "soft"])
 
-    # Joined before the vote: labellers look at the sample only.
-    chosen = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(
-        F.broadcast(ids), "doc_id")
-    sample = votes(chosen, "doc_id", "text").mapInArrow(
+    # Repeats of a chosen row go before they are collected: sample_rows rows at most.
+    sample = texts.join(F.broadcast(chosen), ["doc_id", "mark"]).dropDuplicates(
+        ["doc_id", "mark"]).mapInArrow(
         features, f"doc_id {kind}, terms binary, soft double").toPandas()
     sample = sample.sort_values(["doc_id", "terms"], kind="stable")
     scorer = fit([np.frombuffer(t, np.int32) for t in sample["terms"]],
                  sample["soft"].to_numpy(float))
-    shared = docs.sparkSession.sparkContext.broadcast((model, scorer))
+    shared = docs.sparkSession.sparkContext.broadcast(scorer)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            labellers, linear = shared.value
-            patterns = np.array(batch.column("votes").to_pylist(), np.int64).reshape(
-                -1, len(LABELLERS))
             rows = [hashed(t) for t in batch.column("text").to_pylist()]
-            got = linear.scores(rows)
+            got = shared.value.scores(rows)
             kept = (got >= 0.5) & np.array([len(r) > 0 for r in rows], bool)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("votes"),
-                 pa.array(labellers.posterior(patterns)), pa.array(got), pa.array(kept)],
-                ["doc_id", "votes", "posterior", "score", "kept"])
-
-    return voted.mapInArrow(judge, f"doc_id {kind}, votes array<int>, posterior double, "
-                                   "score double, kept boolean")
+                [batch.column("doc_id"), batch.column("mark"), pa.array(got), pa.array(kept)],
+                ["doc_id", "mark", "score", "kept"])
+
+    scored = texts.mapInArrow(judge, f"doc_id {kind}, mark long, score double, kept boolean")
+    # As many patterns as were collected, with their posteriors.
+    posteriors = docs.sparkSession.createDataFrame(
+        [(r["votes"], float(p)) for r, p in zip(
+            found, model.posterior(np.array([r["votes"] for r in found])), strict=True)],
+        "votes array<int>, posterior double")
+    said = distinct.join(F.broadcast(posteriors), "votes").withColumnsRenamed(
+        {"doc_id": "__id", "mark": "__mark"})
+    return scored.join(said, F.col("doc_id").eqNullSafe(F.col("__id"))
+                       & (F.col("mark") == F.col("__mark"))).select(
+        "doc_id", "votes", "posterior", "score", "kept")

@@ -96,6 +96,18 @@ def test_quality_odd_rows(spark):
     assert quality.score(docs.limit(0)).count() == 0
 
 
+def test_quality_repeated_ids_and_texts(spark):
+    rows = [(1, "the cat sat on the mat and it was warm there " * 5)] * 40
+    rows += [(1, f"the text {i} of this id is on its own line " * 6) for i in range(20)]
+    rows += [(None, "$$$$ %%%% 1111 !!!!")] * 30 + [(None, None), (2, ""), (2, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = quality.score(docs, sample_rows=5).collect()
+    assert len(got) == len(rows)
+    assert sorted(-1 if r.doc_id is None else r.doc_id for r in got) == [-1] * 31 + [1] * 60 + [2] * 2
+    assert all(0 <= r.score <= 1 and 0 <= r.posterior <= 1 for r in got)
+
+
+
 # --- PII ----------------------------------------------------------------------------------
 
 def brute_spans(text):
