@@ -3,10 +3,14 @@
 A page is read as text nodes, each with the path of its open tags from the root. For every path,
 text length and punctuation are summed and divided by its number of nodes; both ratios are smoothed
 over the paths in page order with a Gaussian window, standardised by their deviation and multiplied.
-Paths whose fused ratio passes a threshold hold content. The element that holds most of the content
-and lies deepest is the article; its text is taken whole, short paragraphs and headings included.
+Paths whose fused ratio passes a threshold hold content. The smallest element that holds all of the
+content, or the article or main element around it, is the article; its text is taken whole, short
+paragraphs and headings included, and so are all article and main parts with content.
 Navigation, headers, footers, sidebars, notices, adverts, forms and comments, told by tag, role or
-name, take no part.
+name, take no part. A form, a name or aria-hidden says nothing on an element around an article or
+main part or around most of the page's text (of forms: all together), nor where no text is left;
+names of parts that list other texts (comments, related, adverts, sidebars) still do while another
+article or main part stands outside all of these.
 
 Edge cases
     null, empty, tagless html   null and empty give the empty text, plain text is its own block
@@ -38,10 +42,11 @@ RAW = frozenset("script style textarea title noscript template iframe xmp noembe
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q "
                    "rp rt ruby s samp small span strike strong sub sup time tt u var br wbr img "
                    "label".split())
-SKIPPED = frozenset("nav header footer aside form button select option fieldset menu dialog svg "
+SKIPPED = frozenset("nav header footer aside button select option menu dialog svg "
                     "canvas audio video object head".split())
-SKIPPED_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog "
+SKIPPED_ROLES = frozenset("navigation banner contentinfo complementary search alert dialog "
                           "menu menubar toolbar".split())
+FORMS = frozenset(("form", "fieldset"))
 # Names of page furniture among the words of class and id.
 FURNITURE = re.compile(
     r"(?:^|[\s_-])(?:ad|ads|advert\w*|adv|banner|sponsor\w*|promo\w*|nav\w*|menu\w*|breadcrumb\w*|"
@@ -49,6 +54,15 @@ FURNITURE = re.compile(
     r"social|subscri\w*|newsletter|sign-?up|login|cookie\w*|consent|gdpr|notice\w*|popup|modal|"
     r"overlay|comment|comments|commentlist|comment-?section|disqus|respond|replies|reply|toolbar|"
     r"pagination|pager|skip-?link|legal|copyright|disclaimer|alert)(?:$|[\s_-])", re.I)
+# Furniture that may list articles of its own.
+LISTS = re.compile(
+    r"(?:^|[\s_-])(?:ad|ads|advert\w*|adv|sponsor\w*|promo\w*|side-?bar\w*|aside|widget\w*|related|"
+    r"recommend\w*|comment|comments|commentlist|comment-?section|disqus|respond|replies|reply)"
+    r"(?:$|[\s_-])", re.I)
+# A wrapper's remark about what it has or lacks, not a name of its own.
+REMARK = re.compile(r"(?<!\S)(?:has|with|without|no)[_-]\S*", re.I)
+# How an element is told as furniture: always skipped, by a loose sign, by the name of a list.
+NONE, SURE, LOOSE, LISTING = range(4)
 # Of two tags in a pair, the new one closes the open one unless the boundary comes first.
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}),
           "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}),
@@ -64,11 +78,13 @@ THRESHOLD = 0.5  # of the deviation of the fused ratios
 class Node:
     tag: str
     parent: Node | None
-    skipped: bool
+    furniture: int
     depth: int
     path: str
-    mass: float = 0.0
+    skipped: bool = False
+    mass: int = 0
     whole: int = 0
+    part: bool = False
 
 
 @dataclass
@@ -89,7 +105,7 @@ class Page:
 
 def parse(html: str) -> Page:
     page = Page()
-    root = Node("", None, False, 0, "")
+    root = Node("", None, NONE, 0, "")
     at, block, node, past = 0, 0, root, 0
     page.elements.append(root)
 
@@ -121,7 +137,7 @@ def parse(html: str) -> Page:
             node = _without(node, *CLOSES[tag])
         if tag in VOID:
             continue
-        child = Node(tag, node, node.skipped or _furniture(tag, match["attrs"]), node.depth + 1,
+        child = Node(tag, node, _furniture(tag, match["attrs"]), node.depth + 1,
                      f"{node.path}/{tag}")
         page.elements.append(child)
         if tag in RAW:
@@ -130,6 +146,7 @@ def parse(html: str) -> Page:
         elif not match["attrs"].rstrip().endswith("/") or tag not in ("svg", "path"):
             node = child
     text(len(html))
+    _skip(page)
     return page
 
 
@@ -143,21 +160,56 @@ def _without(node: Node, closed: set[str], bounds: set[str]) -> Node:
     return found.parent if found else node
 
 
-def _furniture(tag: str, attributes: str) -> bool:
+def _furniture(tag: str, attributes: str) -> int:
     if tag in SKIPPED:
-        return True
+        return SURE
+    found = LOOSE if tag in FORMS else NONE
     if tag in ("html", "body", *CONTENT_TAGS) or "=" not in attributes:
-        return False
+        return found
     for name, *values in ATTRIBUTE.findall(attributes):
         value = "".join(values)
         name = name.lower()
         if name == "role" and value.lower() in SKIPPED_ROLES:
-            return True
-        if name in ("class", "id") and FURNITURE.search(value):
-            return True
-        if name == "aria-hidden" and value.lower() == "true":
-            return True
-    return False
+            return SURE
+        if name in ("class", "id") and FURNITURE.search(value := REMARK.sub("", value)):
+            found = max(found, LISTING if LISTS.search(value) else LOOSE)
+        if (name, value.lower()) in (("aria-hidden", "true"), ("role", "form")):
+            found = max(found, LOOSE)
+    return found
+
+
+def _skip(page: Page) -> None:
+    """Marks the elements that take no part; parents come before children in `elements`."""
+    for node in page.elements:
+        node.skipped = node.furniture == SURE or bool(node.parent and node.parent.skipped)
+    for _, node, text in page.texts:
+        if not node.skipped:
+            node.whole += len(text.strip())
+    for node in reversed(page.elements):
+        if node.parent:
+            node.parent.whole += node.whole
+    # Is there an article or main part outside all furniture?
+    outside: dict[int, bool] = {}
+    alone = True
+    for node in page.elements:
+        free = node.furniture == NONE and (not node.parent or outside[id(node.parent)])
+        outside[id(node)] = free
+        node.part = node.tag in CONTENT_TAGS and not node.skipped and node.whole > 0
+        alone = alone and not (free and node.part)
+    for node in reversed(page.elements):
+        if node.part and node.parent and (alone or node.furniture != LISTING):
+            node.parent.part = True
+    all_text = page.elements[0].whole
+    # A form within a form counts twice, which can only keep more.
+    in_forms = sum(n.whole for n in page.elements if n.tag == "form" and not n.skipped)
+    for node in page.elements:
+        most = in_forms if node.tag in FORMS else node.whole
+        wraps = node.part or 2 * most > all_text
+        node.skipped = bool(node.parent and node.parent.skipped) or node.furniture == SURE or (
+            node.furniture != NONE and not (wraps and (alone or node.furniture == LOOSE)))
+    if all_text and not any(text.strip() for _, node, text in page.texts if not node.skipped):
+        for node in page.elements:
+            node.skipped = node.furniture == SURE or bool(node.parent and node.parent.skipped)
 
 
 def path_ratios(page: Page) -> dict[str, float]:
@@ -192,29 +244,22 @@ def smoothed(values: list[float]) -> list[float]:
 
 
 def article_of(page: Page) -> Node | None:
-    """The deepest element that holds nearly all text of the content paths."""
+    """The deepest element that holds all text of the content paths, or the article around it."""
     ratios = path_ratios(page)
     if not ratios:
         return None
     mean = sum(ratios.values()) / len(ratios)
     spread = math.sqrt(sum((r - mean) ** 2 for r in ratios.values()) / len(ratios))
     content = {path for path, r in ratios.items() if r >= THRESHOLD * min(spread, mean)}
-    marked, total = set(), 0
     for _, node, text in page.texts:
-        size = len(text.strip())
-        if node.skipped or not size:
-            continue
-        is_content = node.path in content
-        total += size * is_content
-        at = node
-        while at:
-            at.mass += size * is_content
-            if at.tag in CONTENT_TAGS and size:
-                marked.add(id(at))
-            at = at.parent
+        if not node.skipped and node.path in content:
+            node.mass += len(text.strip())
+    for node in reversed(page.elements):
+        if node.parent:
+            node.parent.mass += node.mass
     best = page.elements[0]
     for node in page.elements:
-        if node.mass >= 0.9 * total and node.depth > best.depth:
+        if node.mass == page.elements[0].mass and node.depth > best.depth:
             best = node
     # Text elements are not containers: a lone paragraph means the element around it.
     while best.parent and (best.tag in INLINE or best.tag in ("p", "li", "td", "tr", "tbody")):
@@ -225,11 +270,6 @@ def article_of(page: Page) -> Node | None:
         if at.tag in CONTENT_TAGS:
             return at
         at = at.parent
-    named = [n for n in page.elements if id(n) in marked and n.mass > 0 and not n.skipped]
-    if named:
-        largest = max(named, key=lambda n: n.mass)
-        if largest.mass >= 0.5 * total:
-            return largest
     return best
 
 
@@ -241,17 +281,13 @@ def main_text(html: str | None) -> str:
     article = article_of(page)
     if article is None:
         return ""
-    inside: dict[int, bool] = {}
-
-    def within(node: Node) -> bool:
-        if id(node) not in inside:
-            inside[id(node)] = node is article or (
-                node.parent is not None and within(node.parent))
-        return inside[id(node)]
-
+    inside: set[int] = set()
+    for node in page.elements:
+        if node is article or id(node.parent) in inside:
+            inside.add(id(node))
     blocks: dict[int, list[str]] = {}
     for block, node, text in page.texts:
-        if not node.skipped and within(node):
+        if not node.skipped and id(node) in inside:
             blocks.setdefault(block, []).append(text)
     lines = (" ".join("".join(parts).split()) for parts in blocks.values())
     return "\n".join(line for line in lines if line)

@@ -193,6 +193,33 @@ def test_main_text_without_article_tag():
     assert lines[0] == "Head" and lines[-2:] == ["x", "y"] and len(lines) == 8
 
 
+SENTENCES = "A sentence, with words; and more of them. Then another one. " * 10
+
+
+@pytest.mark.parametrize("html", [
+    f"<div id=post><div id=lead><p>Lead, it is.</div><div id=body><p>{SENTENCES}</div></div>",
+    f"<body><article><p>Lead, it is. {SENTENCES}</article><main><p>{SENTENCES * 2}</main></body>",
+    *[f"<body><{w}><nav>Home</nav><article><p>Lead, it is. {SENTENCES}</article></{w[:4].strip()}>"
+      for w in ("div class='has-sidebar'", "div class='page with-sidebar'", "div class='nav-open'",
+                "form action='x'", "div id=comments", "div aria-hidden=true")],
+    f"<body><form><div class='nav-open'><p>Lead, it is.<p>{SENTENCES}</div></form><p>x</body>",
+    f"<body><form><p>Lead, it is. {SENTENCES}</form><form><p>{SENTENCES}</form></body>",
+    f"<body><form><article><p>Lead, it is. {SENTENCES}</article></form><main>{SENTENCES}</main>",
+    f"<p>Lead, it is. {SENTENCES}</p>" + "<div>" * 5000 + SENTENCES,
+])
+def test_main_text_is_whole(html):
+    text = html_text.main_text(html)
+    written = html.count(SENTENCES.strip())
+    assert "Lead, it is." in text and text.count(SENTENCES.strip()) == written
+    assert "Home" not in text
+
+
+def test_furniture_beside_an_article_stays_out():
+    page = ("<body><article><p>Body, text. More.</article><div id='comments'><article><p>"
+            f"{SENTENCES}</article></div><form><p>{SENTENCES[:15]}</form>")
+    assert html_text.main_text(page) == "Body, text. More."
+
+
 def test_extract_rows(spark):
     pages = spark.createDataFrame([(1, "u", "<p>a</p>", 7), (None, None, None, 8), (1, "u",
                                    "<p>a</p>", 9), (2, "v", "<div>" * 5000 + "deep", 1)],
