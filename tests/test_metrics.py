@@ -49,6 +49,20 @@ def test_sketches_merge(spark):
     assert merged["approx_viewers"] == exact["unique_viewers"] == 7
 
 
+def test_early_viewers_of_a_large_group(spark):
+    """Exact in the early form, within 3 % in the sketched one."""
+    events = make_events(spark, [{"event_timestamp": "10:00:00"}]).drop("user_id").crossJoin(
+        spark.range(60000).select(F.concat(F.lit("u"), F.col("id") % 30000).alias("user_id")))
+    events = events.unionByName(make_events(spark, [{"event_timestamp": "10:01:00"}])
+                                .withColumn("user_id", F.lit(None).cast("string")))
+    early, = rows_of(metrics.content_metrics_early(events))
+    final, = rows_of(metrics.content_metrics(events))
+    sketched, = rows_of(metrics.content_metrics_sketched(events))
+    assert early == final and early["unique_viewers"] == 30000
+    assert "unique_viewers" not in sketched
+    assert sketched["approx_viewers"] == pytest.approx(30000, rel=0.03)
+
+
 def test_sketches_stay_close(spark):
     """Within 3 % at 20,000 viewers, merged from 5-minute sketches."""
     users = spark.range(20000).select(

@@ -81,6 +81,22 @@ def test_early_metrics_upsert(spark, scratch):
     assert [r["unique_viewers"] for r in latest.collect()] == [2]
 
 
+def test_early_metrics_are_exact(spark, scratch):
+    """Many viewers, some seen again in a later batch."""
+    one = make_events(spark, [{"event_timestamp": "10:00:00"}]).drop("user_id")
+    parts = [one.crossJoin(spark.range(first, first + 20000).select(
+        F.concat(F.lit("u"), "id").alias("user_id"))) for first in (0, 10000)]
+    for n, part in enumerate(parts):
+        source = land(part, f"{scratch}/in", str(n))
+        run(jobs.early_metrics_job(sources.file_events(spark, source), f"{scratch}/out",
+                                   f"{scratch}/cp", **ONCE))
+    latest = sinks.latest_rows(spark.read.parquet(f"{scratch}/out"),
+                               ["content_id", "window_start"], [])
+    expected = metrics.content_metrics(parts[0].unionByName(parts[1]))
+    assert as_set(latest.select(*expected.columns)) == as_set(expected)
+    assert latest.first()["unique_viewers"] == 30000
+
+
 def test_sessions(spark, scratch):
     events = flat(spark)
     source = land(events, f"{scratch}/in", "1")
