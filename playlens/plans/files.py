@@ -33,15 +33,21 @@ def rename(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"could not rename {source} to {target}")
 
 
-def children(spark: SparkSession, path: str) -> list[str]:
-    """Names directly below a folder, hidden ones left out."""
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, hadoop = _file_system(spark, path)
+    if not fs.mkdirs(hadoop.Path(path)):
+        raise OSError(f"could not make {path}")
+
+
+def children(spark: SparkSession, path: str, hidden: bool = False) -> list[str]:
+    """Names directly below a folder, hidden ones left out unless asked for."""
     if not exists(spark, path):
         return []
     fs, hadoop = _file_system(spark, path)
     if not fs.getFileStatus(hadoop.Path(path)).isDirectory():
         return []
     names = [status.getPath().getName() for status in fs.listStatus(hadoop.Path(path))]
-    return sorted(n for n in names if not n.startswith(("_", ".")))
+    return sorted(n for n in names if hidden or not n.startswith(("_", ".")))
 
 
 def hidden_name(path: str, purpose: str) -> str:

@@ -144,9 +144,13 @@ def fold_batches(spark: SparkSession, path: str,
     """Merges all batch folders below the newest into one; returns how many.
 
     The newest folder is left alone because its batch may still be repeated.
-    The merged folder is complete before an old one goes: for a moment readers
-    may see a row twice, never not at all.
+    The merged folder is complete and in place under a new, lowest number before
+    an old one goes, so a run that stops anywhere leaves every row readable,
+    some twice at worst. Upsert logs are settled by `latest_rows` then, as the
+    oldest folders go first; for all others the merged folder keeps a mark of
+    the folders it replaces, and the next run deletes what is left of them.
     """
+    _finish_fold(spark, path)
     batches = sorted(int(name.split("=")[1]) for name in files.children(spark, path)
                      if name.startswith("batch_id="))
     closed = batches[:-1]
@@ -155,13 +159,31 @@ def fold_batches(spark: SparkSession, path: str,
     folders = [batch_folder(path, b) for b in closed]
     rows = spark.read.option("basePath", path).parquet(*folders)
     merged = merge(rows) if merge else rows
-    staged, retired = files.hidden_name(path, "fold"), files.hidden_name(path, "retired")
+    staged = files.hidden_name(path, "fold")
     writer = merged.drop("batch_id").write.option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(staged)
-    files.rename(spark, folders[-1], retired)
-    files.rename(spark, staged, folders[-1])
-    for folder in [*folders[:-1], retired]:
-        files.delete(spark, folder)
+    files.make_folder(spark, f"{staged}/{_REPLACES}{closed[-1]}")
+    files.rename(spark, staged, batch_folder(path, min(0, *closed) - 1))
+    _finish_fold(spark, path)
     return len(closed)
+
+
+# A hidden folder in a merged one: every batch after the merged one and up to this is merged in it.
+_REPLACES = "_replaces-"
+
+
+def _finish_fold(spark: SparkSession, path: str) -> None:
+    """Deletes the folders, oldest first, that the last merged one replaces, then its mark."""
+    batches = sorted(int(name.split("=")[1]) for name in files.children(spark, path)
+                     if name.startswith("batch_id="))
+    if not batches or batches[0] >= 0:
+        return
+    merged = batch_folder(path, batches[0])
+    for mark in files.children(spark, merged, hidden=True):
+        if mark.startswith(_REPLACES):
+            last = int(mark.removeprefix(_REPLACES))
+            for batch in (b for b in batches[1:] if b <= last):
+                files.delete(spark, batch_folder(path, batch))
+            files.delete(spark, f"{merged}/{mark}")

@@ -207,6 +207,56 @@ def test_fold_of_an_upsert_log(spark, scratch):
     assert sinks.current_rows(log, "user_content_progress").first()["last_position"] == 40
 
 
+class Stopped(Exception):
+    pass
+
+
+@pytest.mark.parametrize("keyed", [True, False])
+def test_fold_stopped_at_any_step(spark, tmp_path_factory, monkeypatch, keyed):
+    """A run that stops leaves every row readable, and the next one leaves each once."""
+    def names(path):
+        return sorted(r["event_id"] for r in spark.read.parquet(path).collect())
+
+    def current(path):
+        log = spark.read.parquet(path)
+        return sorted(r["event_id"] for r in sinks.current_rows(log, "events_by_session").collect())
+
+    def fold(path):
+        if keyed:
+            return sinks.fold_table(spark, path, "events_by_session")
+        return sinks.fold_batches(spark, path)
+
+    batches = [views.events_by_session(make_events(spark, [
+        {"event_id": str(n), "event_timestamp": f"10:0{n}:00"}])) for n in range(4)]
+    done = {name: getattr(files, name) for name in ("rename", "delete")}
+    for stop in range(20):
+        path = str(tmp_path_factory.mktemp("log"))
+        for n, rows in enumerate(batches):
+            sinks.write_batch(rows, path, n)
+        steps = []
+
+        def step(name, *args, steps=steps, stop=stop):
+            if len(steps) == stop:
+                raise Stopped
+            steps.append(name)
+            done[name](*args)
+
+        for name in done:
+            monkeypatch.setattr(files, name, lambda *args, name=name, step=step: step(name, *args))
+        try:
+            fold(path)
+            stopped = False
+        except Stopped:
+            stopped = True
+        monkeypatch.undo()
+        assert set(names(path)) == {"0", "1", "2", "3"} and current(path) == ["0", "1", "2", "3"]
+        fold(path)
+        assert names(path) == ["0", "1", "2", "3"]
+        if not stopped:
+            break
+    assert not stopped and stop >= 4
+
+
 def test_rows_written_twice_count_once_and_expire(spark, scratch):
     write = sinks.fan_out_to(scratch)
     old = make_events(spark, [{"event_timestamp": "2024-01-01 10:00:00", "event_id": "old"}])
