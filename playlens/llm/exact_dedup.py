@@ -83,7 +83,8 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """The documents that stay, with all their columns.
 
     Rows the filter clears pass by without a shuffle; only possible copies meet the list of
-    dropped ids. Rows without an id cannot be pointed at and stay.
+    dropped ids. Rows without an id are told by the hash of their text, one of each is kept
+    where no row with an id has the same text.
     """
     survivors = materialized(surviving_groups(docs, text_col))
     decided = materialized(refine(docs, id_col, text_col, survivors))
@@ -91,6 +92,14 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     dropped = (decided.groupBy(F.col("doc_id").alias("__id"))
                .agg(F.max("kept").alias("kept")).filter("NOT kept").select("__id"))
     possible = marked.filter("__maybe").join(dropped, F.col(id_col) == F.col("__id"), "left_anti")
+    nameless = decided.filter("doc_id IS NULL AND full_hash IS NOT NULL")
+    if not nameless.filter("NOT kept").isEmpty():
+        gone = (nameless.groupBy(F.col("full_hash").alias("__hash"))
+                .agg(F.max("kept").alias("kept")).filter("NOT kept").select("__hash"))
+        hashed = possible.filter(F.col(id_col).isNull()).withColumn(
+            "__hash", F.sha2(normalized(text_col), 256))
+        possible = possible.filter(F.col(id_col).isNotNull()).unionByName(
+            hashed.join(gone, "__hash", "left_anti").dropDuplicates(["__hash"]).drop("__hash"))
     repeated = (decided.filter("NOT kept AND doc_id = keep_id")
                 .select(F.col("doc_id").alias("__id")).distinct())
     if not repeated.isEmpty():

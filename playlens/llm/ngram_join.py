@@ -23,7 +23,8 @@ listed, since they change no component.
 Edge cases
     null, empty text      an empty set, linked with nothing
     fewer words           the whole sequence is the one shingle
-    null doc_id           takes no part; n_shingles is given, component_id is null
+    null doc_id           takes no part; n_shingles is given, component_id is null; `keep_first`
+                          links these rows with each other, under a hash of the text as id
     repeated doc_id       rows with one id are one document, linked with what either is linked with
     ties                  the smallest id names a component
     empty table           empty result
@@ -41,8 +42,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playlens.llm.common import (bit_maps, materialized, mix, shingle_hashes, with_maybe,
-                                 without)
+from playlens.llm.common import (SPACES, bit_maps, materialized, mix, shingle_hashes,
+                                 with_maybe, without)
 from playlens.llm.graph import components
 
 SHINGLE_WORDS = 3
@@ -402,8 +403,19 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                words: int = 5, percent: int = 80) -> DataFrame:
     """The documents with the smallest id of their component, with all their columns.
 
-    Rows without an id stay. Only the ids that go are joined with the documents.
+    Only the ids that go are joined with the documents. Rows without an id are linked with each
+    other only; a hash of the text is their id, equal texts stay once, rows without words all.
     """
-    gone = join(docs, id_col, text_col, words, percent).filter(
-        "component_id <> doc_id").select("doc_id").distinct()
-    return without(docs, gone, id_col)
+    def kept(rows: DataFrame, key: str) -> DataFrame:
+        gone = join(rows, key, text_col, words, percent).filter(
+            "component_id <> doc_id").select("doc_id").distinct()
+        return without(rows, gone, key)
+
+    nameless = docs.filter(F.col(id_col).isNull())
+    if nameless.isEmpty():
+        return kept(docs, id_col)
+    blank = F.regexp_replace(F.coalesce(text_col, F.lit("")), SPACES, "") == ""
+    keyed = nameless.filter(~blank).withColumn("__key", F.xxhash64(text_col))
+    return kept(docs.filter(F.col(id_col).isNotNull()), id_col).unionByName(
+        nameless.filter(blank)).unionByName(
+        kept(keyed, "__key").dropDuplicates(["__key"]).drop("__key"))

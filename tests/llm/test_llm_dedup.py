@@ -96,6 +96,14 @@ def test_deduplicate_odd_rows(spark):
     assert exact_dedup.refine(docs.limit(0)).count() == 0
 
 
+def test_deduplicate_rows_without_id(spark):
+    rows = [(None, "t"), (4, "t"), (4, "t"), (None, "u  v"), (None, "u v"), (None, "u v"),
+            (None, None), (None, ""), (None, "alone")]
+    kept = exact_dedup.deduplicate(frame(spark, rows)).collect()
+    found = sorted((str(r.doc_id), " ".join((r.text or "").split())) for r in kept)
+    assert found == [("4", "t"), ("None", ""), ("None", "alone"), ("None", "u v")]
+
+
 def test_null_id_in_a_group(spark):
     got = exact_dedup.refine(frame(spark, [(None, "t"), (4, "t"), (None, "u"), (None, "u")]))
     assert sorted((str(r.doc_id), str(r.keep_id), r.kept) for r in got.collect()) == [
@@ -146,6 +154,18 @@ def test_trie_links_with_deep_branches(monkeypatch):
     assert {i: root(i) for i in top} == {i: c for i, (_, c) in want.items()}
 
 
+def test_keep_first_without_ids(spark):
+    text = " ".join(f"t{i}" for i in range(60))
+    rows = [(None, text), (None, text), (None, f"{text} more"), (None, "quite different from it"),
+            (None, None), (None, " "), (5, "a row with an id"), (6, "a row with an id")]
+    docs = frame(spark, rows)
+    kept = ngram_join.keep_first(docs)
+    assert kept.columns == docs.columns
+    kept = [(r.doc_id, r.text) for r in kept.collect()]
+    assert len(kept) == 5 and sum("t59" in (t or "") for _, t in kept) == 1
+    assert {rows[3], rows[4], rows[5], rows[6]} < set(kept)
+
+
 def test_join_odd_rows(spark):
     text = " ".join(f"t{i}" for i in range(30))
     rows = [(3, text), (None, text), (8, text), (8, "something quite different here"),
