@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+import uuid
 
 import numpy as np
 import xxhash
@@ -30,10 +32,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a scratch folder where none is set (tests)."""
+    """The folder that driver and executors share.
+
+    Where none is set, a local session gets a scratch folder (tests); a cluster has to name one,
+    since executors would not see each other's files.
+    """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="playlens-", dir="/tmp")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
@@ -46,6 +54,13 @@ def materialized(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """The rows as a compressed table in the shared folder, for wide or large intermediate rows."""
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _slot(columns: tuple[str, ...]) -> Column:
     return F.pmod(F.xxhash64(*columns), F.lit(FILTER_BITS))
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playlens.llm import (exact_dedup, html_text, minhash, mixing, ngram_join, packing, pii, quality,
+from playlens.llm import (alignment, exact_dedup, hard_negatives, html_text, license_scan, minhash, mixing, ngram_join, packing, pii, quality,
                           toxicity, warc)
 from playlens.llm.common import table
 
@@ -59,9 +59,24 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignments(table(spark, sf_dir, "documents"))
+
+
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.digest(license_scan.scan(table(spark, sf_dir, "documents")))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", shifted)
+    return hard_negatives.mine(rows, F.col("id") % 50 == 0)
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_quality, op2_html_text, op3_mixing, op4_warc, op5_toxicity, op6_packing,
-    op7_ngram_join, op8_exact_dedup, op9_pii, op10_minhash)}
+    op7_ngram_join, op8_exact_dedup, op9_pii, op10_minhash, op11_alignment,
+    op12_license_scan, op13_hard_negatives)}
 
 ORACLE_SQL: dict[str, str] = {
     "op4_warc": """
@@ -97,4 +112,25 @@ ORACLE_SQL: dict[str, str] = {
         SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = min(doc_id) OVER same AS kept, sha256(body) AS text_sha256
         FROM n WINDOW same AS (PARTITION BY body)""",
+    "op13_hard_negatives": """
+        WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                          list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+                   FROM embeddings
+                   WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+                     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+             s AS (SELECT a.vec_id AS anchor_id, r.vec_id AS id, a.label = r.label AS same,
+                          CAST(list_inner_product(a.e, r.e) AS BIGINT) AS score
+                   FROM v a JOIN v r ON a.vec_id % 50 = 0),
+             p AS (SELECT anchor_id, id AS positive_id, score AS positive_score,
+                          row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id)
+                              AS positive_rank
+                   FROM s WHERE same AND id <> anchor_id),
+             n AS (SELECT anchor_id, positive_id, CAST(positive_rank AS INTEGER) AS positive_rank,
+                          CAST(row_number() OVER (PARTITION BY anchor_id, positive_rank
+                                                  ORDER BY score DESC, id) AS INTEGER) AS rank,
+                          id AS negative_id, positive_score, score AS negative_score
+                   FROM p JOIN s USING (anchor_id)
+                   WHERE positive_rank <= 5 AND NOT same
+                     AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
+        SELECT * FROM n WHERE rank <= 3""",
 }
