@@ -40,27 +40,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playlens.llm.common import stored
+from playlens.llm.common import byte_letters, in_batches, stored
 
 VOCABULARY_A = "byte_bpe_50k.json"
 VOCABULARY_B = "piece_bpe_32k.model"
 
-# Characters of texts that are tokenized and aligned together; a longer text comes alone.
-BATCH_CHARS = 1 << 20
-
 # The pattern that byte-level vocabularies split texts by (fixed value).
 BYTE_PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+"
                 r"|\s+(?!\S)|\s+")
 
 
-def byte_letters() -> dict[str, int]:
-    """The letters by which byte-level vocabularies write bytes: printable Latin-1 as it is, the
-    others as letters from U+0100 on, in order."""
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    other = [b for b in range(256) if b not in set(plain)]
-    return {chr(b): b for b in plain} | {chr(0x100 + i): b for i, b in enumerate(other)}
-
-
 class ByteTokens:
     """A byte-level vocabulary of the tokenizers library's format."""
 
@@ -252,19 +241,6 @@ def groups_text(found: tuple, pair: Pair) -> bytes:
     return body[body > 0].tobytes()[:-1]
 
 
-def in_batches(texts: list[str]) -> Iterator[list[str]]:
-    """Neighbouring texts up to BATCH_CHARS together."""
-    batch, size = [], 0
-    for text in texts:
-        if batch and size + len(text) > BATCH_CHARS:
-            yield batch
-            batch, size = [], 0
-        batch.append(text)
-        size += len(text)
-    if batch:
-        yield batch
-
-
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
            paths: Callable[[], tuple[str, str]] = default_paths) -> DataFrame:
     """doc_id and the groups of every document: ids of A and B of each, in order."""

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import xxhash
@@ -23,6 +24,9 @@ MIX_2 = np.uint64(0x94D049BB133111EB)
 # Words remembered by a Python worker; the memory is emptied when full.
 REMEMBERED_WORDS = 150_000
 
+# Characters of texts that are tokenized together; a longer text comes alone.
+BATCH_CHARS = 1 << 20
+
 # Bits of the filters that spare rows a shuffle: 1,024 rows of 4 KB whatever the input.
 FILTER_BITS = 1 << 25
 
@@ -93,6 +97,27 @@ def without(rows: DataFrame, ids: DataFrame, column: str) -> DataFrame:
     return marked.filter("NOT __maybe").unionByName(met).drop("__maybe")
 
 
+def byte_letters() -> dict[str, int]:
+    """The letters by which byte-level vocabularies write bytes: printable Latin-1 as it is, the
+    others as letters from U+0100 on, in order."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    other = [b for b in range(256) if b not in set(plain)]
+    return {chr(b): b for b in plain} | {chr(0x100 + i): b for i, b in enumerate(other)}
+
+
+def in_batches(texts: list[str]) -> Iterator[list[str]]:
+    """Neighbouring texts up to BATCH_CHARS together."""
+    batch, size = [], 0
+    for text in texts:
+        if batch and size + len(text) > BATCH_CHARS:
+            yield batch
+            batch, size = [], 0
+        batch.append(text)
+        size += len(text)
+    if batch:
+        yield batch
+
+
 def mix(values: np.ndarray) -> np.ndarray:
     """A bijective scramble of unsigned 64-bit values."""
     z = values + ROLL

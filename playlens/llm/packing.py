@@ -23,26 +23,40 @@ import re
 import zlib
 from collections import defaultdict
 from collections.abc import Callable, Iterator
+from functools import cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from playlens.llm.common import materialized
+from playlens.llm.common import byte_letters, in_batches, materialized
 
 SEQUENCE = 4096
 END_ID = 2
 VOCABULARY = "word_bpe_49k.json"
-RANK_BUCKETS = 64
-REMEMBERED_CHUNKS = 200_000
+WORD_END = "</w>"
+BUCKET_PIECES = 200_000  # pieces ranked by one task
+REMEMBERED_CHUNKS = 400_000
 
 # Characters Python takes for white space and the vocabulary's pattern does not; and the opening
 # of its special tokens, which may stand inside a chunk.
-UNUSUAL = re.compile("[\x1c-\x1f]|<\\|")
+UNUSUAL = ("\x1c", "\x1d", "\x1e", "\x1f", "<|")
 
-# The vocabulary's pattern of words for printable ASCII in lower case (fixed value).
-ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
+# A word of its own between the words of two chunks; chunks with it go the slow way.
+BORDER = "\x01"
+
+# Chunks that lower case changes letter by letter and normalization not at all.
+PLAIN_CHUNK = re.compile("[!-~]+").fullmatch
+LATIN_CHUNK = re.compile("[!-~\xa1-\xac\xae-\u012f\u0131-\u017f]+").fullmatch
+
+# The vocabulary's pattern of words with the border beside it, and as it reads for printable ASCII in
+# lower case (fixed values).
+LATIN_WORDS = regex.compile(
+    r"\x01|'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}\x01]+")
+ASCII_WORDS = re.compile(r"\x01|'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9\x01]+")
 
 Pattern = tuple[tuple[int, int], ...]  # (length, repeats), longest first
 
@@ -103,66 +117,86 @@ def place_of(plan: np.ndarray, length: np.ndarray, rank: np.ndarray) -> tuple:
     return sequence + along // repeats, offset + along % repeats * length
 
 
-class WordIds(dict):
-    """Token ids (little-endian, 4 bytes each) of words as the vocabulary's model takes them."""
-
-    def __init__(self, model):
-        super().__init__()
-        self.model = model
-
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= REMEMBERED_CHUNKS:
-            self.clear()
-        value = np.array([t.id for t in self.model.tokenize(word)], "<u4").tobytes()
-        self[word] = value
-        return value
-
-
-class ChunkIds(dict):
-    """Token ids of chunks between white space.
+class ChunkIds:
+    """Token ids (little-endian, 4 bytes each) of texts, remembered by chunk between white space.
 
     The vocabulary drops white space and joins nothing across it, so the ids of a text are those of
-    its chunks. Printable ASCII chunks are split by the vocabulary's pattern as it reads for them;
-    others go through its own normalizer and splitter.
+    its chunks. The chunks that a batch of texts brings anew are split into words by the
+    vocabulary's pattern and all their words encoded at once. That takes a byte-pair encoder over
+    bytes, in which a line end stands for the vocabulary's end-of-word mark: the merges of a last
+    byte with it come first, all others in the order of their ids.
     """
 
     def __init__(self, path: str):
-        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import tiktoken
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.normalize = self.tokenizer.normalizer.normalize_str
         self.split = self.tokenizer.pre_tokenizer.pre_tokenize_str
-        self.words = WordIds(self.tokenizer.model)
-
-    def __missing__(self, chunk: str) -> bytes:
-        if chunk.isascii() and chunk.isprintable():
-            words = ASCII_WORDS.findall(chunk.lower())
-        else:
-            words = [word for word, _ in self.split(self.normalize(chunk))]
-        value = b"".join(map(self.words.__getitem__, words))
-        self[chunk] = value
-        return value
+        self.letters = byte_letters()
+        ranks = {}
+        for token, number in self.tokenizer.get_vocab(with_added_tokens=False).items():
+            word = token.removesuffix(WORD_END)
+            body = bytes(map(self.letters.__getitem__, word))
+            ranks[body + b"\n" if len(word) < len(token) else body] = number
+        self.border = ranks[f"{BORDER}\n".encode()]
+        self.encoding = tiktoken.Encoding("words", pat_str=r"[^\n]+\n", mergeable_ranks=ranks,
+                                          special_tokens={})
+        self.known: dict[str, bytes] = {}
+
+    def slow(self, chunk: str) -> list[str]:
+        """Words by the vocabulary's own normalizer and splitter, which writes bytes as letters."""
+        return [bytes(map(self.letters.__getitem__, word)).decode("utf-8")
+                for word, _ in self.split(self.normalize(chunk))]
+
+    def learn(self, chunks: set[str]) -> None:
+        if len(self.known) > REMEMBERED_CHUNKS:
+            # The older half goes.
+            self.known = dict(islice(self.known.items(), len(self.known) // 2, None))
+        known = self.known
+        plain, latin, other = [], [], []
+        for chunk in chunks:
+            if chunk not in known:
+                (plain if PLAIN_CHUNK(chunk) else latin if LATIN_CHUNK(chunk) else other).append(
+                    chunk)
+        # All words one behind the other, and a border behind the words of each chunk.
+        words = ASCII_WORDS.findall("".join(f"{c}{BORDER}" for c in plain).lower())
+        words += LATIN_WORDS.findall("".join(f"{c}{BORDER}" for c in latin).lower())
+        for chunk in other:
+            if BORDER in chunk:
+                known[chunk] = self.whole(chunk)
+            else:
+                latin.append(chunk)
+                words += [*self.slow(chunk), BORDER]
+        ids = self.encoding.encode_to_numpy("\n".join([*words, ""]), disallowed_special=())
+        last = np.flatnonzero(ids == self.border) * 4
+        first = np.concatenate(([0], last[:-1] + 4))
+        body = ids.astype("<u4").tobytes()
+        parts = map(body.__getitem__, map(slice, first.tolist(), last.tolist()))
+        known.update(zip(plain + latin, parts, strict=True))
+
+    def whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
-        for text in texts:
-            if UNUSUAL.search(text):
-                ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-                yield np.array(ids, "<u4").tobytes()
-                continue
-            if len(self) > REMEMBERED_CHUNKS:
-                self.clear()
-            yield b"".join(map(self.__getitem__, text.split()))
+        for some in in_batches(texts):
+            chunks = [None if any(map(text.__contains__, UNUSUAL)) else text.split()
+                      for text in some]
+            self.learn(set().union(*(c for c in chunks if c)))
+            for text, parts in zip(some, chunks, strict=True):
+                yield self.whole(text) if parts is None \
+                    else b"".join(map(self.known.__getitem__, parts))
 
 
-_CHUNKS: dict[str, ChunkIds] = {}
+@cache
+def chunk_ids(path: str) -> ChunkIds:
+    return ChunkIds(path)
 
 
 def token_bytes(texts: list[str | None], path: str) -> Iterator[bytes]:
-    if path not in _CHUNKS:
-        _CHUNKS[path] = ChunkIds(path)
     end = np.array([END_ID], "<u4").tobytes()
-    return (ids + end for ids in _CHUNKS[path].encode([t or "" for t in texts]))
+    return (ids + end for ids in chunk_ids(path).encode([t or "" for t in texts]))
 
 
 def default_vocabulary() -> str:
@@ -198,13 +232,15 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                                 "doc_tokens long")
 
 
-def ranked(cut: DataFrame) -> DataFrame:
+def ranked(cut: DataFrame, largest: int) -> DataFrame:
     """The pieces with `rank`, counted from 0 within each length.
 
     A length may be that of a third of all pieces: rows are dealt into buckets by their content,
-    numbered there, and start behind the counts of the buckets before.
+    numbered there, and start behind the counts of the buckets before. There are so many buckets that
+    the largest length has BUCKET_PIECES rows in each.
     """
-    bucket = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(RANK_BUCKETS))
+    buckets = max(1, -(-largest // BUCKET_PIECES))
+    bucket = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(buckets))
     dealt = cut.withColumn("bucket", bucket)
     within = F.row_number().over(Window.partitionBy("length", "bucket").orderBy(
         "doc_id", "start", "ids_crc32", "doc_tokens"))
@@ -237,6 +273,6 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
     kind = dict(cut.dtypes)["doc_id"]
-    return ranked(cut).select(*columns, "rank").mapInArrow(
+    return ranked(cut, max(histogram.values(), default=0)).select(*columns, "rank").mapInArrow(
         place, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, "
                "sequence_id long, offset long")

@@ -13,7 +13,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from playlens.llm import alignment, hard_negatives, license_scan, queries
+from playlens.llm import alignment, common, hard_negatives, license_scan, queries
 
 SMALL = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, links string, place int, vector string"
@@ -31,7 +31,7 @@ def brute_tokens(texts):
     a.encode_special_tokens = True
     b = sentencepiece.SentencePieceProcessor(
         model_file=public_tokenizers.path("piece_bpe_32k.model"))
-    letter = alignment.byte_letters()
+    letter = common.byte_letters()
     name = {i: bytes(letter[c] for c in t) for t, i in a.get_vocab().items()
             if all(c in letter for c in t)}
 
