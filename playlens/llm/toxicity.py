@@ -8,12 +8,20 @@ insult meet, their first four, five and six letters. The score is the logistic f
 so a pair such as an insult beside the name of a group can count more than its parts; the pair sum
 takes time linear in the number of terms.
 
-The model is fitted on at most `SAMPLE_ROWS` labelled rows, the first by a hash of the id; that is
-the only bounded step. Every document is scored, over its whole text.
+Every term with at least `SUPPORT` training rows takes part, with a weight and factors of its own, so
+that a pair of terms that say nothing alone can still tell. Terms that say something alone enter with
+their log odds as value and so learn faster; all others with the small value `PLAIN`.
+
+The model is fitted on at most `SAMPLE_ROWS` labelled ids, the first by a hash of the id, and of these
+as many as have `SAMPLE_BYTES` of terms together; of an id with several texts the one with the
+smallest terms is taken, and of near copies with one label (Jaccard 0.8 or more among those that agree
+in their `COPY_TERMS` smallest mixed terms) one row. These are the only bounded steps. Every document
+is scored, over its whole text.
 
 Edge cases
     null, empty text   no terms: the score of the bias
-    repeated rows      scored alike
+    repeated rows      scored alike, learned from once
+    very long text     one set of terms, at most 2^19 numbers
     null label or id   not learned from, still scored
     label conflicts    a document with several labels is toxic if one of them says so
     no labels at all   every score is 0
@@ -35,16 +43,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playlens.llm.common import REMEMBERED_WORDS, mix
+from playlens.llm.common import REMEMBERED_WORDS, mix, stored
 
 DIMENSIONS = 1 << 19
 FACTORS = 4
 STEMS = (4, 5, 6)
 SAMPLE_ROWS = 12_000
+SAMPLE_BYTES = 64_000_000
 FOLDS = 5
-SIGNIFICANT = 3.3  # root of the likelihood ratio from which a term counts
-COPY_TERMS = 4
-EPOCHS, BATCH, RATE, DECAY, START = 10, 256, 0.05, 0.01, 0.2
+SUPPORT = 30  # training rows a term needs unless it is telling alone
+SIGNIFICANT = 3.3  # root of the likelihood ratio from which a term enters with its log odds
+PLAIN = 0.3  # value of all other terms
+COPY_TERMS, COPY_SHARE = 4, 0.8
+EPOCHS, BATCH, RATE, DECAY, START = 8, 256, 0.05, 0.01, 0.2
 
 WORD = re.compile(r"\w+")
 
@@ -118,24 +129,26 @@ def association(rows: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
 
 
 def distinct(rows: list[np.ndarray], labels: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-    """One row of each group of copies: rows that agree in label and smallest mixed terms.
-
-    Copies of one text would make its plain words look telling.
-    """
-    seen = {}
+    """One row of each group of near copies with one label; copies of one text would make its plain
+    words look telling."""
+    seen: dict[tuple, list[int]] = {}
+    chosen = []
     for i, row in enumerate(rows):
         lowest = np.sort(mix(row.astype(np.uint64)))[:COPY_TERMS].tobytes()
-        seen.setdefault((lowest, labels[i]), i)
-    chosen = sorted(seen.values())
+        like = seen.setdefault((lowest, labels[i]), [])
+        if not any(similar(row, rows[j]) for j in like):
+            like.append(i)
+            chosen.append(i)
     return [rows[i] for i in chosen], labels[chosen]
 
 
-def fit(rows: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Model:
-    """Adagrad over the terms whose association with the labels is significant.
+def similar(left: np.ndarray, right: np.ndarray) -> bool:
+    both = len(np.intersect1d(left, right, assume_unique=True))
+    return both >= COPY_SHARE * (len(left) + len(right) - both)
 
-    A term enters with its log odds as value, so that few labelled rows suffice; the values are
-    folded into weights and factors at the end.
-    """
+
+def fit(rows: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Model:
+    """Adagrad over all terms with support; values are folded into weights and factors at the end."""
     model = Model(-30.0, np.zeros(DIMENSIONS, np.float32),
                   np.zeros((DIMENSIONS, FACTORS), np.float32))
     if not len(rows):
@@ -146,13 +159,16 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Model:
     if labels.min() == labels.max() or not any(map(len, rows)):
         return model
     odds = association(rows, labels)
-    kept = np.flatnonzero(odds)
-    dense = np.full(DIMENSIONS, -1, np.int64)
+    support = np.bincount(np.concatenate(rows), minlength=DIMENSIONS)
+    kept = np.flatnonzero((odds != 0) | (support >= SUPPORT))
+    dense = np.full(DIMENSIONS, -1, np.int32)
     dense[kept] = np.arange(len(kept))
-    value = odds[kept]
+    telling = odds[kept] != 0
+    value = np.where(telling, odds[kept], PLAIN)
     rows = [d[d >= 0] for d in (dense[r] for r in rows)]
     random = np.random.default_rng(seed)
-    weights, factors = np.full(len(kept), START), random.normal(0, 0.01, (len(kept), FACTORS))
+    weights = np.where(telling, START, 0.0)
+    factors = random.normal(0, 0.01, (len(kept), FACTORS))
     past_w, past_f = np.full(len(kept), 1.0), np.full((len(kept), FACTORS), 1.0)
     bias, past_b = model.bias, 1.0
     for _ in range(EPOCHS):
@@ -210,8 +226,16 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                 [batch.column("__id"), pa.array(found, pa.binary()), batch.column("__label")],
                 ["id", "terms", "label"])
 
-    got = rows.mapInArrow(terms, f"id {kind}, terms binary, label double").toPandas()
-    got = got.sort_values(["id", "terms"], kind="stable")
+    # One row per id, so that repeated rows of a document do not reach the driver.
+    found = stored(rows.mapInArrow(terms, f"id {kind}, terms binary, label double")
+                   .groupBy("id").agg(F.min("terms").alias("terms"), F.max("label").alias("label"))
+                   .withColumn("place", F.xxhash64("id")))
+    sizes = sorted((r["place"], r["size"]) for r in
+                   found.select("place", F.length("terms").alias("size")).collect())
+    last = int(np.searchsorted(np.cumsum([size for _, size in sizes]), SAMPLE_BYTES, "right"))
+    if last < len(sizes):
+        found = found.filter(F.col("place") < sizes[last][0])
+    got = found.toPandas().sort_values(["place", "id"], kind="stable")
     return fit([np.frombuffer(t, np.int32) for t in got["terms"]],
                (got["label"].to_numpy(float) > 0).astype(float))
 

@@ -48,6 +48,53 @@ def test_pairs_beyond_additive_weights():
     assert both > first and both > second
 
 
+def neutral_rows(count, seed):
+    """Every term occurs as often in toxic as in clean rows; only the pairs (1, 2) and (3, 4) tell."""
+    rng = np.random.default_rng(seed)
+    rows, labels = [], []
+    for _ in range(count):
+        toxic, side = rng.random() < 0.5, rng.integers(0, 2)
+        pair = ({1, 2}, {3, 4})[side] if toxic else ({1, 3}, {2, 4})[side]
+        rest = rng.integers(100, 160, int(rng.integers(3, 12))).tolist()
+        rows.append(np.array(sorted({*pair, *rest}), np.int32))
+        labels.append(float(toxic))
+    return rows, np.array(labels)
+
+
+def test_pairs_of_terms_neutral_alone():
+    rows, labels = neutral_rows(8000, 1)
+    assert not toxicity.association(rows, labels)[:5].any()
+    model = toxicity.fit(rows, labels)
+    fresh, truth = neutral_rows(1000, 2)
+    assert np.mean((model.scores(fresh) >= 0.5) == (truth > 0)) > 0.95
+
+
+def test_near_copies_count_once_and_others_stay():
+    rng = np.random.default_rng(6)
+    base = np.arange(1000, dtype=np.int32)
+    lowest = np.sort(toxicity.mix(base.astype(np.uint64)))[:toxicity.COPY_TERMS]
+    key = base[np.isin(toxicity.mix(base.astype(np.uint64)), lowest)]
+    far = np.unique(np.concatenate((key, rng.choice(base, 100)))).astype(np.int32)
+    rows = [base, base[base != 999] if 999 not in key else base, far]
+    kept, labels = toxicity.distinct(rows, np.array([1.0, 1.0, 1.0]))
+    assert [len(r) for r in kept] == [1000, len(far)] and len(labels) == 2
+
+
+def test_repeated_rows_are_learned_from_once(spark, monkeypatch):
+    texts = [f"word{i} word{i + 1} " + ("insult" if i % 2 else "praise") for i in range(40)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    once = frame(spark, list(enumerate(texts)))
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda rows, labels: seen.append(
+        [(r.tobytes(), y) for r, y in zip(rows, labels, strict=True)]))
+    toxicity.train(once, labels)
+    toxicity.train(once.union(once).union(once), labels)
+    monkeypatch.setattr(toxicity, "SAMPLE_BYTES", 200)
+    toxicity.train(once, labels)
+    assert seen[0] == seen[1] and 20 < len(seen[0]) <= 40
+    assert seen[2] == seen[0][:len(seen[2])] and sum(len(t) for t, _ in seen[2]) <= 200 and seen[2]
+
+
 def test_toxicity_odd_rows(spark):
     labels = spark.createDataFrame([(1, 1), (1, 0), (None, 1), (2, None), (3, 0)],
                                    "doc_id long, toxic int")
