@@ -5,24 +5,33 @@ text length and punctuation are summed and divided by its number of nodes; both
 over the paths in page order with a Gaussian window, standardised by their deviation and multiplied.
 Paths whose fused ratio passes a threshold hold content. The smallest element that holds all of the
 content, or the article or main element around it, is the article; its text is taken whole, short
-paragraphs and headings included, and so are all article and main parts with content.
-Navigation, headers, footers, sidebars, notices, adverts, forms and comments, told by tag, role or
-name, take no part. A form, a name or aria-hidden says nothing on an element around an article or
-main part or around most of the page's text (of forms: all together), nor where no text is left;
-names of parts that list other texts (comments, related, adverts, sidebars) still do while another
-article or main part stands outside all of these.
+paragraphs and headings included. Of several article and main parts with content all are taken.
+
+Furniture takes no part:
+* always what tags and roles name (navigation, headers, footers, sidebars, controls, dialogs);
+* inside an article or main part beside that only forms and elements with an unmistakable name of an
+  advert, sidebar or comment list as a whole class or id;
+* elsewhere every whole class or id that names furniture, unless the element is around an article or
+  main part (of parts that list other texts, such as comments, this holds only while no article or
+  main part stands outside all of these) or nothing would be left;
+* forms and names that merely contain such a word (nav-open, top-nav) where no article or main part is
+  found, unless a path in them holds content by its ratio. Such an element is a step of its own in a
+  path.
 
 Edge cases
     null, empty, tagless html   null and empty give the empty text, plain text is its own block
     unclosed, misnested tags    closed as browsers do for paragraphs, list items and cells
+    unclosed markup             a tag without its end is text
     repeated rows               give repeated results
-    very long pages             one pass, no limit
+    very long, very deep pages  one pass; time and memory in proportion to the page
+    other columns               ignored, whatever their names
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html import unescape
@@ -31,9 +40,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
-    r"|<(?P<close>/?)(?P<tag>[A-Za-z][^\s/>]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>", re.S)
+OPEN = re.compile(r"(/?)([A-Za-z][^\s/>]*)")
+PLAIN = re.compile(r"[^>\"']*")
 ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -47,49 +55,65 @@ SKIPPED = frozenset("nav header footer aside button select option menu dialog sv
 SKIPPED_ROLES = frozenset("navigation banner contentinfo complementary search alert dialog "
                           "menu menubar toolbar".split())
 FORMS = frozenset(("form", "fieldset"))
-# Names of page furniture among the words of class and id.
-FURNITURE = re.compile(
+CONTENT_TAGS = frozenset(("article", "main"))
+
+# Whole classes and ids that can only name furniture, inside an article, too.
+STRICT = frozenset(
+    "ad ads advert adverts advertisement advertisements sponsored sidebar side-bar comments "
+    "comment-list commentlist comment-section comments-area disqus disqus_thread".split())
+# Furniture that may list articles of its own.
+LISTS = STRICT | frozenset(
+    "adv sponsor promo aside widget widgets related recommend recommended recommendations comment "
+    "respond replies reply".split())
+NAMES = LISTS | frozenset(
+    "nav navbar navigation menu breadcrumb breadcrumbs header masthead footer banner share sharing "
+    "social subscribe subscription newsletter signup sign-up login cookie cookies consent gdpr "
+    "notice notices popup modal overlay toolbar pagination pager skip-link skiplink legal copyright "
+    "disclaimer alert".split())
+# Beginnings of names that are always notices.
+NOTICES = ("cookie-", "cookies-", "gdpr-", "consent-")
+# The same words as a part of a name say less.
+PART_OF_NAME = re.compile(
     r"(?:^|[\s_-])(?:ad|ads|advert\w*|adv|banner|sponsor\w*|promo\w*|nav\w*|menu\w*|breadcrumb\w*|"
     r"header|masthead|footer|side-?bar\w*|aside|widget\w*|related|recommend\w*|share|sharing|"
-    r"social|subscri\w*|newsletter|sign-?up|login|cookie\w*|consent|gdpr|notice\w*|popup|modal|"
-    r"overlay|comment|comments|commentlist|comment-?section|disqus|respond|replies|reply|toolbar|"
-    r"pagination|pager|skip-?link|legal|copyright|disclaimer|alert)(?:$|[\s_-])", re.I)
-# Furniture that may list articles of its own.
-LISTS = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert\w*|adv|sponsor\w*|promo\w*|side-?bar\w*|aside|widget\w*|related|"
-    r"recommend\w*|comment|comments|commentlist|comment-?section|disqus|respond|replies|reply)"
-    r"(?:$|[\s_-])", re.I)
-# A wrapper's remark about what it has or lacks, not a name of its own.
-REMARK = re.compile(r"(?<!\S)(?:has|with|without|no)[_-]\S*", re.I)
-# How an element is told as furniture: always skipped, by a loose sign, by the name of a list.
-NONE, SURE, LOOSE, LISTING = range(4)
+    r"social|subscri\w*|newsletter|sign-?up|login|popup|modal|overlay|comment\w*|disqus|respond|"
+    r"replies|reply|toolbar|pagination|pager|skip-?link|copyright|disclaimer)(?:$|[\s_-])", re.I)
+# How an element is told as furniture.
+NONE, LOOSE, NAMED, LISTING, ALWAYS, SURE = range(6)
+
 # Of two tags in a pair, the new one closes the open one unless the boundary comes first.
-CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}),
-          "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}),
-          "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
-          "option": ({"option"}, {"select"})}
+CLOSES = {"p": (frozenset(("p",)), frozenset("td th button li blockquote".split())),
+          "li": (frozenset(("li",)), frozenset("ul ol menu".split())),
+          "dt": (frozenset(("dt", "dd")), frozenset(("dl",))),
+          "tr": (frozenset("tr td th".split()), frozenset(("table",))),
+          "td": (frozenset(("td", "th")), frozenset(("tr", "table"))),
+          "option": (frozenset(("option",)), frozenset(("select",)))}
+CLOSES_AS = {"li": "li", "dt": "dt", "dd": "dt", "tr": "tr", "td": "td", "th": "td",
+             "option": "option"}
+BORDERS = frozenset().union(*(closed | bounds for closed, bounds in CLOSES.values()))
 PUNCTUATION = frozenset(".,;:!?…。，、；：！？")
-CONTENT_TAGS = frozenset(("article", "main"))
 
 THRESHOLD = 0.5  # of the deviation of the fused ratios
 
 
-@dataclass
+@dataclass(slots=True, eq=False)
 class Node:
     tag: str
     parent: Node | None
     furniture: int
     depth: int
-    path: str
+    path: int
+    # For each pair of CLOSES the outermost open element that a new tag would close.
+    open: dict[str, Node]
     skipped: bool = False
+    has_text: bool = False
+    around: bool = False
+    inside: bool = False
     mass: int = 0
-    whole: int = 0
-    part: bool = False
 
 
-@dataclass
+@dataclass(slots=True)
 class Path:
-    order: int
     length: int = 0
     marks: int = 0
     nodes: int = 0
@@ -97,130 +121,186 @@ class Path:
 
 @dataclass
 class Page:
-    """Text nodes in page order: (block number, element, text)."""
+    """Elements, parents first, and text nodes in page order: (block number, element, text)."""
 
     texts: list = field(default_factory=list)
     elements: list = field(default_factory=list)
 
 
+def tag_end(html: str, at: int) -> int:
+    """Where the tag with its attributes from `at` on ends, behind the `>`; quoted ones are skipped.
+
+    A quote that is never closed is an ordinary character. -1 if there is no end.
+    """
+    while True:
+        at = PLAIN.match(html, at).end()
+        if at == len(html):
+            return -1
+        if html[at] == ">":
+            return at + 1
+        closed = html.find(html[at], at + 1)
+        at = closed + 1 if closed >= 0 else at + 1
+
+
 def parse(html: str) -> Page:
     page = Page()
-    root = Node("", None, NONE, 0, "")
-    at, block, node, past = 0, 0, root, 0
-    page.elements.append(root)
+    node = Node("", None, NONE, 0, 0, {})
+    page.elements.append(node)
+    paths: dict[tuple[int, str, bool], int] = {}
+    open_tags: Counter[str] = Counter()
+    at, block, past = 0, 0, 0
+    final = html.rfind(">")
 
     def text(upto: int) -> None:
         if upto > past and (found := html[past:upto]):
             page.texts.append((block, node, unescape(found)))
 
-    while match := TOKEN.search(html, at):
-        text(match.start())
-        at = past = match.end()
-        tag = (match["tag"] or "").lower()
-        if not tag:
+    def close(until: Node) -> Node:
+        """Closes the open elements up to `until` and it."""
+        current = node
+        while current is not until.parent:
+            open_tags[current.tag] -= 1
+            current = current.parent
+        return current
+
+    while 0 <= (start := html.find("<", at)) <= final or html.startswith("<!--", start):
+        at = start + 1
+        if html.startswith("<!--", start):
+            ends = html.find("-->", start + 4)
+        elif html.startswith("<![CDATA[", start):
+            ends = html.find("]]>", start + 9)
+        elif html.startswith(("<!", "<?"), start):
+            text(start)
+            at = past = html.index(">", start) + 1
+            continue
+        else:
+            ends = None
+        if ends is not None:
+            text(start)
+            at = past = ends + 3 if ends >= 0 else len(html)
+            continue
+        match = OPEN.match(html, at)
+        if not match:
             continue
+        ends = tag_end(html, match.end())
+        if ends < 0:
+            continue
+        text(start)
+        attributes = html[match.end():ends - 1]
+        at = past = ends
+        tag = match[2].lower()
         if tag == "br":
             page.texts.append((block, node, " "))
         if tag not in INLINE:
             block += 1
-        if match["close"]:
-            open_node = node
-            while open_node.parent and open_node.tag != tag:
-                # A cell or list item does not end with a tag outside it that was never opened.
-                open_node = open_node.parent
-            if open_node.parent:
-                node = open_node.parent
+        if match[1]:
+            if open_tags[tag] > 0:
+                until = node
+                while until.tag != tag:
+                    until = until.parent
+                node = close(until)
             continue
-        if tag not in INLINE:
-            node = _without(node, {"p"}, {"td", "th", "button", "li", "blockquote"})
-        if tag in CLOSES:
-            node = _without(node, *CLOSES[tag])
+        if tag not in INLINE and (outer := node.open.get("p")):
+            node = close(outer)
+        if tag in CLOSES_AS and (outer := node.open.get(CLOSES_AS[tag])):
+            node = close(outer)
         if tag in VOID:
             continue
-        child = Node(tag, node, _furniture(tag, match["attrs"]), node.depth + 1,
-                     f"{node.path}/{tag}")
+        told = furniture(tag, attributes)
+        path = paths.setdefault((node.path, tag, told == LOOSE), len(paths) + 1)
+        child = Node(tag, node, told, node.depth + 1, path, node.open)
+        if tag in BORDERS:
+            child.open = {pair: outer for pair, outer in node.open.items()
+                          if tag not in CLOSES[pair][1]}
+            for pair, (closed, bounds) in CLOSES.items():
+                if tag in closed and tag not in bounds:
+                    child.open.setdefault(pair, child)
         page.elements.append(child)
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(html, at)
             at = past = end.end() if end else len(html)
-        elif not match["attrs"].rstrip().endswith("/") or tag not in ("svg", "path"):
+        elif not attributes.rstrip().endswith("/") or tag not in ("svg", "path"):
             node = child
+            open_tags[tag] += 1
     text(len(html))
-    _skip(page)
     return page
 
 
-def _without(node: Node, closed: set[str], bounds: set[str]) -> Node:
-    """The parent of the outermost open tag of `closed` up to the first bound."""
-    found, at = None, node
-    while at.parent and at.tag not in bounds:
-        if at.tag in closed:
-            found = at
-        at = at.parent
-    return found.parent if found else node
-
-
-def _furniture(tag: str, attributes: str) -> int:
+def furniture(tag: str, attributes: str) -> int:
     if tag in SKIPPED:
         return SURE
     found = LOOSE if tag in FORMS else NONE
     if tag in ("html", "body", *CONTENT_TAGS) or "=" not in attributes:
         return found
     for name, *values in ATTRIBUTE.findall(attributes):
-        value = "".join(values)
+        value = "".join(values).lower()
         name = name.lower()
-        if name == "role" and value.lower() in SKIPPED_ROLES:
+        if name == "role" and value in SKIPPED_ROLES:
             return SURE
-        if name in ("class", "id") and FURNITURE.search(value := REMARK.sub("", value)):
-            found = max(found, LISTING if LISTS.search(value) else LOOSE)
-        if (name, value.lower()) in (("aria-hidden", "true"), ("role", "form")):
+        if name in ("class", "id"):
+            for word in value.split():
+                found = max(found, ALWAYS if word in STRICT else LISTING if word in LISTS
+                            else NAMED if word in NAMES or word.startswith(NOTICES)
+                            else LOOSE if PART_OF_NAME.search(word) else NONE)
+        if (name, value) in (("aria-hidden", "true"), ("role", "form")):
             found = max(found, LOOSE)
     return found
 
 
-def _skip(page: Page) -> None:
-    """Marks the elements that take no part; parents come before children in `elements`."""
-    for node in page.elements:
-        node.skipped = node.furniture == SURE or bool(node.parent and node.parent.skipped)
+def find_parts(page: Page) -> list[Node]:
+    """The article and main parts that count; marks all elements around them."""
     for _, node, text in page.texts:
-        if not node.skipped:
-            node.whole += len(text.strip())
+        if text.strip():
+            node.has_text = True
     for node in reversed(page.elements):
-        if node.parent:
-            node.parent.whole += node.whole
-    # Is there an article or main part outside all furniture?
-    outside: dict[int, bool] = {}
-    alone = True
+        if node.parent and node.has_text:
+            node.parent.has_text = True
+    # Parts within furniture that tags name count nowhere; within lists only if there is no other.
+    sure, listed, free, others = set(), set(), [], []
     for node in page.elements:
-        free = node.furniture == NONE and (not node.parent or outside[id(node.parent)])
-        outside[id(node)] = free
-        node.part = node.tag in CONTENT_TAGS and not node.skipped and node.whole > 0
-        alone = alone and not (free and node.part)
+        if node.furniture == SURE or node.parent in sure:
+            sure.add(node)
+        elif node.furniture in (LISTING, ALWAYS) or node.parent in listed:
+            listed.add(node)
+        if node.tag in CONTENT_TAGS and node.has_text and node not in sure:
+            (others if node in listed else free).append(node)
+    parts = free or others
+    for part in parts:
+        part.around = True
     for node in reversed(page.elements):
-        if node.part and node.parent and (alone or node.furniture != LISTING):
-            node.parent.part = True
-    all_text = page.elements[0].whole
-    # A form within a form counts twice, which can only keep more.
-    in_forms = sum(n.whole for n in page.elements if n.tag == "form" and not n.skipped)
+        if node.around and node.parent:
+            node.parent.around = True
+    return parts
+
+
+def skip(page: Page, parts: list[Node]) -> None:
+    """Marks what takes no part; parents come before children in `elements`."""
+    chosen = set(parts)
     for node in page.elements:
-        most = in_forms if node.tag in FORMS else node.whole
-        wraps = node.part or 2 * most > all_text
-        node.skipped = bool(node.parent and node.parent.skipped) or node.furniture == SURE or (
-            node.furniture != NONE and not (wraps and (alone or node.furniture == LOOSE)))
-    if all_text and not any(text.strip() for _, node, text in page.texts if not node.skipped):
+        parent = node.parent
+        node.inside = node in chosen or bool(parent and parent.inside)
+        if node.furniture == SURE or (parent and parent.skipped):
+            node.skipped = True
+        elif node.around:
+            node.skipped = False
+        elif node.inside:
+            node.skipped = node.furniture == ALWAYS or node.tag in FORMS
+        else:
+            node.skipped = bool(parts) or node.furniture >= NAMED
+    if not any(text.strip() for _, node, text in page.texts if not node.skipped):
+        # Nothing would be left: only tags and roles say what is furniture.
         for node in page.elements:
             node.skipped = node.furniture == SURE or bool(node.parent and node.parent.skipped)
 
 
-def path_ratios(page: Page) -> dict[str, float]:
+def path_ratios(page: Page) -> dict[int, float]:
     """The fused, smoothed ratio of every path with text, in units of its deviation."""
-    paths: dict[str, Path] = {}
+    paths: dict[int, Path] = {}
     for _, node, text in page.texts:
-        stripped = len(text) - text.count(" ")
         if node.skipped or not text.strip():
             continue
-        path = paths.setdefault(node.path, Path(len(paths)))
-        path.length += stripped
+        path = paths.setdefault(node.path, Path())
+        path.length += len(text) - text.count(" ")
         path.marks += sum(map(text.count, PUNCTUATION))
         path.nodes += 1
     if not paths:
@@ -243,53 +323,67 @@ def smoothed(values: list[float]) -> list[float]:
     return [x / deviation if deviation else 1.0 for x in out]
 
 
-def article_of(page: Page) -> Node | None:
-    """The deepest element that holds all text of the content paths, or the article around it."""
+def content_paths(page: Page) -> set[int]:
     ratios = path_ratios(page)
     if not ratios:
-        return None
+        return set()
     mean = sum(ratios.values()) / len(ratios)
     spread = math.sqrt(sum((r - mean) ** 2 for r in ratios.values()) / len(ratios))
-    content = {path for path, r in ratios.items() if r >= THRESHOLD * min(spread, mean)}
+    return {path for path, r in ratios.items() if r >= THRESHOLD * min(spread, mean)}
+
+
+def skip_loose(page: Page, content: set[int]) -> None:
+    """Forms and loosely named elements without a content path go, unless nothing would be left."""
+    holds = set()
+    for _, node, text in page.texts:
+        if not node.skipped and node.path in content and text.strip():
+            while node and node not in holds:
+                holds.add(node)
+                node = node.parent
+    for node in page.elements:
+        if (node.parent and node.parent.skipped) or (node.furniture == LOOSE
+                                                     and node not in holds):
+            node.skipped = True
+
+
+def main_text(html: str | None) -> str:
+    """The blocks of the article, one per line."""
+    if not html:
+        return ""
+    page = parse(html)
+    parts = find_parts(page)
+    skip(page, parts)
+    content = content_paths(page)
+    if not parts:
+        skip_loose(page, content)
     for _, node, text in page.texts:
-        if not node.skipped and node.path in content:
+        if not node.skipped and node.path in content and (node.inside or not parts):
             node.mass += len(text.strip())
     for node in reversed(page.elements):
         if node.parent:
             node.parent.mass += node.mass
-    best = page.elements[0]
+    root = page.elements[0]
+    best = root
     for node in page.elements:
-        if node.mass == page.elements[0].mass and node.depth > best.depth:
+        if node.mass == root.mass and node.depth > best.depth:
             best = node
     # Text elements are not containers: a lone paragraph means the element around it.
     while best.parent and (best.tag in INLINE or best.tag in ("p", "li", "td", "tr", "tbody")):
         best = best.parent
     # An article that holds the content is its natural border, headings included.
-    at = best
-    while at:
-        if at.tag in CONTENT_TAGS:
-            return at
-        at = at.parent
-    return best
-
-
-def main_text(html: str | None) -> str:
-    """The blocks of the article, one per line."""
-    if not html:
-        return ""
-    page = parse(html)
-    article = article_of(page)
-    if article is None:
-        return ""
-    inside: set[int] = set()
+    border = best
+    while border and border.tag not in CONTENT_TAGS:
+        border = border.parent
+    best = border or best
+    inside: set[Node] = set()
     for node in page.elements:
-        if node is article or id(node.parent) in inside:
-            inside.add(id(node))
+        if node is best or node.parent in inside:
+            inside.add(node)
     blocks: dict[int, list[str]] = {}
     for block, node, text in page.texts:
-        if not node.skipped and id(node) in inside:
+        if not node.skipped and node in inside and (node.inside or not parts):
             blocks.setdefault(block, []).append(text)
-    lines = (" ".join("".join(parts).split()) for parts in blocks.values())
+    lines = (" ".join("".join(some).split()) for some in blocks.values())
     return "\n".join(line for line in lines if line)
 
 

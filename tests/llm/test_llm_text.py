@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 import zlib
 
 import numpy as np
@@ -267,6 +268,48 @@ def test_furniture_beside_an_article_stays_out():
     assert html_text.main_text(page) == "Body, text. More."
 
 
+@pytest.mark.parametrize("name", [
+    "div class=share-price", "p class='legal-analysis'", "div id=menu-reform",
+    "section class='alert-fatigue'", "p class=notice", "div class='related'", "p class='legal menu'"])
+def test_names_hide_nothing_of_an_article(name):
+    tag = name.split()[0]
+    page = f"<body><article><h1>T</h1><p>{SENTENCES}</p><{name}>Kept, it is.</{tag}></article></body>"
+    assert html_text.main_text(page).split("\n")[-1] == "Kept, it is."
+
+
+@pytest.mark.parametrize("part", [
+    "<div class='ad'>Buy, now.</div>", "<nav><a>Home</a></nav>", "<aside>By the way.</aside>",
+    "<form><input>Mail</form>", "<footer>Printed here.</footer>", "<div role=navigation>x</div>",
+    "<div id=comments><p>I, a reader, object.</p></div>", "<div class='box sidebar'>y</div>",
+    "<button>Send</button>", "<script>z</script>", "<style>z</style>", "<!-- z -->"])
+def test_furniture_within_an_article(part):
+    page = f"<body><main><h1>T</h1>{part}<p>Body, text. More.</p>{part}</main></body>"
+    assert html_text.main_text(page) == "T\nBody, text. More."
+
+
+def test_loose_names_without_an_article_follow_the_ratios():
+    page = (f"<body><div class='page-menu'><a>One</a> <a>Two</a></div><div class='nav-open'>"
+            f"<p>{SENTENCES}</p><p>{SENTENCES}</p></div></body>")
+    assert html_text.main_text(page) == "\n".join([SENTENCES.strip()] * 2)
+
+
+@pytest.mark.parametrize("html", [
+    "<b " * 100_000, "<div>" * 100_000, "<b \"x" * 100_000, "<b \"x" * 100_001 + ">", "<!" * 100_000,
+    "<p><td>" + "<div>" * 100_000, "<div>" * 50_000 + "</z>" * 50_000, "<p>" * 100_000, "<!--" * 100_000,
+    "<li><ul>" * 50_000, "<tr><td>" * 50_000, "<![CDATA[" * 50_000, "<script>" * 50_000, "<" * 100_000,
+    "<div class='ad x" + " y" * 100_000 + "'>a", "</p>" * 100_000, "<a><b>" * 50_000 + "</a>" * 50_000])
+def test_long_and_deep_pages_take_linear_time(html):
+    started = time.process_time()
+    html_text.main_text(html + "end, it is.")
+    assert time.process_time() - started < 10
+
+
+def test_unclosed_markup_is_text():
+    assert html_text.main_text("<p>1 <b and 2") == "1 <b and 2"
+    assert html_text.main_text("a <!-- b") == "a"
+    assert html_text.main_text("<p title='x>y'>z") == "z"
+
+
 def test_extract_rows(spark):
     pages = spark.createDataFrame([(1, "u", "<p>a</p>", 7), (None, None, None, 8), (1, "u",
                                    "<p>a</p>", 9), (2, "v", "<div>" * 5000 + "deep", 1)],
