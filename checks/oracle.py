@@ -231,18 +231,32 @@ FLAT = """event_id, event_type,
   date_trunc('millisecond', event_timestamp) AS event_timestamp, user_id, profile_id, device_id,
   session_id, content_id, content_type, title, position_ms, duration_ms, device_type, os_name,
   os_version, country, region"""
+# What is wrong with the damaged records; right(event_id, 2) tells which were damaged and how.
+REJECTED = """
+  CASE lpad(right(event_id, 2), 2, '-')
+    WHEN '07' THEN 'unreadable' WHEN '17' THEN 'missing userId' WHEN '27' THEN 'unknown eventType'
+    WHEN '47' THEN CASE WHEN device_type IS NOT NULL THEN 'unknown deviceInfo.deviceType' END
+    WHEN '67' THEN CASE WHEN seek_from_ms IS NOT NULL THEN 'missing payload.seek.toPosition' END
+    WHEN '77' THEN 'unknown payload.qualityChange.newQuality'
+    WHEN '98' THEN 'unknown payload.playbackEnd.reason' END"""
+BAD = f"""bad AS (SELECT *, coalesce({REJECTED},
+  CASE WHEN event_type = 'SEEK' AND seek_from_ms IS NULL
+         THEN 'missing payload.seek.fromPosition'
+       WHEN event_type = 'PLAYBACK_END' AND position_ms IS NULL
+         THEN 'missing payload.playbackEnd.finalPosition'
+       WHEN event_type = 'PLAYBACK_END' AND completion_percentage IS NULL
+         THEN 'missing payload.playbackEnd.completionPercentage' END) AS reject_reason FROM e)"""
 oracle("decode_events", f"""
 SELECT {FLAT}, seek_from_ms, seek_to_ms, old_quality, new_quality, new_bitrate, automatic,
   current_bitrate, bitrate_kbps, bandwidth_estimate, rebuffer_duration_ms, total_watch_time_ms,
   round(completion_percentage, 9) AS completion_percentage, end_reason,
   event_type IN {PAYLOAD_TYPES} AS has_payload
-FROM e WHERE lpad(right(event_id, 2), 2, '-') NOT IN ('07', '17', '27')""")
+FROM bad AS e WHERE reject_reason IS NULL""", BAD)
 oracle("quarantine", """
-SELECT CASE right(event_id, 2) WHEN '07' THEN 'unreadable' WHEN '17' THEN 'missing userId'
-            ELSE 'unknown eventType' END AS reject_reason,
-  count(*) AS rows, min(date_trunc('millisecond', event_timestamp)) AS first_received,
+SELECT reject_reason, count(*) AS rows,
+  min(date_trunc('millisecond', event_timestamp)) AS first_received,
   max(date_trunc('millisecond', event_timestamp)) AS last_received
-FROM e WHERE right(event_id, 2) IN ('07', '17', '27') GROUP BY 1""")
+FROM bad WHERE reject_reason IS NOT NULL GROUP BY 1""", BAD)
 oracle("hot_cold_join", """
 SELECT p.user_id, p.content_id, p.last_position, p.last_watched, h.history_events, h.first_seen
 FROM progress p JOIN (SELECT user_id, content_id, count(*) AS history_events,

@@ -78,6 +78,14 @@ def wire_records(spark: SparkSession, sf_dir: str) -> DataFrame:
                            .otherwise(F.col("event_type")))
                .withColumn("event_timestamp", F.when(F.col("last") != "37",
                                                      F.col("event_timestamp"))))
+    damaged = damaged.withColumns({
+        "device_type": F.when((F.col("last") == "47") & F.col("device_type").isNotNull(), "TOASTER")
+        .otherwise(F.col("device_type")),
+        "new_quality": F.when(F.col("last") == "77", "SHARP").otherwise(F.col("new_quality")),
+        "end_reason": F.when(F.col("last") == "98", "BOGUS").otherwise(F.col("end_reason")),
+        "seek_to_ms": F.when(F.col("last") != "67", F.col("seek_to_ms")),
+        "buffer_length": F.lit(20_000), "old_bitrate": F.lit(3000),
+        "current_quality": F.lit("HD_720P")})
     length = F.when(F.col("last") == "07", 40).otherwise(2_147_483_647)
     return decode.nest_events(damaged, "last", "timestamp").select(
         F.substring(F.to_json("event"), F.lit(1), length).alias("value"), "timestamp")

@@ -50,6 +50,41 @@ def first_rows_per_key(df: DataFrame, keys: list[str], order: list[Column], n: i
               .filter(F.col("row_no") <= n))
 
 
+# Pieces of the value range in which distinct values are ranked.
+RANK_PIECES = 1000
+
+
+def global_ranks(rows: DataFrame, keys: list[str], measures: dict[str, bool]) -> DataFrame:
+    """Adds `<name>_rank` for every measure: its rank over all rows, 1 first, ties alike.
+
+    `measures` maps a column to whether the largest value comes first. No window sees all rows: equal
+    values are counted first, the distinct values are cut into pieces by approximate percentiles,
+    ordered within their piece, and start behind the counts of the pieces before, of which there are
+    RANK_PIECES at most. Values must not be null; `keys` name a row.
+    """
+    long = rows.select(*keys, F.explode(F.array(*[
+        F.struct(F.lit(name).alias("measure"),
+                 ((-1 if down else 1) * F.col(name).cast("double")).alias("value"))
+        for name, down in measures.items()])).alias("m")).select(*keys, "m.measure", "m.value")
+    counted = long.groupBy("measure", "value").agg(F.count(F.lit(1)).alias("n"))
+    share = [i / RANK_PIECES for i in range(1, RANK_PIECES)]
+    cuts = counted.groupBy("measure").agg(F.array_distinct(F.percentile_approx(
+        "value", share, F.lit(RANK_PIECES * 10))).alias("cuts"))
+    piece = F.size(F.filter("cuts", lambda cut: cut < F.col("value")))
+    placed = counted.join(F.broadcast(cuts), "measure").withColumn("piece", piece).drop("cuts")
+    totals = placed.groupBy("measure", "piece").agg(F.sum("n").alias("total"))
+    before = F.sum("total").over(Window.partitionBy("measure").orderBy("piece")) - F.col("total")
+    starts = totals.select("measure", "piece", before.alias("before"))
+    own = F.sum("n").over(Window.partitionBy("measure", "piece").orderBy("value")) - F.col("n")
+    ranked = placed.withColumn("own", own).join(starts, ["measure", "piece"]).select(
+        "measure", "value", (F.col("before") + F.col("own") + 1).alias("rank"))
+    named = long.join(ranked, ["measure", "value"])
+    found = named.groupBy(*keys).agg(*[
+        F.max(F.when(F.col("measure") == name, F.col("rank"))).alias(f"{name}_rank")
+        for name in measures])
+    return rows.join(found, keys)
+
+
 # Spans of falling width in which the rows of a key are ordered: rows within the narrowest, then
 # only the last row of every span within the next wider one.
 WIDTHS = ("1 hour", "1 second", "1 millisecond")

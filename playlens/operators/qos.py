@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playlens.functions import expr as X
-from playlens.operators.ordered import rows_since, with_previous
+from playlens.operators.ordered import global_ranks, rows_since, with_previous
 
 
 def _measures() -> list[Column]:
@@ -62,21 +62,21 @@ def qos_realtime(events: DataFrame, window: str = "5 minutes") -> DataFrame:
 def time_to_first_frame(events: DataFrame) -> DataFrame:
     """First PROGRESS after the first PLAY_START, per session and title.
 
-    The first PROGRESS that has a start before it is the first one that follows
-    a PLAY_START directly, so a one-row look-back is enough.
+    Events of one moment are ordered by id. Two aggregates: the first start of every key, then the
+    first PROGRESS behind it.
     """
-    rows = events.filter(X.is_type("PLAY_START", "PROGRESS")).select(
-        "session_id", "content_id", "event_timestamp", "event_id", "event_type")
-    chained = with_previous(rows, ["session_id", "content_id"], "event_timestamp", "event_id",
-                            ["event_type"])
-    begun = F.when(X.is_type("PLAY_START"), F.col("event_timestamp"))
-    shown = F.when(X.is_type("PROGRESS") & (F.col("prev.event_type") == "PLAY_START"),
-                   F.col("event_timestamp"))
-    edges = chained.groupBy("session_id", "content_id").agg(
-        F.min(begun).alias("started_at"), F.min(shown).alias("first_frame_at"))
-    return edges.filter(F.col("first_frame_at").isNotNull()).withColumn(
-        "first_frame_ms",
-        F.unix_millis("first_frame_at") - F.unix_millis("started_at"))
+    keys = ["session_id", "content_id"]
+    order = F.struct("event_timestamp", "event_id")
+    starts = events.filter(X.is_type("PLAY_START")).groupBy(*keys).agg(
+        F.min(order).alias("start"))
+    shown = events.filter(X.is_type("PROGRESS")).select(*keys, order.alias("at"))
+    begun = starts.select(*[F.col(key).alias(f"start_{key}") for key in keys], "start")
+    after = shown.join(begun, [F.col(key).eqNullSafe(F.col(f"start_{key}")) for key in keys]
+                       + [F.col("at") > F.col("start")])
+    return after.groupBy(*keys).agg(
+        F.min("start.event_timestamp").alias("started_at"),
+        F.min("at.event_timestamp").alias("first_frame_at")).withColumn(
+        "first_frame_ms", F.unix_millis("first_frame_at") - F.unix_millis("started_at"))
 
 
 def pause_durations(events: DataFrame) -> DataFrame:
@@ -125,25 +125,24 @@ def error_rates(events: DataFrame) -> DataFrame:
 
 
 def content_health(events: DataFrame) -> DataFrame:
-    """Titles ranked by rebuffering, errors and completion; 1 is the worst.
-
-    The three ranks run over one row per title.
-    """
-    per_title = events.groupBy("content_id").agg(
+    """Titles ranked by rebuffering, errors and completion; 1 is the worst."""
+    per_title = events.groupBy(F.coalesce("content_id", F.lit("")).alias("title"),
+                               F.col("content_id").isNull().alias("untitled")).agg(
         *_measures(), X.count_of(X.is_type("PLAYBACK_END"), "ends"),
         X.count_of(X.is_error_end(), "error_ends"),
         X.count_of(X.is_completed_end(), "completed"))
     rates = per_title.select(
-        "content_id", X.safe_ratio(F.col("rebuffer_ms"), F.col("play_ms")).alias("rebuffer_ratio"),
+        "title", "untitled",
+        X.safe_ratio(F.col("rebuffer_ms"), F.col("play_ms")).alias("rebuffer_ratio"),
         X.safe_ratio(F.col("error_ends"), F.col("ends")).alias("error_rate"),
         X.safe_ratio(F.col("completed"), F.col("ends")).alias("completion_rate"))
-
-    def rank_by(order: Column) -> Column:
-        return F.rank().over(Window.partitionBy().orderBy(order))
-
-    ranked = (rates.withColumn("rebuffer_rank", rank_by(F.desc("rebuffer_ratio")))
-                   .withColumn("error_rank", rank_by(F.desc("error_rate")))
-                   .withColumn("completion_rank", rank_by(F.asc("completion_rate"))))
-    summed = ranked.withColumn("rank_sum", F.col("rebuffer_rank") + F.col("error_rank")
-                               + F.col("completion_rank"))
-    return summed.withColumn("health_rank", rank_by(F.asc("rank_sum")))
+    ranked = global_ranks(rates, ["title", "untitled"], {
+        "rebuffer_ratio": True, "error_rate": True, "completion_rate": False})
+    names = {"rebuffer_ratio_rank": "rebuffer_rank", "error_rate_rank": "error_rank",
+             "completion_rate_rank": "completion_rank"}
+    summed = ranked.withColumnsRenamed(names).withColumn(
+        "rank_sum", sum((F.col(n) for n in list(names.values())[1:]), F.col("rebuffer_rank")))
+    return global_ranks(summed, ["title", "untitled"], {"rank_sum": False}).select(
+        F.when(~F.col("untitled"), F.col("title")).alias("content_id"), "rebuffer_ratio",
+        "error_rate", "completion_rate", *names.values(), "rank_sum",
+        F.col("rank_sum_rank").alias("health_rank"))

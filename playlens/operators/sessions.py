@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from playlens.functions import expr as X
 from playlens.operators.ordered import interval_micros, time_span, with_previous
 
-_COUNTERS = ("total_events", "total_watch_time_ms", "completion_sum", "completion_count",
+COUNTERS = ("total_events", "total_watch_time_ms", "completion_sum", "completion_count",
              "play_start_count", "pause_count", "seek_count", "error_count", "rebuffer_count",
              "total_rebuffer_duration_ms")
 
@@ -44,9 +44,8 @@ def user_sessions(events: DataFrame, gap: str = "30 minutes") -> DataFrame:
     ).agg(F.min("event_timestamp").alias("first_at"), F.max("event_timestamp").alias("last_at"),
           *_measures())
 
-    # a second scan, of two columns
-    spans = events.groupBy("user_id", time_span("event_timestamp", gap).alias("span")).agg(
-        F.min("event_timestamp").alias("first_at"), F.max("event_timestamp").alias("last_at"))
+    spans = summed.groupBy("user_id", "span").agg(
+        F.min("first_at").alias("first_at"), F.max("last_at").alias("last_at"))
     by_time = Window.partitionBy("user_id").orderBy("span")
     silence = (F.unix_micros("first_at") - F.unix_micros(F.lag("last_at").over(by_time)))
     opens = silence.isNull() | (silence > interval_micros(gap))
@@ -59,13 +58,13 @@ def user_sessions(events: DataFrame, gap: str = "30 minutes") -> DataFrame:
         "user_id", "session_start", "content_id"
     ).agg(F.max("last_at").alias("last_at"),
           F.min(F.struct("first_at", "device_type")).alias("opening"),
-          *[F.sum(name).alias(name) for name in _COUNTERS])
+          *[F.sum(name).alias(name) for name in COUNTERS])
     per_session = per_title.groupBy("user_id", "session_start").agg(
         F.max("last_at").alias("session_end"),
         F.min("opening").alias("opening"),
         F.count("content_id").alias("content_count"),
-        *[F.sum(name).alias(name) for name in _COUNTERS])
-    return _shape(per_session.withColumn("device_type", F.col("opening.device_type")))
+        *[F.sum(name).alias(name) for name in COUNTERS])
+    return shape(per_session.withColumn("device_type", F.col("opening.device_type")))
 
 
 def user_sessions_stream(events: DataFrame, gap: str = "30 minutes") -> DataFrame:
@@ -82,14 +81,14 @@ def user_sessions_stream(events: DataFrame, gap: str = "30 minutes") -> DataFram
           opening.alias("opening"),
           F.size(F.collect_set("content_id")).cast("bigint").alias("content_count"),
           *_measures())
-    return _shape(per_session.withColumn("device_type", F.col("opening.device_type")))
+    return shape(per_session.withColumn("device_type", F.col("opening.device_type")))
 
 
 def session_id_of(user: str, start: str):
     return F.concat_ws("-", F.col(user), F.unix_millis(start).cast("string"))
 
 
-def _shape(sessions: DataFrame) -> DataFrame:
+def shape(sessions: DataFrame) -> DataFrame:
     average = F.when(F.col("completion_count") > 0,
                      F.col("completion_sum") / F.col("completion_count")).otherwise(0.0)
     return sessions.select(

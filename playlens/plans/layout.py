@@ -29,7 +29,7 @@ def write_partitioned(df: DataFrame, path: str, partition_by: list[str], mode: s
 
 
 # History folders: a day, then the batch that wrote the rows. Appends outside a stream share one
-# batch number; a stream's batches have their own, from 0 on.
+# batch number; a stream's batches have their own, from 0 on, merged folders one below that of appends.
 HISTORY_FOLDERS = ["event_date", "batch_id"]
 APPENDED = -1
 
@@ -49,16 +49,20 @@ def history_schema() -> T.StructType:
                          for name in (*HISTORY_COLUMNS, *HISTORY_DERIVED)])
 
 
-def read_history(spark: SparkSession, path: str, days: list[str] | None = None) -> DataFrame:
+def read_history(spark: SparkSession, path: str, days: list[str] | None = None,
+                 batches: list[int] | None = None) -> DataFrame:
     """The history; files written before a column was added give null for it.
 
-    With `days` only the folders of these days are listed and read; days without one are empty.
+    With `days` only the folders of these days are listed and read; days without one are empty. With
+    `batches`, too, only these batches of theirs.
     """
     reader = spark.read.schema(history_schema())
     if days is None:
         return reader.parquet(path).drop("batch_id")
     folders = [f"{path}/event_date={day}" for day in days
                if files.exists(spark, f"{path}/event_date={day}")]
+    if batches is not None:
+        folders = [f"{folder}/batch_id={n}" for folder in folders for n in batches]
     if not folders:
         return spark.createDataFrame([], history_schema())
     return reader.option("basePath", path).parquet(*folders).drop("batch_id")

@@ -11,17 +11,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from playlens.sources.schema import EVENT_TYPES, PAYLOAD, RAW_EVENT, REQUIRED_FIELDS
+from playlens.sources.schema import PAYLOAD, RAW_EVENT
+from playlens.sources.wire import avro_schema as own_schema
+from playlens.sources.wire import checks_of
 
 # Fixed value: a registry-framed Avro message starts with a magic byte and a
 # four-byte schema id.
 REGISTRY_HEADER_BYTES = 5
 
+WIRE_SCHEMA = own_schema()
+
 _JSON_SCHEMA = T.StructType(RAW_EVENT.fields + [T.StructField("_corrupt", T.StringType())])
 
 
 def decode_events(raw: DataFrame, fmt: str = "json", avro_schema: str | None = None) -> DataFrame:
-    """Adds `event` (nested, null when unreadable) and `reject_reason`."""
+    """Adds `event` (nested, null when unreadable) and `reject_reason`.
+
+    Records are checked against the Avro schema text, that of the event model if none is given.
+    """
     if fmt == "json":
         parsed = F.from_json(F.col("value").cast("string"), _JSON_SCHEMA,
                              {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
@@ -34,15 +41,18 @@ def decode_events(raw: DataFrame, fmt: str = "json", avro_schema: str | None = N
     # As a generator the parse is evaluated once per row: a filter on its result
     # cannot be pushed below it, which would repeat the parse in every condition.
     with_event = raw.select("*", F.explode(F.array(parsed)).alias("event"))
-    return with_event.withColumn("reject_reason", _reject_reason(unreadable))
+    return with_event.withColumn("reject_reason",
+                                 _reject_reason(unreadable, avro_schema or WIRE_SCHEMA))
 
 
-def _reject_reason(unreadable: Column) -> Column:
+def _reject_reason(unreadable: Column, schema_text: str) -> Column:
+    """One reason per row: unreadable, then what the wire schema asks for, top-level fields first."""
     reason = F.when(unreadable, "unreadable")
-    for field in REQUIRED_FIELDS:
-        if field != "timestamp":  # the broker's time stands in for a missing one
-            reason = reason.when(F.col(f"event.{field}").isNull(), f"missing {field}")
-    return reason.when(~F.col("event.eventType").isin(*EVENT_TYPES), "unknown eventType")
+    # The broker's time stands in for a missing one.
+    checks = checks_of(schema_text, optional=("timestamp",))
+    for name, broken in sorted(checks, key=lambda check: "." in check[0]):
+        reason = reason.when(broken, name)
+    return reason
 
 
 def _avro_event(avro_schema: str | None) -> Column:
@@ -137,8 +147,12 @@ def nest_events(flat: DataFrame, *keep: str) -> DataFrame:
     """Flat row back to the nested wire record, as column `event`; `keep` stays beside it.
 
     Used to replay a history through the decoder; payload fields the flat row
-    does not carry are null.
+    does not carry are null unless there are columns `buffer_length`, `old_bitrate` and
+    `current_quality` for them.
     """
+    extra = {name: F.col(name) if name in flat.columns else F.lit(None)
+             for name in ("buffer_length", "old_bitrate", "current_quality")}
+
     def struct_of(schema: T.StructType, known: dict[str, Column]) -> Column:
         return F.struct(*[
             known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
@@ -154,15 +168,19 @@ def nest_events(flat: DataFrame, *keep: str) -> DataFrame:
             "fromPosition": F.col("seek_from_ms"), "toPosition": F.col("seek_to_ms")}),
         branch("qualityChange", ("QUALITY_CHANGE",), {
             "oldQuality": F.col("old_quality"), "newQuality": F.col("new_quality"),
+            "oldBitrate": extra["old_bitrate"],
             "newBitrate": F.col("new_bitrate"), "automatic": F.col("automatic")}),
         branch("rebuffer", ("REBUFFER_START", "REBUFFER_END"), {
+            "bufferLength": extra["buffer_length"],
             "rebufferDuration": F.col("rebuffer_duration_ms"),
             "bandwidthEstimate": F.col("bandwidth_estimate")}),
         branch("playbackEnd", ("PLAYBACK_END",), {
             "reason": F.col("end_reason"), "finalPosition": F.col("position_ms"),
             "totalWatchTime": F.col("total_watch_time_ms"),
             "completionPercentage": F.col("completion_percentage")}),
-        branch("progress", ("PROGRESS",), {"currentBitrate": F.col("current_bitrate")}),
+        branch("progress", ("PROGRESS",), {
+            "bufferLength": extra["buffer_length"], "currentQuality": extra["current_quality"],
+            "currentBitrate": F.col("current_bitrate")}),
     )
     has_payload = F.col("event_type").isin(
         "SEEK", "QUALITY_CHANGE", "REBUFFER_START", "REBUFFER_END", "PLAYBACK_END", "PROGRESS")

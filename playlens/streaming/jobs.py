@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from playlens.operators import metrics, quality, sessions
-from playlens.streaming import sinks
+from playlens.streaming import session_state, sinks
 from playlens.streaming.sources import DISORDER, WINDOW_LATENESS, watermarked
 
 # Fixed value: a checkpoint every minute.
@@ -37,9 +37,9 @@ def early_metrics_job(events: DataFrame, path: str, checkpoint: str, **options
 
 def sessions_job(events: DataFrame, path: str, checkpoint: str, gap: str = "30 minutes",
                  **options) -> StreamingQuery:
-    """Sessions, written when the gap has passed; later events open a new one
-    only within the watermark, beyond it they are dropped."""
-    result = sessions.user_sessions_stream(watermarked(events, DISORDER), gap)
+    """Sessions, written when the gap has passed; an event later than the watermark whose session is
+    closed opens one of its own."""
+    result = session_state.user_sessions_state(watermarked(events, DISORDER), gap)
     return start(result, sinks.batches_to(path), checkpoint, **options)
 
 
@@ -47,6 +47,12 @@ def hot_views_job(events: DataFrame, root: str, checkpoint: str, **options) -> S
     return start(events, sinks.fan_out_to(root), checkpoint, **options)
 
 
+def current_tables_job(events: DataFrame, root: str, checkpoint: str, buckets: int = 64, **options
+                       ) -> StreamingQuery:
+    """Hot views as current tables: each batch rewrites the buckets of its own keys."""
+    return start(events, sinks.current_to(root, buckets), checkpoint, **options)
+
+
 def history_job(events: DataFrame, path: str, checkpoint: str, **options) -> StreamingQuery:
     return start(events, sinks.history_to(path), checkpoint, **options)
 

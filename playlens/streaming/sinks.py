@@ -11,12 +11,13 @@ from collections.abc import Callable
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from playlens.operators import views
 from playlens.operators.enrich import retained
 from playlens.operators.ordered import latest_per_key
 from playlens.operators.quality import deduplicated
-from playlens.plans import files, layout
+from playlens.plans import current, files, layout
 from playlens.sources.decode import accepted, decode_events, quarantined
 from playlens.sources.schema import RETENTION_DAYS, TABLE_KEYS
 
@@ -48,22 +49,30 @@ def history_to(path: str) -> BatchWriter:
 def fold_history(spark: SparkSession, path: str, before: str) -> int:
     """Merges the batch folders of every day earlier than `before`; returns the days merged.
 
-    Rows are deduplicated on the event id. The merged folder is complete and in place under a new
-    number before an old one goes, so a run that stops anywhere leaves every event readable, some
+    Rows are deduplicated on the event id, those without one on the whole row. The newest batch of
+    the stream is left alone, because it may still be repeated. Merged folders are numbered below
+    `layout.APPENDED`, so no append or batch ever replaces one. A merged folder is complete and in
+    place before an old one goes, so a run that stops anywhere leaves every event readable, some
     twice at worst, and the next run repairs that. Days with one folder are not touched.
     """
+    batches = {day: sorted(int(name.split("=")[1])
+                           for name in files.children(spark, f"{path}/event_date={day}")
+                           if name.startswith("batch_id="))
+               for day in layout.history_days(spark, path)}
+    newest = max((n for found in batches.values() for n in found if n >= 0), default=None)
     folded = 0
-    for day in layout.history_days(spark, path):
-        folder = f"{path}/event_date={day}"
-        batches = sorted(int(name.split("=")[1]) for name in files.children(spark, folder)
-                         if name.startswith("batch_id="))
-        if day >= before or len(batches) < 2:
+    for day, found in batches.items():
+        closed = [n for n in found if n != newest]
+        if day >= before or len(closed) < 2:
             continue
+        folder = f"{path}/event_date={day}"
         staged = files.hidden_name(path, "fold")
-        rows = deduplicated(layout.read_history(spark, path, [day])).drop("event_date")
-        rows.hint("rebalance").write.option("compression", "zstd").parquet(staged)
-        files.rename(spark, staged, f"{folder}/batch_id={min(0, *batches) - 1}")
-        for batch in batches:
+        rows = layout.read_history(spark, path, [day], closed).drop("event_date")
+        named = F.col("event_id").isNotNull()
+        merged = deduplicated(rows.filter(named)).unionByName(rows.filter(~named).distinct())
+        merged.hint("rebalance").write.option("compression", "zstd").parquet(staged)
+        files.rename(spark, staged, f"{folder}/batch_id={min(layout.APPENDED, *closed) - 1}")
+        for batch in closed:
             files.delete(spark, f"{folder}/batch_id={batch}")
         folded += 1
     return folded
@@ -107,6 +116,21 @@ def fan_out_to(root: str, table_views: dict[str, Callable] | None = None) -> Bat
     return write
 
 
+def current_to(root: str, buckets: int = current.BUCKETS,
+               table_views: dict[str, Callable] | None = None) -> BatchWriter:
+    """Keeps every hot view as a current table; see `plans.current`."""
+    chosen = table_views or HOT_VIEWS
+
+    def write(events: DataFrame, batch_id: int) -> None:
+        events.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            for name, build in chosen.items():
+                current.merge_batch(build(events), f"{root}/{name}", name, batch_id, buckets)
+        finally:
+            events.unpersist()
+    return write
+
+
 def ingest_to(events_path: str, quarantine_path: str, fmt: str = "json",
               avro_schema: str | None = None) -> BatchWriter:
     """Splits raw records into good events and a quarantine, from one parse."""

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from playlens.operators import views
 from playlens.plans.layout import events_from_history
 from playlens.sources import decode
+from playlens.sources.wire import checks_of
 from playlens.sources.schema import EVENT_TYPES, FLAT_EVENT
 from playlens.streaming.sources import RAW_RECORD
 
@@ -96,6 +97,58 @@ def test_quarantine_reasons(spark):
     assert decode.accepted(frame).count() == 1
 
 
+END = {"reason": "COMPLETED", "finalPosition": 1, "totalWatchTime": 2, "completionPercentage": 3.0}
+CHANGE = {"oldQuality": "AUTO", "newQuality": "SD_480P", "oldBitrate": 1, "newBitrate": 2}
+
+
+@pytest.mark.parametrize(("fields", "reason"), [
+    ({"deviceInfo": {"deviceType": "TOASTER"}}, "unknown deviceInfo.deviceType"),
+    ({"deviceInfo": {"osName": "x"}}, "missing deviceInfo.deviceType"),
+    ({"deviceInfo": {"deviceType": "WEB"}}, None),
+    ({"payload": {"playbackEnd": {**END, "reason": "BOGUS"}}}, "unknown payload.playbackEnd.reason"),
+    ({"payload": {"playbackEnd": {k: v for k, v in END.items() if k != "completionPercentage"}}},
+     "missing payload.playbackEnd.completionPercentage"),
+    ({"payload": {"playbackEnd": END}}, None),
+    ({"payload": {"qualityChange": {**CHANGE, "newQuality": "SHARP"}}},
+     "unknown payload.qualityChange.newQuality"),
+    ({"payload": {"qualityChange": CHANGE}}, None),
+    ({"payload": {"seek": {"fromPosition": 1}}}, "missing payload.seek.toPosition"),
+    ({"payload": {"rebuffer": {"bufferLength": 1}}}, "missing payload.rebuffer.bandwidthEstimate"),
+    ({"payload": {"progress": {"bufferLength": 1, "currentQuality": "8K", "currentBitrate": 2}}},
+     "unknown payload.progress.currentQuality"),
+    ({"payload": None}, None), ({"payload": {}}, None), ({"timestamp": None}, None),
+    ({"userId": None, "deviceInfo": {"deviceType": "TOASTER"}}, "missing userId"),
+    ({"eventType": "REWIND", "payload": {"seek": {}}}, "unknown eventType"),
+])
+def test_records_are_checked_against_the_wire_schema(spark, fields, reason):
+    row = decoded(spark, json.dumps({**CORE, **fields})).first()
+    assert row["reject_reason"] == reason
+
+
+def test_checks_follow_a_given_schema_text(spark):
+    """Named types used before they are defined, name spaces, defaults, unions of records."""
+    kind = {"type": "enum", "name": "Kind", "symbols": ["PLAY_START", "SEEK"]}
+    schema = {"type": "record", "name": "Event", "namespace": "x.y", "fields": [
+        {"name": "eventId", "type": "string"}, {"name": "eventType", "type": "x.y.Kind"},
+        {"name": "contentType", "type": ["null", kind], "default": None},
+        {"name": "title", "type": "string", "default": "-"},
+        {"name": "payload", "type": ["null", {"type": "record", "name": "A", "fields": [
+            {"name": "toPosition", "type": "long"}]}, {"type": "record", "name": "B", "fields": [
+                {"name": "oldQuality", "type": "Kind"}]}], "default": None}]}
+    names = [name for name, _ in checks_of(json.dumps(schema))]
+    assert names == ["missing eventId", "missing eventType", "unknown eventType",
+                     "unknown contentType", "missing payload.seek.toPosition",
+                     "missing payload.qualityChange.oldQuality",
+                     "unknown payload.qualityChange.oldQuality"]
+    rows = [{**CORE, "eventType": "PAUSE"}, {**CORE, "eventType": "SEEK", "userId": None},
+            {**CORE, "eventType": "SEEK", "payload": {"qualityChange": {"oldQuality": "AUTO"}}}]
+    raw = spark.createDataFrame([(json.dumps(r).encode(), BROKER_TIME) for r in rows],
+                                "value binary, timestamp timestamp")
+    found = decode.decode_events(raw, "json", json.dumps(schema)).collect()
+    assert [r["reject_reason"] for r in found] == [
+        "unknown eventType", None, "unknown payload.qualityChange.oldQuality"]
+
+
 def test_null_value_is_quarantined(spark):
     assert [r["reject_reason"] for r in rows_of(decode.quarantined(decoded(spark, None)))] == [
         "unreadable"]

@@ -118,3 +118,35 @@ def test_no_pair_of_operators_multiplies_rows(skewed):
     for df in (sessions.user_sessions(skewed[1]), qos.pause_durations(skewed[1])):
         assert "CartesianProduct" not in plan_of(df)
         assert "BroadcastNestedLoopJoin" not in plan_of(df)
+
+
+def test_global_ranks_with_most_rows_on_one_value(spark):
+    """Ties, empty input, a hot value; the plan has no window over all rows."""
+    from playlens.operators.ordered import global_ranks
+
+    rows = spark.range(5000).select(
+        F.col("id").alias("k"),
+        F.when(F.col("id") % 10 < 8, 0.0).otherwise(F.pmod(F.xxhash64("id"), F.lit(700)) / 7)
+        .alias("a"), (F.col("id") % 3).alias("b"))
+    got = global_ranks(rows, ["k"], {"a": True, "b": False})
+    plain = rows.selectExpr("*", "rank() OVER (ORDER BY a DESC) AS a_rank",
+                            "rank() OVER (ORDER BY b) AS b_rank")
+    assert got.exceptAll(plain).count() == 0 and got.count() == 5000
+    assert global_ranks(rows.limit(0), ["k"], {"a": True}).count() == 0
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
+
+
+def test_content_health_has_no_window_over_all_titles(spark):
+    from events import make_events
+    from playlens.operators import qos
+
+    events = make_events(spark, [{"event_timestamp": "10:00:00", "content_id": c, "event_type": t,
+                                  "end_reason": "ERROR" if c == "bad" else "COMPLETED"}
+                                 for c in ("bad", None, *map(str, range(20)))
+                                 for t in ("PLAY_START", "PLAYBACK_END")])
+    health = qos.content_health(events)
+    assert "SinglePartition" not in health._jdf.queryExecution().executedPlan().toString()
+    rows = {r["content_id"]: r for r in health.collect()}
+    assert len(rows) == 22 and rows["bad"]["health_rank"] == 1 and rows["bad"]["error_rank"] == 1
+    assert {r["health_rank"] for c, r in rows.items() if c != "bad"} == {2}

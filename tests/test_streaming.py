@@ -7,8 +7,8 @@ from conftest import SMALL
 from events import as_set, at, make_events
 from pyspark.sql import functions as F
 
-from playlens.operators import metrics, quality, sessions, views
-from playlens.plans import files, layout, maintenance, replace, rollup_jobs
+from playlens.operators import lookups, metrics, quality, sessions, views
+from playlens.plans import current, files, layout, maintenance, replace, rollup_jobs
 from playlens.sources.schema import FLAT_EVENT
 from playlens.sources.tables import playback_events
 from playlens.streaming import jobs, sinks, sources
@@ -113,6 +113,59 @@ def test_sessions(spark, scratch):
     assert rounded(got.filter("user_id <> 'flush'")) == rounded(expected)
 
 
+def played(spark, *rows):
+    """Events of user u1: (time, title, type)."""
+    return make_events(spark, [{"event_timestamp": time, "content_id": title, "event_type": kind,
+                                "event_id": f"{time}{title}{kind}"} for time, title, kind in rows])
+
+
+def run_sessions(spark, scratch, batches, gap="30 minutes"):
+    for n, batch in enumerate(batches):
+        source = land(batch, f"{scratch}/in", str(n))
+        run(jobs.sessions_job(sources.file_events(spark, source), f"{scratch}/out",
+                              f"{scratch}/cp", gap=gap, **ONCE))
+    return spark.read.parquet(f"{scratch}/out").drop("batch_id").filter("user_id <> 'flush'")
+
+
+def test_disordered_sessions_equal_the_batch(spark, scratch):
+    """Out of order within the bound: extended at both ends, bridged, titles counted once."""
+    events = flat(spark).filter(F.pmod(F.col("event_id").cast("int"), F.lit(5)) == 0)
+    part = F.pmod(F.xxhash64("event_id"), F.lit(3))
+    # Each day comes in three disordered batches; the watermark stays behind all of them.
+    batches = [played(spark, ("2024-01-01 00:00:00", "c0", "PAUSE"))]
+    batches += [events.filter(part == n) for n in range(3)]
+    expected = sessions.user_sessions(events.unionByName(batches[0], True), "1 hour")
+    for frame in batches[1:]:
+        land(frame, f"{scratch}/in", f"all{id(frame)}")
+    got = run_sessions(spark, scratch, [batches[0], flush(spark)], "1 hour")
+    def rounded(df):
+        return as_set(df.select(*expected.columns).withColumn(
+            "avg_completion_percentage", F.round("avg_completion_percentage", 6)))
+    assert rounded(got) == rounded(expected)
+
+
+def test_sessions_bridged_by_a_later_batch(spark, scratch):
+    got = run_sessions(spark, scratch, [
+        played(spark, ("10:00:00", "a", "PLAY_START"), ("10:10:00", "b", "SEEK")),
+        played(spark, ("10:10:01", "a", "PAUSE"), ("10:09:58", "c", "PAUSE")),
+        played(spark, ("10:10:03", "b", "SEEK"), ("10:10:02", "d", "SEEK")), flush(spark)], "5 seconds")
+    rows = {str(r["session_start"].time()): r for r in got.collect()}
+    assert set(rows) == {"10:00:00", "10:09:58"}
+    whole = rows["10:09:58"]
+    assert (whole["total_events"], whole["content_count"], whole["seek_count"],
+            whole["session_duration_ms"]) == (5, 4, 3, 5000)
+
+
+def test_late_event_opens_a_session_of_its_own(spark, scratch):
+    got = run_sessions(spark, scratch, [
+        played(spark, ("10:00:00", "a", "PLAY_START")),
+        played(spark, ("12:00:00", "b", "PLAY_START")),     # closes the first
+        played(spark, ("10:05:00", "a", "PAUSE")), flush(spark)])
+    rows = sorted((str(r["session_start"].time()), r["total_events"], r["session_duration_ms"])
+                  for r in got.collect())
+    assert rows == [("10:00:00", 1, 0), ("10:05:00", 1, 0), ("12:00:00", 1, 0)]
+
+
 def test_hot_views(spark, scratch):
     events = flat(spark)
     halves = [events.filter("event_timestamp < '2024-01-15'"),
@@ -188,11 +241,127 @@ def test_history_batch_repeated_and_folded(spark, scratch):
     # A run that stopped after its folder was in place leaves rows twice; the next one repairs it.
     write(batches[0], 7)
     write(batches[1], 8)
-    assert layout.read_history(spark, path).count() == 5
+    newest = make_events(spark, [{"event_id": "new", "event_timestamp": "10:09:00"}])
+    write(newest, 9)
+    assert layout.read_history(spark, path).count() == 6
     assert sinks.fold_history(spark, path, "9999-12-31") == 1
-    assert layout.read_history(spark, path).count() == 3
-    assert files.children(spark, f"{path}/event_date={day}") == ["batch_id=-1"]
+    assert layout.read_history(spark, path).count() == 4
+    assert files.children(spark, f"{path}/event_date={day}") == ["batch_id=-2", "batch_id=9"]
     assert sinks.fold_history(spark, path, "9999-12-31") == 0
+    write(newest, 9)  # the newest batch may be repeated, and counts once
+    assert layout.read_history(spark, path).count() == 4
+
+
+def test_overwrite_after_a_fold_keeps_the_folded_rows(spark, scratch):
+    write = sinks.history_to(scratch)
+    for n in range(4):
+        write(make_events(spark, [{"event_id": f"{n}-{i}", "event_timestamp": f"10:0{n}:00"}
+                                  for i in range(6)]), n)
+    appended = make_events(spark, [{"event_id": f"a{i}", "event_timestamp": "11:00:00"}
+                                   for i in range(12)])
+    assert sinks.fold_history(spark, scratch, "9999-12-31") == 1
+    for _ in range(2):
+        layout.write_history(appended, scratch, "overwrite")
+        assert layout.read_history(spark, scratch).count() == 36
+    assert sinks.fold_history(spark, scratch, "9999-12-31") == 1
+    layout.write_history(appended.limit(0), scratch, "overwrite")
+    assert layout.read_history(spark, scratch).count() == 36
+
+
+def test_fold_keeps_rows_without_an_id_apart(spark, scratch):
+    write = sinks.history_to(scratch)
+    for n in range(3):
+        write(make_events(spark, [{"event_id": None, "event_timestamp": f"10:0{n}:0{i}"}
+                                  for i in range(5)] + [{"event_id": "same",
+                                                         "event_timestamp": "10:00:00"}]), n)
+    sinks.fold_history(spark, scratch, "9999-12-31")
+    rows = layout.read_history(spark, scratch)
+    assert rows.filter("event_id IS NULL").count() == 15
+
+
+def thirds(events):
+    """Three batches that overlap in keys, the middle one first."""
+    day = F.dayofmonth("event_timestamp")
+    return [events.filter(day.between(11, 20)), events.filter(day <= 10), events.filter(day > 20)]
+
+
+def data_files(spark, path):
+    return {str(r["path"]) for r in files.listing(spark, path).select("path").collect()}
+
+
+def test_current_tables_hold_the_latest_rows(spark, scratch):
+    events, root = flat(spark), f"{scratch}/tables"
+    for n, part in enumerate(thirds(events)):
+        source = land(part, f"{scratch}/in", str(n))
+        run(jobs.current_tables_job(sources.file_events(spark, source), root, f"{scratch}/cp",
+                                    buckets=4, **ONCE))
+    log = {name: build(events).withColumn("batch_id", F.lit(0))
+           for name, build in sinks.HOT_VIEWS.items()}
+    for name in sinks.HOT_VIEWS:
+        expected = sinks.current_rows(log[name], name)
+        got = current.read_current(spark, f"{root}/{name}")
+        assert as_set(got.select(*expected.columns)) == as_set(expected), name
+        assert got.count() == expected.count()
+
+
+def test_a_batch_rewrites_its_own_buckets_only(spark, scratch):
+    events = flat(spark)
+    build, path = sinks.HOT_VIEWS["user_content_progress"], f"{scratch}/progress"
+    current.merge_batch(build(events), path, "user_content_progress", 0, 8)
+    before = data_files(spark, path)
+    one = make_events(spark, [{"event_timestamp": "2024-02-01 10:00:00", "user_id": "user-1",
+                               "content_id": "content-1", "duration_ms": 100, "position_ms": 77}])
+    touched = current.merge_batch(build(one), path, "user_content_progress", 1, 8)
+    assert len(touched) == 1
+    after = data_files(spark, path)
+    assert before <= after
+    assert all(f"/bucket={touched[0]}/" in name for name in after - before)
+    # The same batch again changes nothing, whatever had been written before it stopped.
+    assert current.merge_batch(build(one), path, "user_content_progress", 1, 8) == []
+    assert data_files(spark, path) == after
+    # An older row of the key does not win, a third batch lets the oldest folder go.
+    old = one.withColumn("event_timestamp", F.lit("2023-01-01").cast("timestamp")).withColumn(
+        "position_ms", F.lit(1).cast("long"))
+    current.merge_batch(build(old), path, "user_content_progress", 2, 8)
+    assert current.batches_of(spark, path, touched[0]) == [1, 2]
+    row = lookups.progress(current.read_current_key(spark, path, "user_id", "user-1", 8),
+                           "user-1", "content-1").collect()
+    assert [r["last_position"] for r in row] == [77]
+    assert current.read_current(spark, path).count() == views.user_content_progress(
+        events.unionByName(one, True)).count()
+
+
+def test_lookups_on_current_tables_read_one_bucket(spark, scratch):
+    events = flat(spark)
+    for n, part in enumerate(thirds(events)):
+        sinks.current_to(scratch, 8)(part, n)
+
+    def stored(table, key, value):
+        frame = current.read_current_key(spark, f"{scratch}/{table}", key, value, 8)
+        assert len({name.split("/batch_id=")[0] for name in frame.inputFiles()}) == 1
+        return frame
+
+    user, content, session, day = "user-1", "content-1", "s-1-20240105", "2024-01-05"
+    pairs = [
+        (lookups.continue_watching, "continue_watching", "user_id", (user,),
+         views.continue_watching_log),
+        (lookups.progress, "user_content_progress", "user_id", (user, content),
+         views.user_content_progress),
+        (lookups.all_progress, "user_content_progress", "user_id", (user,),
+         views.user_content_progress),
+        (lookups.user_events, "events_by_user", "user_id", (user,), views.events_by_user),
+        (lookups.session_events, "events_by_session", "session_id", (session,),
+         views.events_by_session),
+        (lookups.content_events, "events_by_content", "content_id", (content,),
+         views.events_by_content),
+        (lookups.quality_events, "playback_quality_events", "content_id", (content, day),
+         views.quality_events)]
+    for lookup, table, key, values, build in pairs:
+        expected = lookup(build(events), *values)
+        got = lookup(stored(table, key, values[0]), *values)
+        assert [tuple(map(str, r)) for r in got.select(*expected.columns).collect()] == [
+            tuple(map(str, r)) for r in expected.collect()], table
+    assert stored("events_by_user", "user_id", "nobody").count() == 0
 
 
 def test_fold_of_an_upsert_log(spark, scratch):
