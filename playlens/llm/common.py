@@ -9,7 +9,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # ASCII white space; a word is a run of anything else.
@@ -27,6 +27,9 @@ REMEMBERED_WORDS = 150_000
 # Characters of texts that are tokenized together; a longer text comes alone.
 BATCH_CHARS = 1 << 20
 
+# Rows of an order that one task takes.
+PIECE_ROWS = 100_000
+
 # Bits of the filters that spare rows a shuffle: 1,024 rows of 4 KB whatever the input.
 FILTER_BITS = 1 << 25
 
@@ -65,6 +68,37 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def wrapped(docs: DataFrame, id_col: str) -> DataFrame:
+    """The rows as one column `doc` and their id as `key`, so that no name of theirs can clash."""
+    columns = [F.col(f"`{name}`") for name in docs.columns]
+    return docs.select(F.struct(*columns).alias("doc"), F.col(id_col).alias("key"))
+
+
+def sums_before(df: DataFrame, order: list[Column], sums: dict[str, Column]) -> DataFrame:
+    """Adds for every name the sum of its column over all rows before, in an order without ties.
+
+    Rows are cut into pieces along the order, PIECE_ROWS in each; the sums run within pieces and over
+    the totals of the pieces. The rows are materialized.
+    """
+    pieces = max(1, -(-df.count() // PIECE_ROWS))
+    own = {f"__{name}": value for name, value in sums.items()}
+    keys = {f"__order_{i}": column for i, column in enumerate(order)}
+    placed = materialized(df.withColumns(own | keys).repartitionByRange(pieces, *keys)
+                          .withColumn("__piece", F.spark_partition_id()))
+    line = Window.partitionBy("__piece").orderBy(*keys).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    totals = placed.groupBy("__piece").agg(*[F.sum(name).alias(f"{name}_all") for name in own])
+    # One row per piece.
+    before = Window.orderBy("__piece").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    starts = totals.select(F.col("__piece"), *[
+        (F.sum(f"{name}_all").over(before) - F.col(f"{name}_all")).alias(f"{name}_start")
+        for name in own])
+    return placed.withColumns({f"{name}_run": F.sum(name).over(line) - F.col(name) for name in own}
+                              ).join(starts, "__piece").select(
+        *df.columns, *[(F.col(f"__{name}_start") + F.col(f"__{name}_run")).alias(name)
+                       for name in sums])
+
+
 def _slot(columns: tuple[str, ...]) -> Column:
     return F.pmod(F.xxhash64(*columns), F.lit(FILTER_BITS))
 

@@ -7,8 +7,9 @@ Edge cases
     null text       equal to the empty text
     null doc_id     smaller ids win; a group of null ids only keeps one of its rows, keep_id null
     repeated rows   rows with the same id and equal text count as copies, exactly one is kept
+    very long text  normalised and hashed where it is read
     empty table     empty result
-    other columns   ignored by `refine`, returned untouched by `deduplicate`
+    other columns   ignored by `refine`, returned untouched by `deduplicate`, whatever their names
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from playlens.llm.common import SPACES, bit_maps, materialized, with_maybe
+from playlens.llm.common import SPACES, bit_maps, materialized, with_maybe, wrapped
 
 PREFIX_CHARS = 256
 
@@ -45,7 +46,7 @@ def surviving_groups(docs: DataFrame, text_col: str = "text",
     return bit_maps(groups, "__length", "__prefix")
 
 
-def flagged(docs: DataFrame, survivors: DataFrame, text_col: str = "text",
+def flagged(docs: DataFrame, survivors: DataFrame, text_col: str | Column = "text",
             prefix_chars: int = PREFIX_CHARS) -> DataFrame:
     """The rows with `__maybe`: false means certainly without a copy. No text is shuffled."""
     measured = docs.select("*", *_measured(normalized(text_col), prefix_chars))
@@ -70,8 +71,12 @@ def refine(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     first = F.min(F.struct(F.col("doc_id").isNull().alias("null_last"), "doc_id", "__row"))
     groups = (members.filter("__maybe").groupBy("full_hash")
               .agg(first.alias("first"), F.count("*").alias("n")).filter("n > 1"))
+    # Rows that refinement set apart meet no group.
+    apart = members.filter("NOT __maybe").withColumns(
+        {"first": F.lit(None).cast(dict(groups.dtypes)["first"]), "n": F.lit(None).cast("long")})
+    met = members.filter("__maybe").join(groups, "full_hash", "left")
     alone = F.col("n").isNull()
-    return members.join(groups, "full_hash", "left").select(
+    return met.unionByName(apart).select(
         "doc_id",
         F.when(alone, F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("keep_id"),
         F.coalesce("n", F.lit(1)).cast("long").alias("group_size"),
@@ -88,24 +93,22 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
     survivors = materialized(surviving_groups(docs, text_col))
     decided = materialized(refine(docs, id_col, text_col, survivors))
-    marked = flagged(docs, survivors, text_col)
-    dropped = (decided.groupBy(F.col("doc_id").alias("__id"))
-               .agg(F.max("kept").alias("kept")).filter("NOT kept").select("__id"))
-    possible = marked.filter("__maybe").join(dropped, F.col(id_col) == F.col("__id"), "left_anti")
+    text = F.col("doc")[text_col]
+    marked = flagged(wrapped(docs, id_col), survivors, text)
+    dropped = (decided.groupBy(F.col("doc_id").alias("key"))
+               .agg(F.max("kept").alias("kept")).filter("NOT kept").select("key"))
+    possible = marked.filter("__maybe").join(dropped, "key", "left_anti")
     nameless = decided.filter("doc_id IS NULL AND full_hash IS NOT NULL")
     if not nameless.filter("NOT kept").isEmpty():
-        gone = (nameless.groupBy(F.col("full_hash").alias("__hash"))
-                .agg(F.max("kept").alias("kept")).filter("NOT kept").select("__hash"))
-        hashed = possible.filter(F.col(id_col).isNull()).withColumn(
-            "__hash", F.sha2(normalized(text_col), 256))
-        possible = possible.filter(F.col(id_col).isNotNull()).unionByName(
-            hashed.join(gone, "__hash", "left_anti").dropDuplicates(["__hash"]).drop("__hash"))
+        gone = (nameless.groupBy(F.col("full_hash").alias("hash"))
+                .agg(F.max("kept").alias("kept")).filter("NOT kept").select("hash"))
+        hashed = possible.filter("key IS NULL").withColumn("hash", F.sha2(normalized(text), 256))
+        possible = possible.filter("key IS NOT NULL").unionByName(
+            hashed.join(gone, "hash", "left_anti").dropDuplicates(["hash"]).drop("hash"))
     repeated = (decided.filter("NOT kept AND doc_id = keep_id")
-                .select(F.col("doc_id").alias("__id")).distinct())
+                .select(F.col("doc_id").alias("key")).distinct())
     if not repeated.isEmpty():
-        again = F.col(id_col) == F.col("__id")
-        text = normalized(text_col).alias("__text")
-        possible = possible.join(repeated, again, "left_anti").unionByName(
-            possible.join(repeated, again, "left_semi").withColumn("__text", text)
-            .dropDuplicates([id_col, "__text"]).drop("__text"))
-    return marked.filter("NOT __maybe").unionByName(possible).drop("__maybe")
+        possible = possible.join(repeated, "key", "left_anti").unionByName(
+            possible.join(repeated, "key", "left_semi").withColumn("body", normalized(text))
+            .dropDuplicates(["key", "body"]).drop("body"))
+    return marked.filter("NOT __maybe").unionByName(possible).select("doc.*")

@@ -10,7 +10,10 @@ Edge cases
     under five words                the whole sequence is the one shingle
     repeated rows                   equal texts have equal fingerprints
     null doc_id                     ordered after all ids in `edited`
+    repeated and null ids           ordered by a hash of the text, then by the text
+    very long text                  shingles are hashed in one pass, signatures in parts
     empty table                     empty result
+    other columns                   ignored, whatever their names
 """
 
 from __future__ import annotations
@@ -30,6 +33,8 @@ PERMUTATIONS = 64
 BANDS = 16
 SIMILAR = 0.8
 CHUNK = 8192
+PIECES = 8  # fine pieces per range
+HASH_BITS = 8  # pieces of a frequent id: 2^8
 
 _random = np.random.default_rng(20_240_501)
 FACTOR = _random.integers(0, 1 << 63, PERMUTATIONS, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -62,40 +67,59 @@ def edit(text: str, following: str) -> str:
 
 
 def in_order(docs: DataFrame, ranges: int) -> DataFrame:
-    """Rows dealt into id ranges in order, the first row of the next range added to each.
+    """Rows dealt into ranges along (doc_id, hash of the text), the first row of the next range added
+    to each.
 
-    The borders are quantiles of the ids, so no task holds more than a range; only the borders and
-    one head per range are known outside it. Texts are shuffled once.
+    Fine pieces are cut at quantiles of the ids; ids that fill pieces of their own, and null ones, are
+    cut by the hash. Neighbouring pieces are put together to ranges of about equal bytes. Outside the
+    tasks only the pieces' sizes are known, `PIECES` per range and `HASH_PIECES` per frequent id, and
+    one head per range. Texts are shuffled once.
     """
     spark = docs.sparkSession
-    shares = [i / ranges for i in range(1, ranges)]
-    borders = sorted(set(docs.filter("doc_id IS NOT NULL").approxQuantile(
-        "doc_id", shares, 0.2 / ranges))) if shares else []
-    at = F.lit(0)
-    if borders:
-        bounds = F.array(*[F.lit(int(b)).cast("long") for b in borders])
-        at = F.when(F.col("doc_id").isNull(), F.lit(len(borders))).otherwise(
-            F.size(F.filter(bounds, lambda b: b < F.col("doc_id"))))
-    order = [F.col("doc_id").isNull(), F.col("doc_id"), F.col("text")]
-    placed = docs.withColumn("__range", at.cast("int")).withColumn("__head", F.lit(False))
-    ids = placed.select("__range", F.col("doc_id").isNull().alias("null_last"), "doc_id")
-    heads = sorted((r["__range"], r["first"]["null_last"], r["first"]["doc_id"])
-                   for r in ids.groupBy("__range").agg(F.min(F.struct(
-                       "null_last", "doc_id")).alias("first")).collect())
-    if not heads:
-        return placed
-    # Each range takes the head of the following one that has rows, the last the very first.
+    rows = docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("__hash"))
+    fine = ranges * PIECES
+    shares = [i / fine for i in range(1, fine)]
+    cuts = [int(b) for b in rows.filter("doc_id IS NOT NULL").approxQuantile(
+        "doc_id", shares, 0.2 / fine)] if shares else []
+    borders = sorted(set(cuts))
+    frequent = sorted({a for a, b in zip(cuts, cuts[1:], strict=False) if a == b})
+    longs = lambda values: F.array(*[F.lit(v).cast("long") for v in values]).cast("array<long>")
+    no_id = F.col("doc_id").isNull()
+    by_hash = no_id | F.array_contains(longs(frequent), F.coalesce("doc_id", F.lit(0)))
+    at = F.when(no_id, F.lit(len(borders) + 1)).otherwise(
+        F.size(F.filter(longs(borders), lambda b: b < F.col("doc_id"))))
+    # The hash as an unsigned place in its range.
+    part = F.when(by_hash, F.shiftright("__hash", 64 - HASH_BITS) + (1 << (HASH_BITS - 1)) + 1)
+    placed = rows.withColumns({"__at": at.cast("int"),
+                               "__part": F.coalesce(part, F.lit(0)).cast("int")})
+    first = F.min(F.struct(no_id.alias("n"), "doc_id", "__hash")).alias("first")
+    pieces = sorted(placed.groupBy("__at", "__part").agg(
+        F.sum(F.octet_length(F.coalesce("text", F.lit(""))) + 100).alias("bytes"), first).collect(),
+        key=lambda r: (r["__at"], r["__part"]))
+    if not pieces:
+        return placed.select("doc_id", "text", F.lit(0).alias("__range"),
+                             F.lit(False).alias("__head"))
+    share = max(1, sum(r["bytes"] for r in pieces)) / ranges
+    seen, plan, heads = 0, [], []
+    for r in pieces:
+        number = min(ranges - 1, int((seen + r["bytes"] / 2) / share))
+        if not heads or heads[-1][0] != number:
+            heads.append((number, r["first"]["doc_id"], r["first"]["__hash"]))
+        plan.append((r["__at"], r["__part"], number))
+        seen += r["bytes"]
+    ranged = placed.join(F.broadcast(spark.createDataFrame(
+        plan, "__at int, __part int, __range int")), ["__at", "__part"])
+    # Each range takes the head of the following one, the last the very first.
     taker = [(heads[i - 1][0], heads[i][1], heads[i][2]) for i in range(len(heads))]
-    wanted = spark.createDataFrame(taker, "taker int, no_id boolean, head_id long")
-    head_rows = placed.join(
-        F.broadcast(wanted), (F.col("doc_id").eqNullSafe(F.col("head_id"))))
-    # Where an id repeats, its smallest text is the head.
-    head_rows = (head_rows.groupBy("taker").agg(F.min(F.struct(
-        F.col("doc_id").isNull().alias("n"), "doc_id", F.coalesce("text", F.lit("")).alias("text")))
-        .alias("h")).select(F.col("h.doc_id").alias("doc_id"), F.col("h.text").alias("text"),
-                            F.col("taker").alias("__range"), F.lit(True).alias("__head")))
-    return placed.unionByName(head_rows).repartition("__range").sortWithinPartitions(
-        "__range", "__head", *order)
+    wanted = spark.createDataFrame(taker, "taker int, head_id long, head_hash long")
+    head_rows = rows.join(F.broadcast(wanted), F.col("doc_id").eqNullSafe(F.col("head_id"))
+                          & (F.col("__hash") == F.col("head_hash"))).groupBy("taker").agg(
+        F.min(F.struct("doc_id", F.coalesce("text", F.lit("")).alias("text"), "__hash")).alias("h"))
+    heads_in = head_rows.select("h.doc_id", "h.text", F.col("taker").alias("__range"),
+                                F.lit(True).alias("__head"), "h.__hash")
+    both = ranged.select("doc_id", "text", "__range", F.lit(False).alias("__head"), "__hash")
+    return both.unionByName(heads_in).repartitionById(ranges, "__range").sortWithinPartitions(
+        "__range", "__head", no_id, "doc_id", "__hash", "text").drop("__hash")
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

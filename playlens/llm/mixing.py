@@ -16,6 +16,8 @@ Edge cases
     repeated rows   each counts with its own words
     null doc_id     ordered first within its bucket, mixed like any other row
     empty table     empty result
+    very long text  its words are counted where it is read; blocks name runs of words, not the text
+    other columns   ignored, or returned untouched by `mixed_documents`, whatever their names
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from playlens.llm.common import WORD, materialized, mix
+from playlens.llm.common import WORD, materialized, mix, sums_before, wrapped
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -37,6 +39,7 @@ MOST_REPEATS = 2
 BLOCK_WORDS = 64
 SHARD_SLOTS = 1024
 CHUNK_TURNS = 50_000
+MOST_TASKS = 20_000
 ROWS_PER_BUCKET = 20_000
 SEED = 17
 
@@ -51,42 +54,41 @@ def source_targets(sizes: DataFrame, weights: tuple = WEIGHTS, share: float = SH
 
     Sources are capped in ascending order of limit / weight: once the rate that serves the rest
     keeps the next source under its limit, it does so for all later ones. `sizes` has a row per
-    document with source and size; the windows run over one row per source.
+    document with source and size. Sources are ranked and summed in pieces, so their number has no
+    bound.
     """
     totals = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
-    by_name = Window.orderBy(F.col("source").isNull(), F.encode("source", "UTF-8"))
-    number = F.row_number().over(by_name) - 1
+    numbered = sums_before(totals, [F.col("source").isNull(), F.encode("source", "UTF-8")],
+                           {"number": F.lit(1)})
     cycle = F.array(*[F.lit(float(w)) for w in weights])
-    ranked = (totals.withColumn("number", number)
-              .withColumn("weight", F.element_at(cycle, (F.col("number") % len(weights) + 1)
-                                                 .cast("int")))
-              .withColumn("limit", F.col("source_size") * float(most)))
-    by_rate = Window.orderBy(F.col("limit") / F.col("weight"), "number")
-    everything = Window.partitionBy()
-    before = by_rate.rowsBetween(Window.unboundedPreceding, -1)
-    rest = by_rate.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    budget = F.sum("source_size").over(everything) * share
-    rate = ((budget - F.coalesce(F.sum("limit").over(before), F.lit(0.0)))
-            / F.sum("weight").over(rest))
-    rated = ranked.withColumn("rate", rate).withColumn(
-        "fits", F.col("rate") * F.col("weight") <= F.col("limit"))
-    settled = F.min(F.when(F.col("fits"), F.struct(F.col("limit") / F.col("weight"), "number",
-                                                    "rate"))).over(everything)
-    target = F.least(F.coalesce(settled["rate"] * F.col("weight"), F.col("limit")),
-                     F.col("limit"))
-    return rated.select("source", F.col("number").cast("long"), "source_size",
-                        target.alias("target"))
+    ranked = numbered.withColumns({
+        "weight": F.element_at(cycle, (F.col("number") % len(weights) + 1).cast("int")),
+        "limit": F.col("source_size") * float(most)})
+    by_rate = [F.col("limit") / F.col("weight"), F.col("number")]
+    placed = sums_before(ranked, by_rate, {"limit_before": F.col("limit"),
+                                           "weight_before": F.col("weight")})
+    whole = placed.agg(F.sum("source_size").alias("size"), F.sum("weight").alias("weight")).first()
+    budget = float(whole["size"] or 0) * share
+    rated = placed.withColumn("rate", (F.lit(budget) - F.col("limit_before"))
+                              / (F.lit(whole["weight"] or 0.0) - F.col("weight_before")))
+    settled = rated.filter(F.col("rate") * F.col("weight") <= F.col("limit")).agg(
+        F.min(F.struct(*by_rate, "rate")).alias("first")).first()["first"]
+    target = F.least(F.lit(settled["rate"]) * F.col("weight"), F.col("limit")) if settled \
+        else F.col("limit")
+    return placed.select("source", F.col("number").cast("long").alias("number"), "source_size",
+                         target.alias("target"))
 
 
 def laid_out(numbered: DataFrame, buckets: int) -> DataFrame:
     """The documents with `at`, the number of words before each one in its source's line.
 
-    Documents are dealt into small buckets by a hash of the id; prefix sums run within buckets and
-    over bucket totals, so no task orders a whole source.
+    Documents are dealt into small buckets by a hash of id and text; prefix sums run within buckets
+    and over bucket totals, so no task orders a whole source. Rows with one id are told apart by
+    their text first, so the order of the input decides only between copies.
     """
-    keyed = numbered.withColumn("bucket",
-                                F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(buckets)))
-    line = Window.partitionBy("number", "bucket").orderBy("doc_id", "row")
+    keyed = numbered.withColumn(
+        "bucket", F.pmod(F.xxhash64("doc_id", "key", F.lit(SEED)), F.lit(buckets)))
+    line = Window.partitionBy("number", "bucket").orderBy("doc_id", "key", "size", "row")
     inside = keyed.withColumn("within", F.sum("size").over(
         line.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("size"))
     totals = keyed.groupBy("number", "bucket").agg(F.sum("size").alias("bucket_size"))
@@ -133,10 +135,9 @@ def slots(targets: DataFrame, block_words: int = BLOCK_WORDS, seed: int = SEED)
     wanted = F.round(F.col("target") * blocks / F.col("source_size")).cast("long")
     dealt = targets.filter("source_size > 0").select(
         "number", blocks.alias("blocks"), F.least(wanted, blocks * MOST_REPEATS).alias("turns"))
-    so_far = Window.orderBy("number").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    places = dealt.select("*", (F.sum("turns").over(so_far) - F.col("turns")).alias("place"),
-                          F.sum("turns").over(Window.partitionBy()).alias("total"))
-    chunks = places.filter("turns > 0").select("*", F.explode(F.sequence(
+    total = dealt.agg(F.sum("turns")).first()[0] or 0
+    places = sums_before(dealt, [F.col("number")], {"place": F.col("turns")})
+    chunks = places.withColumn("total", F.lit(total).cast("long")).filter("turns > 0").select("*", F.explode(F.sequence(
         F.lit(0), F.col("turns") - 1, F.lit(CHUNK_TURNS))).alias("first"))
 
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,7 +153,9 @@ def slots(targets: DataFrame, block_words: int = BLOCK_WORDS, seed: int = SEED)
                      pa.array(np.full(len(slot), r["number"], np.int64)), pa.array(block),
                      pa.array(lap)], ["shard", "slot", "number", "block", "lap"])
 
-    return chunks.repartition("number", "first").mapInArrow(
+    # So many tasks, which adaptive execution would join because the chunks themselves are narrow.
+    width = max(1, min(chunks.count(), MOST_TASKS))
+    return chunks.repartition(width).mapInArrow(
         draw, "shard long, slot long, number long, block long, lap long")
 
 
@@ -181,14 +184,15 @@ def mixture(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     pieces = pieces.select("row", "doc_id", "key", "number", "block",
                            (start - F.col("at")).alias("word_start"),
                            (end - start).alias("word_count"))
-    return lines, slots(targets, block_words).join(pieces, ["number", "block"])
+    # Both sides grow with the corpus: the join is one by sorting and never sends a side whole.
+    return lines, slots(targets, block_words).join(pieces.hint("merge"), ["number", "block"])
 
 
 def taken_words(docs: DataFrame, **options) -> DataFrame:
     """doc_id, size, source_size, target, taken for every document."""
     lines, mix_rows = mixture(docs, **options)
     taken = mix_rows.groupBy("row").agg(F.sum("word_count").alias("taken"))
-    return lines.join(taken, "row", "left").select(
+    return lines.join(taken.hint("merge"), "row", "left").select(
         "doc_id", "size", "source_size", "target",
         F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
@@ -219,18 +223,18 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     runs = mix_rows.groupBy("doc_id", "key", "row", "lap").agg(
         F.sort_array(F.collect_list(F.struct("word_start", "word_count"))).alias("__runs"))
     runs = runs.select(F.col("doc_id").alias("__id"), F.col("key").alias("__key"), "__runs")
-    texts = docs.withColumn("__text_key", F.xxhash64(text_col))
+    texts = wrapped(docs, id_col).withColumn("hash", F.xxhash64(F.col("doc")[text_col]))
     if not lines.groupBy("doc_id", "key").count().filter("count > 1").isEmpty():
-        texts = texts.dropDuplicates([id_col, "__text_key"])
+        texts = texts.dropDuplicates(["key", "hash"])
 
     @F.pandas_udf("string")
     def cut(text: pd.Series, drawn: pd.Series) -> pd.Series:
         return pd.Series([cut_words(t, [(r["word_start"], r["word_count"]) for r in runs_])
                           for t, runs_ in zip(text, drawn, strict=True)], dtype=object)
 
-    joined = texts.join(runs, F.col(id_col).eqNullSafe(F.col("__id"))
-                        & (F.col("__text_key") == F.col("__key")))
-    joined = joined.withColumn(text_col, cut(text_col, "__runs"))
-    if chars_col in docs.columns:
-        joined = joined.withColumn(chars_col, F.length(text_col).cast("long"))
-    return joined.select(*docs.columns)
+    joined = texts.join(runs.hint("merge"), F.col("key").eqNullSafe(F.col("__id"))
+                        & (F.col("hash") == F.col("__key")))
+    joined = joined.withColumn("body", cut(F.col("doc")[text_col], "__runs"))
+    changed = {text_col: F.col("body"), chars_col: F.length("body").cast("long")}
+    return joined.select(*[changed.get(name, F.col("doc")[name]).alias(name)
+                           for name in docs.columns])

@@ -28,6 +28,9 @@ Edge cases
     repeated doc_id       rows with one id are one document, linked with what either is linked with
     ties                  the smallest id names a component
     empty table           empty result
+    very long text        its shingles are hashed in one pass; a task holds one text's set at a time
+                          when it reads, those of a block when it joins
+    other columns         ignored by `join`, returned untouched by `keep_first`, whatever their names
 """
 
 from __future__ import annotations
@@ -43,7 +46,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playlens.llm.common import (SPACES, bit_maps, materialized, mix, shingle_hashes,
-                                 with_maybe, without)
+                                 with_maybe, without, wrapped)
 from playlens.llm.graph import components
 
 SHINGLE_WORDS = 3
@@ -406,16 +409,18 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Only the ids that go are joined with the documents. Rows without an id are linked with each
     other only; a hash of the text is their id, equal texts stay once, rows without words all.
     """
-    def kept(rows: DataFrame, key: str) -> DataFrame:
-        gone = join(rows, key, text_col, words, percent).filter(
-            "component_id <> doc_id").select("doc_id").distinct()
-        return without(rows, gone, key)
+    def kept(rows: DataFrame) -> DataFrame:
+        gone = join(rows.select("key", F.col("doc")[text_col].alias("text")), "key", "text", words,
+                    percent).filter("component_id <> doc_id").select("doc_id").distinct()
+        return without(rows, gone, "key")
 
-    nameless = docs.filter(F.col(id_col).isNull())
+    rows = wrapped(docs, id_col)
+    nameless = rows.filter("key IS NULL")
     if nameless.isEmpty():
-        return kept(docs, id_col)
-    blank = F.regexp_replace(F.coalesce(text_col, F.lit("")), SPACES, "") == ""
-    keyed = nameless.filter(~blank).withColumn("__key", F.xxhash64(text_col))
-    return kept(docs.filter(F.col(id_col).isNotNull()), id_col).unionByName(
-        nameless.filter(blank)).unionByName(
-        kept(keyed, "__key").dropDuplicates(["__key"]).drop("__key"))
+        return kept(rows).select("doc.*")
+    text = F.col("doc")[text_col]
+    blank = F.regexp_replace(F.coalesce(text, F.lit("")), SPACES, "") == ""
+    keyed = nameless.filter(~blank).withColumn("key", F.xxhash64(text))
+    return kept(rows.filter("key IS NOT NULL")).select("doc.*").unionByName(
+        nameless.filter(blank).select("doc.*")).unionByName(
+        kept(keyed).dropDuplicates(["key"]).select("doc.*"))

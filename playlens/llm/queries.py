@@ -73,10 +73,16 @@ def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(rows, F.col("id") % 50 == 0)
 
 
+def minhash_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near duplicates of every hundredth document among all, by bands and exact Jaccard."""
+    docs = table(spark, sf_dir, "documents")
+    return minhash.search(docs, docs.filter("doc_id % 100 = 0"))[1]
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_quality, op2_html_text, op3_mixing, op4_warc, op5_toxicity, op6_packing,
     op7_ngram_join, op8_exact_dedup, op9_pii, op10_minhash, op11_alignment,
-    op12_license_scan, op13_hard_negatives)}
+    op12_license_scan, op13_hard_negatives, minhash_search)}
 
 ORACLE_SQL: dict[str, str] = {
     "op4_warc": """

@@ -13,7 +13,9 @@ Edge cases
     null page_id    smaller than every id; written and read with a null id
     null url        the empty address
     repeated rows   the same id and payload twice: one is the response, the other revisits it
+    very long page  one record; a task holds one at a time
     empty table     no package, empty result
+    other columns   ignored, whatever their names
 """
 
 from __future__ import annotations
@@ -32,10 +34,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playlens.llm.common import materialized, shared_folder
+from playlens.llm.common import bit_maps, materialized, shared_folder, with_maybe
 
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 PACKAGE_BYTES = 64 << 20
+RANGE_RECORDS = 5_000  # records of a package that one task reads
+MOST_TASKS = 20_000  # beyond it a task reads several ranges
 LEAST_SHARED = 1000  # payload bytes from which equal payloads are stored once
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -218,8 +222,15 @@ def decide(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
     shared = (rows.filter(large).groupBy("digest").agg(
         F.max("page_id").alias("first_id"), F.count("*").alias("n"), F.count("page_id").alias("m"))
         .filter("n > 1 AND m > 0").select(F.col("digest").alias("__digest"), "first_id"))
-    marked = rows.join(shared, (F.col("digest") == F.col("__digest")) & large, "left")
-    return marked.select("page_id", "url", "payload", "digest", F.when(
+    # Only payloads whose digest may be shared are shuffled.
+    shared = materialized(shared)
+    maybe = with_maybe(rows, bit_maps(shared, "__digest"), "digest")
+    met = maybe.filter("__maybe").join(
+        shared, (F.col("digest") == F.col("__digest")) & large, "left")
+    alone = maybe.filter("NOT __maybe").withColumn(
+        "first_id", F.lit(None).cast(dict(shared.dtypes)["first_id"]))
+    columns = ["page_id", "url", "payload", "digest", "first_id"]
+    return met.select(*columns).unionByName(alone.select(*columns)).select("page_id", "url", "payload", "digest", F.when(
         ~F.col("page_id").eqNullSafe(F.col("first_id")), F.col("first_id")).alias("refers_to"))
 
 
@@ -274,7 +285,10 @@ class Forward:
 
 
 def read(packages: DataFrame, payloads: bool = True) -> DataFrame:
-    """The records of the packages (`path`): their fields and, if asked for, the payload."""
+    """The records of the packages (`path`, `records`): their fields and, if asked for, the payload.
+
+    A task reads a range of RANGE_RECORDS records of a package, whose places its index gives.
+    """
     names = ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to"]
     schema = [("page_id", pa.int64()), ("url", pa.string()), ("payload_bytes", pa.int64()),
               ("payload_digest", pa.string()), ("record_type", pa.string()),
@@ -288,12 +302,13 @@ def read(packages: DataFrame, payloads: bool = True) -> DataFrame:
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
         for batch in batches:
-            for path in batch.column("path").to_pylist():
+            for path, first in zip(batch.column("path").to_pylist(),
+                                   batch.column("first").to_pylist(), strict=True):
                 place, name = fs.FileSystem.from_uri(path)
                 with place.open_input_file(name) as package:
                     data, entries = index_entries(package, package.size())
                     out, held = [], 0
-                    for offset, length in entries:
+                    for offset, length in entries[first:first + RANGE_RECORDS]:
                         record = parse_record(gzip.decompress(
                             read_at(package, data.offset + offset, length)))
                         out.append({n: record[n] for n in names})
@@ -304,7 +319,10 @@ def read(packages: DataFrame, payloads: bool = True) -> DataFrame:
                     if out:
                         yield pa.RecordBatch.from_pylist(out, pa.schema(schema))
 
-    return packages.select("path").repartition("path").mapInArrow(fetch, spark_schema)
+    ranges = packages.filter("records > 0").select("path", F.explode(F.sequence(
+        F.lit(0).cast("long"), F.col("records") - 1, F.lit(RANGE_RECORDS).cast("long"))).alias("first"))
+    width = max(1, min(ranges.count(), MOST_TASKS))
+    return ranges.repartition(width).mapInArrow(fetch, spark_schema)
 
 
 def round_trip(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",

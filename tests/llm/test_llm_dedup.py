@@ -6,7 +6,9 @@ import re
 import numpy as np
 import pytest
 
-from playlens.llm import exact_dedup, minhash, ngram_join
+from pyspark.sql import functions as F
+
+from playlens.llm import exact_dedup, minhash, mixing, ngram_join
 from playlens.llm.common import shingle_hashes
 from playlens.llm.graph import components
 
@@ -245,3 +247,80 @@ def test_search_finds_similar_classes(spark):
     want = {(of[x], of[y]) for x in sets for y in sets if x % 10 == 0 and of[x] != of[y]
             and len(sets[x] & sets[y]) >= 0.8 * len(sets[x] | sets[y])}
     assert got <= want and len(got) >= 0.9 * len(want)
+
+
+def sizes_of(frame, column="__range"):
+    return sorted(r["count"] for r in frame.groupBy(column).count().collect())
+
+
+def test_null_and_repeated_ids_spread_over_ranges(spark):
+    rows = [(None if i % 2 else 7, f"text number {i} of many words " * 5) for i in range(800)]
+    docs = frame(spark, rows).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    ordered = minhash.in_order(docs, 8)
+    sizes = sizes_of(ordered.filter("NOT __head"))
+    assert len(sizes) >= 6 and max(sizes) < 250
+    got = minhash.fingerprints(frame(spark, rows), ranges=8).collect()
+    assert len(got) == 800 and sum(r.doc_id is None for r in got) == 400
+    texts = {hashlib.sha256(r.fingerprint.encode()).hexdigest() for r in got}
+    assert len(texts) > 700
+
+
+def test_ranges_hold_about_equal_bytes(spark):
+    rows = [(i, "w" * (4000 if i < 100 else 20)) for i in range(1000)]
+    docs = frame(spark, rows).select("doc_id", "text")
+    bytes_ = [r["b"] for r in minhash.in_order(docs, 4).filter("NOT __head").groupBy("__range").agg(
+        F.sum(F.length("text")).alias("b")).collect()]
+    assert len(bytes_) == 4 and max(bytes_) < 1.6 * sum(bytes_) / 4
+
+
+def test_search_recall_on_the_given_table(spark):
+    """The registered query against all pairs of shingle sets, whole table."""
+    from playlens.llm import queries
+
+    links = {(r.query_class, r.class_id) for r in queries.minhash_search(
+        spark, "/root/testdata/sf0.01").collect()}
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(
+        "/root/testdata/sf0.01/documents.parquet").collect()]
+    sets = {i: shingles(t, 5) for i, t in rows}
+    of = {}
+    for i in sorted(sets):
+        of[i] = min((j for j in of if of[j] == j and sets[j] == sets[i] and sets[i]), default=i)
+    want = {(of[x], of[y]) for x in sets if x % 100 == 0 and sets[x] for y in sets
+            if of[x] != of[y] and len(sets[x] & sets[y]) >= 0.8 * len(sets[x] | sets[y])}
+    assert links <= want and len(links) >= 0.9 * len(want)
+
+
+CLASHING = ("__length", "__prefix", "__maybe", "__bits", "__bucket", "__id", "key", "doc", "__row",
+            "__key", "hash", "body", "number", "n", "first", "taken", "lap", "__runs", "text_key")
+
+
+def clashing(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long")
+    return docs.withColumns({name: F.lit(i) for i, name in enumerate(CLASHING)})
+
+
+def test_columns_that_clash_with_working_names(spark):
+    rows = [(1, "a b c d e f g", "x", 1), (2, "a  b c d e f g", "x", 1), (3, None, "y", 0),
+            (None, "p q r s t u v", "x", 1), (None, "p q r s t u v", "x", 1), (4, "h i j k l", None, 1),
+            (4, "h i j k l", None, 1), (5, " ".join(["long"] * 50_000), "y", 1)]
+    docs = clashing(spark, rows)
+    kept = exact_dedup.deduplicate(docs)
+    assert kept.columns == docs.columns
+    assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "3", "4", "5", "None"]
+    near = ngram_join.keep_first(docs)
+    assert near.columns == docs.columns and near.count() >= 5
+    mixed = mixing.mixed_documents(docs)
+    assert mixed.columns == docs.columns
+    assert {tuple(r[name] for name in CLASHING) for r in mixed.collect()} == {
+        tuple(range(len(CLASHING)))}
+
+
+def test_rows_set_apart_meet_no_join(spark):
+    """Most rows have no full hash; they must not meet in one task as null keys."""
+    docs = frame(spark, [(i, f"text {i} " + "x" * i) for i in range(300)] + [(400, "same")] * 2)
+    found = exact_dedup.refine(docs)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "__maybe" in plan.split("Join LeftOuter")[1]
+    assert sorted((r.doc_id, r.kept, r.group_size) for r in found.collect())[:2] == [
+        (0, True, 1), (1, True, 1)]
+    assert sum(r.full_hash is None for r in found.collect()) == 300

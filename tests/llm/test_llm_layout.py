@@ -180,6 +180,39 @@ def test_payloads_come_back(spark, scratch):
     assert all(bytes(r.payload).decode() == (html[r.page_id] or "") for r in got)
 
 
+def test_records_are_read_by_many_tasks(spark, scratch, monkeypatch):
+    monkeypatch.setattr(warc, "RANGE_RECORDS", 7)
+    pages = spark.read.parquet(f"{SMALL}/pages.parquet")
+    packages = warc.materialized(warc.write(warc.decide(pages), f"file://{scratch}/p", 20_000))
+    found = warc.read(packages, payloads=False)
+    ranges = sum(-(-r.records // 7) for r in packages.collect())
+    assert found.rdd.getNumPartitions() == ranges > packages.count()
+    got = [r.page_id for r in found.collect()]
+    assert sorted(got) == sorted(r.page_id for r in pages.collect())
+
+
+def test_taken_words_do_not_depend_on_the_order_of_rows(spark):
+    """Repeated ids with different texts: only rows with equal texts may change places."""
+    rng = np.random.default_rng(4)
+    rows = [(int(i % 40), " ".join(["w"] * int(rng.integers(1, 300))) + f" {i}", "a") for i in range(200)]
+    def taken(some):
+        return sorted((r.doc_id, r.size, r.taken) for r in
+                      mixing.taken_words(frame(spark, some)).collect())
+    assert taken(rows) == taken(rows[::-1])
+
+
+def test_targets_of_many_sources_in_pieces(spark, monkeypatch):
+    from playlens.llm import common
+    monkeypatch.setattr(common, "PIECE_ROWS", 13)
+    rng = np.random.default_rng(2)
+    sizes = {f"s{i}": int(rng.integers(0, 2000)) for i in range(150)} | {None: 77, "é": 5}
+    rows = [(s, n) for s, n in sizes.items()]
+    found = mixing.source_targets(spark.createDataFrame(rows, "source string, size long"))
+    assert "SinglePartition" not in str(found._jdf.queryExecution().optimizedPlan())
+    got = {r.source: r.target for r in found.collect()}
+    assert got == pytest.approx(brute_targets(sizes))
+
+
 @pytest.mark.parametrize("streamed", [False, True])
 def test_directory_agrees_with_zipfile(streamed):
     raw = io.BytesIO()
