@@ -643,6 +643,22 @@ FROM e LEFT JOIN (
   SELECT concat('content-', p_partkey % 40) AS content_id, min(p_name) AS name,
     min(p_type) AS genre, max(CAST(p_size AS BIGINT) * 60000) AS length_ms
   FROM part GROUP BY 1) c ON e.content_id = c.content_id""")
+oracle("enrich_content_as_of", """
+SELECT event_id, e.content_id, coalesce(title, v.name) AS title, genre,
+  coalesce(duration_ms, v.length_ms) AS duration_ms, credits_ms
+FROM e ASOF LEFT JOIN versions v
+  ON e.content_id = v.content_id AND e.event_timestamp >= v.valid_from""", """versions AS (
+  SELECT concat('content-', p_partkey % 40) AS content_id,
+    DATE '2024-01-01' + CAST(p_partkey % 28 AS INTEGER) AS valid_from, min(p_name) AS name,
+    min(p_type) AS genre, max(CAST(p_size AS BIGINT) * 60000) AS length_ms,
+    max(CAST(p_size AS BIGINT) * 60000) - min(CAST(p_size AS BIGINT) * 60000) // 20 AS credits_ms
+  FROM part GROUP BY 1, 2)""")
+oracle("content_differences", """
+SELECT event_id, event_date AS day, 'only_left' AS "column", '1' AS left_value,
+  CAST(NULL AS VARCHAR) AS right_value FROM e WHERE right(event_id, 3) = '111'
+UNION ALL
+SELECT event_id, event_date, 'position', CAST(position_ms AS VARCHAR), '-1'
+FROM e WHERE right(event_id, 3) = '222'""")
 oracle("enrich_device", """
 SELECT event_id, device_id, device_type, c_mktsegment AS device_model
 FROM e LEFT JOIN customer ON device_id = concat('device-', c_custkey)""")
@@ -663,6 +679,11 @@ FROM (SELECT * FROM e UNION ALL SELECT * FROM e)""")
 oracle("noisy_devices", """
 SELECT device_id, date_trunc('minute', event_timestamp) AS window_start, count(*) AS events
 FROM e GROUP BY 1, 2 HAVING count(*) > 1""")
+oracle("noisy_devices_sliding", """
+SELECT device_id, window_start, count(*) AS events
+FROM (SELECT device_id, time_bucket(INTERVAL 30 MINUTES, event_timestamp)
+               - CAST(n AS INTEGER) * INTERVAL 30 MINUTES AS window_start
+      FROM e, (SELECT unnest([0, 1]) AS n)) GROUP BY 1, 2 HAVING count(*) > 2""")
 RULES = {
     "event_id present": "event_id IS NULL", "event_type present": "event_type IS NULL",
     "event_timestamp present": "event_timestamp IS NULL", "user_id present": "user_id IS NULL",

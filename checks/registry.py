@@ -12,14 +12,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playlens.operators import (enrich, lookups, metrics, qos, quality, reports, rollup, sessions,
-                                views)
+from playlens.operators import (contents, enrich, lookups, metrics, qos, quality, reports, rollup,
+                                sessions, views)
 from playlens.plans import rollup_jobs
 from playlens.plans.layout import events_from_history
 from playlens.sources import decode
 from playlens.sources.schema import RETENTION_DAYS
-from playlens.sources.tables import (content_dimension, device_dimension, playback_events,
-                                     with_payload_json)
+from playlens.sources.tables import (content_dimension, content_versions, device_dimension,
+                                     playback_events, with_payload_json)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -234,6 +234,13 @@ def _(spark, sf_dir):
     return enriched.select("event_id", "content_id", "title", "genre", "duration_ms")
 
 
+@register("enrich_content_as_of")
+def _(spark, sf_dir):
+    enriched = enrich.enrich_content_as_of(playback_events(spark, sf_dir),
+                                           content_versions(spark, sf_dir))
+    return enriched.select("event_id", "content_id", "title", "genre", "duration_ms", "credits_ms")
+
+
 @register("enrich_device")
 def _(spark, sf_dir):
     enriched = enrich.enrich_device(playback_events(spark, sf_dir),
@@ -248,6 +255,17 @@ def _(spark, sf_dir):
     return quality.reconcile(hot, cold, ["content_id", "event_date"])
 
 
+@register("content_differences")
+def _(spark, sf_dir):
+    """A copy of the hot view in which rows of some users were changed or lost."""
+    hot = views.events_by_user(playback_events(spark, sf_dir)).withColumn(
+        "day", F.to_date("timestamp"))
+    last = F.substring("event_id", -3, 3)
+    cold = hot.filter(last != "111").withColumn("position", F.when(
+        last == "222", F.lit(-1)).otherwise(F.col("position")).cast("long"))
+    return contents.differences(hot, cold, "day", ["event_id"], ["user_id", "event_type", "position"])
+
+
 # --- data checks --------------------------------------------------------------------------
 
 @register("dedup_events")
@@ -259,6 +277,8 @@ def _(spark, sf_dir):
 
 
 on_events("noisy_devices", lambda e: quality.noisy_devices(e, limit=1))
+on_events("noisy_devices_sliding",
+          lambda e: quality.noisy_devices(e, limit=2, window="1 hour", slide="30 minutes"))
 on_events("dq_required_fields", quality.required_fields)
 on_events("dq_freshness", lambda e: quality.freshness(e, AS_OF))
 on_events("dq_volume", quality.volume)

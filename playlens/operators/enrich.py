@@ -24,6 +24,26 @@ def enrich_content(events: DataFrame, contents: DataFrame) -> DataFrame:
                   .withColumn("duration_ms", F.coalesce("duration_ms", "catalog_duration_ms")))
 
 
+def enrich_content_as_of(events: DataFrame, versions: DataFrame) -> DataFrame:
+    """Adds title, genre, duration and credits time of the catalogue as they were at the event.
+
+    `versions` has content_id, valid_from, catalog_title, genre, catalog_duration_ms, credits_ms; the
+    latest version not after the event counts, null before the first. The versions of a title are one
+    sorted list beside its events, so the join has one row per title and multiplies nothing; it works
+    on streams, too. The event's own title and duration come first.
+    """
+    facts = ["catalog_title", "genre", "catalog_duration_ms", "credits_ms"]
+    listed = versions.groupBy("content_id").agg(F.array_sort(F.collect_list(
+        F.struct("valid_from", *facts))).alias("versions"))
+    joined = with_dimension(events, listed, "content_id")
+    valid = F.filter("versions", lambda v: v["valid_from"] <= F.col("event_timestamp"))
+    newest = F.when(F.size(valid) > 0, F.element_at(valid, -1))
+    found = joined.withColumn("version", newest).select(
+        *events.columns, *[F.col(f"version.{name}").alias(name) for name in facts])
+    return (found.withColumn("title", F.coalesce("title", "catalog_title"))
+                 .withColumn("duration_ms", F.coalesce("duration_ms", "catalog_duration_ms")))
+
+
 def enrich_device(events: DataFrame, devices: DataFrame) -> DataFrame:
     return with_dimension(events, devices, "device_id")
 

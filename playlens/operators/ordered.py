@@ -90,6 +90,13 @@ def global_ranks(rows: DataFrame, keys: list[str], measures: dict[str, bool]) ->
 WIDTHS = ("1 hour", "1 second", "1 millisecond")
 
 
+def _join_on(left: DataFrame, right: DataFrame, names: list[str], how: str) -> DataFrame:
+    """Join on columns of one name; null meets null, as in a window's groups."""
+    renamed = right.withColumnsRenamed({name: f"__{name}" for name in names})
+    met = [F.col(name).eqNullSafe(F.col(f"__{name}")) for name in names]
+    return left.join(renamed, met, how).drop(*[f"__{name}" for name in names])
+
+
 def with_previous(df: DataFrame, keys: list[str], ts: str, tie: str, columns: list[str],
                   widths: tuple[str, ...] = WIDTHS) -> DataFrame:
     """Adds `prev`: the struct of `columns` from the preceding row of the key.
@@ -118,9 +125,9 @@ def with_previous(df: DataFrame, keys: list[str], ts: str, tie: str, columns: li
         own = tails[level].select(*group, spans[level - 1], before.alias("carried"))
         if carried is not None:
             wider = carried.withColumnRenamed("carried", "from_wider")
-            own = own.join(wider, group).withColumn(
+            own = _join_on(own, wider, group, "inner").withColumn(
                 "carried", F.coalesce("carried", "from_wider")).drop("from_wider")
         carried = own
-    return (local.join(carried, [*keys, *spans], "left")
+    return (_join_on(local, carried, [*keys, *spans], "left")
                  .withColumn("prev", F.coalesce("prev", "carried"))
                  .drop(*spans, "carried"))

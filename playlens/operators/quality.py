@@ -19,9 +19,10 @@ def deduplicated(events: DataFrame) -> DataFrame:
     return events.dropDuplicates(["event_id"])
 
 
-def noisy_devices(events: DataFrame, limit: int, window: str = "1 minute") -> DataFrame:
-    """Devices that sent more than `limit` events within a window."""
-    sent = events.groupBy("device_id", F.window("event_timestamp", window).alias("w")).agg(
+def noisy_devices(events: DataFrame, limit: int, window: str = "1 minute",
+                  slide: str | None = None) -> DataFrame:
+    """Devices that sent more than `limit` events within a window, which may slide."""
+    sent = events.groupBy("device_id", F.window("event_timestamp", window, slide).alias("w")).agg(
         F.count(F.lit(1)).alias("events"))
     return sent.filter(F.col("events") > limit).select(
         "device_id", F.col("w.start").alias("window_start"), "events")

@@ -116,6 +116,40 @@ def percentiles_of(df: DataFrame, measures: dict[str, Column],
         (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean_value"), *at)
 
 
+SKETCH_SIZE = 400  # k of the quantile sketches: a rank is off by about 0.5 % at most
+
+
+def distribution_sketches(events: DataFrame, measures: dict[str, Column]) -> DataFrame:
+    """A mergeable quantile sketch per day, title and measure; null values are left out."""
+    tall = events.select(X.event_date().alias("event_date"), "content_id", F.explode(F.array(*[
+        F.struct(F.lit(name).alias("measure"), value.cast("bigint").alias("value"))
+        for name, value in measures.items()])).alias("m")).select(
+        "event_date", "content_id", "m.*").filter(F.col("value").isNotNull())
+    return tall.groupBy("event_date", "content_id", "measure").agg(
+        F.kll_sketch_agg_bigint("value", F.lit(SKETCH_SIZE)).alias("sketch"))
+
+
+def bitrate_sketches(events: DataFrame) -> DataFrame:
+    """Sketches of the measures of `bitrate_distribution`."""
+    return distribution_sketches(events, {
+        "bitrate_kbps": F.col("bitrate_kbps"), "progress_bitrate_kbps": F.col("current_bitrate"),
+        "switched_bitrate_kbps": F.col("new_bitrate")})
+
+
+def merged_distribution(sketches: DataFrame, keys: list[str] | None = None,
+                        points: tuple[int, ...] = (5, 25, 50, 75, 95)) -> DataFrame:
+    """Approximate percentiles of any range of stored sketches, per measure and `keys`.
+
+    `percentiles_of` has the exact ones.
+    """
+    merged = sketches.groupBy("measure", *(keys or [])).agg(
+        F.kll_merge_agg_bigint("sketch").alias("sketch"))
+    return merged.select(
+        "measure", *(keys or []), F.kll_sketch_get_n_bigint("sketch").alias("samples"),
+        *[F.kll_sketch_get_quantile_bigint("sketch", F.lit(p / 100)).alias(f"approx_p{p:02d}")
+          for p in points])
+
+
 def session_distribution(sessions: DataFrame) -> DataFrame:
     def whole(column: str, unit: int) -> Column:
         return F.call_function("div", F.col(column), F.lit(unit))

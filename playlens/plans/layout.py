@@ -160,3 +160,9 @@ def ensure_table(spark: SparkSession, name: str, schema: T.StructType, partition
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
               f"PARTITIONED BY ({', '.join(partition_by)}) LOCATION '{location}'")
+
+
+def register_partitions(spark: SparkSession, name: str) -> None:
+    """The catalog's partitions of a table become those of its folders."""
+    spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+    spark.catalog.refreshTable(name)

@@ -90,9 +90,14 @@ def _rewrite_partitions(spark: SparkSession, path: str, partition_by: list[str],
 
 
 def _rewrite_whole(spark: SparkSession, path: str, slots: int, sort_by: list[str] | None) -> None:
-    """Compacts a table without partitions: written beside, then swapped in."""
+    """Compacts a table without partitions: written beside, then swapped in.
+
+    A run that stopped between the two renames left the rows in the retired folder alone: see
+    `restore_whole`.
+    """
     root = path.rstrip("/")
     staged, retired = f"{root}__compacted", f"{root}__retired"
+    restore_whole(spark, root)
     spread = spark.read.parquet(root).repartition(slots)
     if sort_by:
         spread = spread.sortWithinPartitions(*sort_by)
@@ -102,11 +107,25 @@ def _rewrite_whole(spark: SparkSession, path: str, slots: int, sort_by: list[str
     files.delete(spark, retired)
 
 
+def restore_whole(spark: SparkSession, root: str) -> None:
+    """Puts a table back that a stopped swap left retired, and clears what a finished one left."""
+    retired = f"{root.rstrip('/')}__retired"
+    if files.exists(spark, retired) and not files.exists(spark, root):
+        files.rename(spark, retired, root)
+    elif files.exists(spark, retired):
+        files.delete(spark, retired)
+
+
 def warehouse_tables(spark: SparkSession, root: str, only: str | None = None
                      ) -> dict[str, list[str]]:
     """Tables below a folder with their partition columns, read off the folder names."""
     found = {}
     for name in files.children(spark, root):
+        if name.endswith("__retired"):
+            restore_whole(spark, f"{root.rstrip('/')}/{name.removesuffix('__retired')}")
+    for name in files.children(spark, root):
+        if name.endswith(("__retired", "__compacted")):
+            continue
         if only in (None, name):
             path, columns = f"{root.rstrip('/')}/{name}", []
             step = next((c for c in files.children(spark, path) if "=" in c), None)

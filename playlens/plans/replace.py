@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from playlens.plans import files
-from playlens.plans.layout import write_partitioned
+from playlens.plans.layout import ensure_table, register_partitions, write_partitioned
 
 
 def days_between(start: str, end: str) -> list[str]:
@@ -17,13 +17,18 @@ def days_between(start: str, end: str) -> list[str]:
 
 
 def replace_scope(spark: SparkSession, df: DataFrame, path: str, partition_by: list[str],
-                  scope: list[str]) -> int:
+                  scope: list[str], table: str | None = None) -> int:
     """Makes `df` the only content of the partition folders in `scope`.
 
+    With `table`, the catalog's table at `path` is created if missing and learns of new and removed
+    folders.
+
     `scope` holds folder names such as `event_date=2024-01-05`. New folders take
     over in the job's commit; folders of the scope that get no rows any more are
     removed. Returns the number of rows written, counted by the write itself.
     """
+    if table:
+        ensure_table(spark, table, df.schema, partition_by, path)
     before = _leaf_files(spark, path, scope, len(partition_by))
     counted = Observation()
     write_partitioned(df.observe(counted, F.count(F.lit(1)).alias("rows")), path, partition_by,
@@ -32,6 +37,8 @@ def replace_scope(spark: SparkSession, df: DataFrame, path: str, partition_by: l
     for folder, names in before.items():
         if after.get(folder) == names:  # nothing took its place
             files.delete(spark, f"{path}/{folder}")
+    if table:
+        register_partitions(spark, table)
     return counted.get["rows"]
 
 

@@ -93,10 +93,10 @@ def backfill(spark: SparkSession, history_path: str, hourly_path: str, daily_pat
 
 def rebuild_and_swap(spark: SparkSession, history_path: str, new_path: str, view_name: str,
                      start: str, end: str) -> bool:
-    """Rebuilds the hourly table beside the live one and switches a view to it.
+    """Rebuilds the hourly table beside the live one and moves a view to it in one statement.
 
-    The switch happens only when every title and day of the new table adds up to
-    the events of the history.
+    The view is one of the session catalog, which other sessions see. It moves only when every title
+    and day of the new table adds up to the events of the history.
     """
     history = read_history(spark, history_path, days_between(start, end))
     stats = rollup.hourly_content_stats(history)
@@ -110,7 +110,7 @@ def rebuild_and_swap(spark: SparkSession, history_path: str, new_path: str, view
         ~F.col("rows_expected").eqNullSafe(F.col("rows_rebuilt")))
     if not wrong.isEmpty():
         return False
-    rebuilt.createOrReplaceTempView(view_name)
+    spark.sql(f"CREATE OR REPLACE VIEW {view_name} AS SELECT * FROM parquet.`{new_path}`")
     return True
 
 

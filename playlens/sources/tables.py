@@ -104,6 +104,19 @@ def content_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.max(F.col("p_size").cast("bigint") * 60000).alias("catalog_duration_ms")))
 
 
+def content_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalogue over time, from the whole `part` table: a version per title and day of change."""
+    part = spark.read.schema(_PART).parquet(f"{sf_dir}/part.parquet")
+    days = F.col("p_partkey") % 28
+    start = F.date_add(F.lit("2024-01-01").cast("date"), days.cast("int")).cast("timestamp")
+    length = F.col("p_size").cast("bigint") * 60000
+    return part.groupBy(F.concat(F.lit("content-"), F.col("p_partkey") % 40).alias("content_id"),
+                        start.alias("valid_from")).agg(
+        F.min("p_name").alias("catalog_title"), F.min("p_type").alias("genre"),
+        F.max(length).alias("catalog_duration_ms"),
+        (F.max(length) - F.call_function("div", F.min(length), F.lit(20))).alias("credits_ms"))
+
+
 def device_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per device id, from the whole `customer` table."""
     customer = spark.read.schema(_CUSTOMER).parquet(f"{sf_dir}/customer.parquet")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from playlens.operators import metrics, quality, sessions
@@ -53,8 +54,30 @@ def current_tables_job(events: DataFrame, root: str, checkpoint: str, buckets: i
     return start(events, sinks.current_to(root, buckets), checkpoint, **options)
 
 
-def history_job(events: DataFrame, path: str, checkpoint: str, **options) -> StreamingQuery:
-    return start(events, sinks.history_to(path), checkpoint, **options)
+def history_job(events: DataFrame, path: str, checkpoint: str, once: bool = False, **options
+                ) -> StreamingQuery:
+    return start(events, sinks.history_to(path, once), checkpoint, **options)
+
+
+def noisy_devices_job(events: DataFrame, alerts: str, quarantine: str, checkpoint: str, limit: int,
+                      window: str = "1 minute", slide: str = "10 seconds", **options
+                      ) -> StreamingQuery:
+    """Devices over `limit` in a sliding window, as an upsert log of alerts by (device, window), and
+    each batch's alerts as reasons in the quarantine. State is dropped behind the watermark."""
+    found = quality.noisy_devices(watermarked(events, WINDOW_LATENESS), limit, window, slide)
+
+    def write(rows: DataFrame, batch_id: int) -> None:
+        rows.persist()
+        try:
+            sinks.write_batch(rows, alerts, batch_id)
+            sinks.write_batch(rows.select(
+                F.lit("noisy device").alias("reject_reason"),
+                F.to_json(F.struct("device_id", "window_start", "events")).alias("raw_value"),
+                F.col("window_start").alias("received_at")), quarantine, batch_id)
+        finally:
+            rows.unpersist()
+
+    return start(found, write, checkpoint, mode="update", **options)
 
 
 def ingest_job(records: DataFrame, events_path: str, quarantine_path: str, checkpoint: str,

@@ -17,7 +17,7 @@ from playlens.operators import views
 from playlens.operators.enrich import retained
 from playlens.operators.ordered import latest_per_key
 from playlens.operators.quality import deduplicated
-from playlens.plans import current, files, layout
+from playlens.plans import current, files, layout, seen
 from playlens.sources.decode import accepted, decode_events, quarantined
 from playlens.sources.schema import RETENTION_DAYS, TABLE_KEYS
 
@@ -41,9 +41,22 @@ def batches_to(path: str, partition_by: list[str] | None = None) -> BatchWriter:
     return lambda df, batch_id: write_batch(df, path, batch_id, partition_by)
 
 
-def history_to(path: str) -> BatchWriter:
-    """History rows by day and batch; a repeated batch replaces its own folders."""
-    return lambda events, batch_id: layout.write_history(events, path, "overwrite", batch_id)
+def history_to(path: str, once: bool = False) -> BatchWriter:
+    """History rows by day and batch; a repeated batch replaces its own folders.
+
+    With `once`, events that the history already has are left out, however long ago they came.
+    """
+    def write(events: DataFrame, batch_id: int) -> None:
+        if not once:
+            layout.write_history(events, path, "overwrite", batch_id)
+            return
+        new = seen.unseen(events, path, batch_id).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            layout.write_history(new, path, "overwrite", batch_id)
+            seen.remember(new, path, batch_id)
+        finally:
+            new.unpersist()
+    return write
 
 
 def fold_history(spark: SparkSession, path: str, before: str) -> int:

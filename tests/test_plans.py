@@ -250,3 +250,120 @@ def test_checkpoint_root_prefers_the_cluster():
     assert checkpoint_root(Session(), "/own") == "/own"
     with pytest.raises(ValueError):
         checkpoint_root(Session())
+
+
+def test_a_swap_is_seen_by_other_sessions(spark, scratch):
+    events = make_events(spark, [{"event_timestamp": "10:00:00"}, {"event_timestamp": "11:00:00"}])
+    layout.write_history(events, f"{scratch}/history")
+    other = spark.newSession()
+    try:
+        for version in ("a", "b"):
+            assert rollup_jobs.rebuild_and_swap(spark, f"{scratch}/history", f"{scratch}/{version}",
+                                                "hourly_now", "2024-01-01", "2024-01-01")
+            assert other.table("hourly_now").count() == 2
+            assert f"{scratch}/{version}/" in other.table("hourly_now").inputFiles()[0]
+    finally:
+        spark.sql("DROP VIEW IF EXISTS hourly_now")
+
+
+def test_written_partitions_are_in_the_catalog(spark, scratch):
+    other, path = spark.newSession(), f"{scratch}/table"
+    rows = lambda day, n: spark.range(n).select("id", F.lit(day).cast("date").alias("event_date"))
+    try:
+        for day, n in (("2024-01-01", 3), ("2024-01-02", 4), ("2024-01-01", 5)):
+            replace.replace_scope(spark, rows(day, n), path, ["event_date"], [f"event_date={day}"],
+                                  table="days_of_rows")
+        assert other.table("days_of_rows").count() == 9
+        assert len(other.sql("SHOW PARTITIONS days_of_rows").collect()) == 2
+        replace.replace_scope(spark, rows("2024-01-01", 0), path, ["event_date"],
+                              ["event_date=2024-01-01"], table="days_of_rows")
+        other.catalog.refreshTable("days_of_rows")
+        assert other.table("days_of_rows").count() == 4
+    finally:
+        spark.sql("DROP TABLE IF EXISTS days_of_rows")
+
+
+def test_a_stopped_swap_is_put_back(spark, scratch):
+    path = f"{scratch}/w/dim"
+    spark.range(20).repartition(6).write.parquet(path)
+    files.rename(spark, path, f"{path}__retired")  # stopped between the renames
+    assert maintenance.warehouse_tables(spark, f"{scratch}/w") == {path: []}
+    assert spark.read.parquet(path).count() == 20
+    assert maintenance.maintain_tables(spark, {path: []}) == {path: True}
+    spark.range(1).write.parquet(f"{path}__retired")  # left over by a finished swap
+    spark.range(5).repartition(5).write.mode("append").parquet(path)
+    assert maintenance.maintain_tables(spark, {path: []}) == {path: True}
+    assert spark.read.parquet(path).count() == 25
+    assert maintenance.warehouse_tables(spark, f"{scratch}/w") == {path: []}
+
+
+def test_one_changed_value_is_found(spark, scratch):
+    from playlens.operators import contents
+
+    rows = spark.range(3000).select(
+        "id", F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 5).cast("int")).alias("day"),
+        F.when(F.col("id") % 7 != 0, F.col("id") * 2).alias("a"), F.lit("x").alias("b"))
+    rows.repartition(3).write.parquet(f"{scratch}/left")
+    changed = rows.withColumn("a", F.when(F.col("id") == 1234, F.lit(-1)).otherwise(F.col("a")))
+    changed.repartition(7, "b").write.parquet(f"{scratch}/right")
+    left, right = (spark.read.parquet(f"{scratch}/{side}") for side in ("left", "right"))
+    args = ("day", ["id"], ["a", "b"])
+    assert contents.differing(left, left, *args).count() == 0
+    assert contents.differing(left, rows, *args).count() == 0
+    assert contents.differing(left, right, *args).count() == 1
+    found = contents.differences(left, right, *args).collect()
+    assert [(r["id"], r["column"], r["left_value"], r["right_value"]) for r in found] == [
+        (1234, "a", "2468", "-1")]
+    moved = right.withColumn("b", F.when(F.col("id") % 1000 != 0, F.col("b"))).filter("id <> 6").union(
+        right.filter("id = 8"))
+    got = {(r["id"], r["column"]) for r in contents.differences(left, moved, *args).collect()}
+    assert got == {(1234, "a"), (6, "only_left"), (8, "copies"), (0, "b"), (1000, "b"), (2000, "b")}
+
+
+def test_sketches_of_days_merge_with_small_rank_error(spark):
+    from playlens.operators import reports
+
+    events = make_events(spark, [{"event_timestamp": "10:00:00"}]).drop(
+        "bitrate_kbps", "event_timestamp", "content_id").crossJoin(spark.range(200_000).select(
+            F.timestamp_seconds(F.lit(1704067200) + F.col("id") % 5 * 86400).alias("event_timestamp"),
+            F.concat(F.lit("c"), F.col("id") % 3).alias("content_id"),
+            F.pmod(F.xxhash64("id"), F.lit(100_000)).cast("int").alias("bitrate_kbps")))
+    stored = reports.bitrate_sketches(events)
+    assert stored.count() == 15
+    merged = reports.merged_distribution(stored).filter("measure = 'bitrate_kbps'").first()
+    assert merged["samples"] == 200_000
+    exact = reports.bitrate_distribution(events).filter("measure = 'bitrate_kbps'").first()
+    for point in (5, 25, 50, 75, 95):
+        low = events.filter(F.col("bitrate_kbps") <= merged[f"approx_p{point:02d}"]).count()
+        assert abs(low / 200_000 - point / 100) < 0.01
+        assert abs(merged[f"approx_p{point:02d}"] - exact[f"p{point:02d}"]) < 1000
+    per_title = reports.merged_distribution(
+        stored.filter("event_date < '2024-01-03'"), ["content_id"])
+    assert per_title.count() == 3 and reports.merged_distribution(stored.limit(0)).count() == 0
+
+
+def test_catalogue_is_read_as_it_was(spark, scratch):
+    from playlens.operators.enrich import enrich_content_as_of
+
+    at = lambda text: datetime.datetime.fromisoformat(text).replace(tzinfo=datetime.timezone.utc)
+    versions = spark.createDataFrame([
+        ("c1", at("2024-01-01 00:00:00"), "Old", "drama", 1000, 900),
+        ("c1", at("2024-01-01 12:00:00"), "New", "comedy", 2000, 1900)],
+        "content_id string, valid_from timestamp, catalog_title string, genre string, "
+        "catalog_duration_ms long, credits_ms long")
+    events = make_events(spark, [
+        {"event_timestamp": "2023-12-31 23:00:00", "event_id": "before"},
+        {"event_timestamp": "11:59:59", "event_id": "old"}, {"event_timestamp": "12:00:00",
+                                                             "event_id": "new"},
+        {"event_timestamp": "12:00:00", "event_id": "other", "content_id": "c2"}])
+    def seen(frame):
+        return {r["event_id"]: (r["title"], r["genre"], r["credits_ms"]) for r in frame.collect()}
+    expected = {"before": (None, None, None), "old": ("Old", "drama", 900),
+                "new": ("New", "comedy", 1900), "other": (None, None, None)}
+    assert seen(enrich_content_as_of(events, versions)) == expected
+    events.write.parquet(f"{scratch}/in")
+    stream = spark.readStream.schema(events.schema).parquet(f"{scratch}/in")
+    query = enrich_content_as_of(stream, versions).writeStream.format("parquet").option(
+        "checkpointLocation", f"{scratch}/cp").trigger(availableNow=True).start(f"{scratch}/out")
+    query.awaitTermination()
+    assert seen(spark.read.parquet(f"{scratch}/out")) == expected

@@ -150,3 +150,12 @@ def test_content_health_has_no_window_over_all_titles(spark):
     rows = {r["content_id"]: r for r in health.collect()}
     assert len(rows) == 22 and rows["bad"]["health_rank"] == 1 and rows["bad"]["error_rank"] == 1
     assert {r["health_rank"] for c, r in rows.items() if c != "bad"} == {2}
+
+
+def test_null_keys_keep_their_previous_row(spark):
+    rows = [(None if n % 2 else "k", datetime.datetime(2024, 1, 1, tzinfo=datetime.timezone.utc)
+             + datetime.timedelta(minutes=25 * n), n) for n in range(40)]
+    frame = spark.createDataFrame(rows, "k string, at timestamp, n long")
+    got = {r["n"]: r["prev"]["n"] if r["prev"] else None
+           for r in with_previous(frame, ["k"], "at", "n", ["n"]).collect()}
+    assert got == {n: n - 2 if n > 1 else None for n in range(40)}

@@ -494,3 +494,69 @@ def test_enrichment_on_a_stream(spark, scratch):
 def test_kafka_options_need_the_connector(spark):
     with pytest.raises(Exception, match="(?i)kafka"):
         sources.kafka_records(spark, "host:9092", "playback-events", "lakehouse")
+
+
+def sent(spark, *rows):
+    """Events (id, time); other fields as they come."""
+    return make_events(spark, [{"event_id": i, "event_timestamp": t} for i, t in rows])
+
+
+def test_events_sent_again_days_later_are_dropped(spark, scratch, monkeypatch):
+    """Only the days of possible copies are read; a repeated batch keeps its own rows."""
+    write, path = sinks.history_to(f"{scratch}/history", once=True), f"{scratch}/history"
+    write(sent(spark, ("a", "2024-01-01 10:00:00"), ("b", "2024-01-02 10:00:00"),
+               ("b", "2024-01-02 10:00:00"), (None, "2024-01-01 11:00:00")), 0)
+    assert layout.read_history(spark, path).count() == 3
+    again = sent(spark, ("a", "2024-01-01 10:00:00"), ("c", "2024-01-02 12:00:00"),
+                 ("d", "2024-01-05 09:00:00"), (None, "2024-01-01 11:00:00"))
+    read = []
+    plain = layout.read_history
+    monkeypatch.setattr(layout, "read_history", lambda spark, path, days=None, batches=None:
+                        read.extend(days) or plain(spark, path, days, batches))
+    for _ in range(2):
+        write(again, 1)
+    monkeypatch.undo()
+    assert set(read) == {"2024-01-01"}
+    ids = sorted(str(r["event_id"]) for r in layout.read_history(spark, path).collect())
+    assert ids == ["None", "None", "a", "b", "c", "d"]
+    # Also after the first batches were merged.
+    write(sent(spark, ("z", "2024-01-09 00:00:00")), 2)
+    sinks.fold_history(spark, path, "2024-01-08")
+    write(sent(spark, ("a", "2024-01-01 10:00:00"), ("d", "2024-01-05 09:00:00"),
+               ("e", "2024-01-05 09:00:00")), 3)
+    ids = sorted(str(r["event_id"]) for r in layout.read_history(spark, path).collect()
+                 if r["event_id"])
+    assert ids == ["a", "b", "c", "d", "e", "z"]
+
+
+def test_history_stream_without_copies(spark, scratch):
+    events = flat(spark)
+    half = F.pmod(F.xxhash64("event_id"), F.lit(2))
+    for n, part in enumerate([events.filter(half == 0), events, events.filter(half == 1)]):
+        source = land(part, f"{scratch}/in", str(n))
+        run(jobs.history_job(sources.file_events(spark, source), f"{scratch}/h", f"{scratch}/cp",
+                             once=True, **ONCE))
+    stored = layout.read_history(spark, f"{scratch}/h")
+    assert stored.count() == events.count() == stored.select("event_id").distinct().count()
+
+
+def test_noisy_devices_of_a_stream_equal_the_batch(spark, scratch):
+    rows = [{"event_timestamp": f"10:{i // 60:02d}:{i % 60:02d}", "event_id": str(i),
+             "device_id": "loud" if i % 3 else "quiet"} for i in range(0, 600, 7)]
+    events = make_events(spark, rows)
+    for n in range(3):
+        source = land(make_events(spark, rows[n * 30:(n + 1) * 30]), f"{scratch}/in", str(n))
+        run(jobs.noisy_devices_job(sources.file_events(spark, source), f"{scratch}/alerts",
+                                   f"{scratch}/bad", f"{scratch}/cp", limit=4, **ONCE))
+    log = spark.read.parquet(f"{scratch}/alerts")
+    latest = sinks.latest_rows(log, ["device_id", "window_start"], [])
+    expected = quality.noisy_devices(events, 4, "1 minute", "10 seconds")
+    assert as_set(latest.select(*expected.columns)) == as_set(expected) and expected.count() > 10
+    bad = spark.read.parquet(f"{scratch}/bad")
+    assert bad.count() == log.count() and {r["reject_reason"] for r in bad.collect()} == {
+        "noisy device"}
+    # State of windows behind the watermark is gone.
+    run(jobs.noisy_devices_job(sources.file_events(spark, land(flush(spark), f"{scratch}/in", "9")),
+                               f"{scratch}/alerts", f"{scratch}/bad", f"{scratch}/cp", limit=4, **ONCE))
+    left = spark.read.format("statestore").load(f"{scratch}/cp").count()
+    assert left <= 6
