@@ -68,6 +68,14 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bounded(sample: DataFrame, most_bytes: int) -> DataFrame:
+    """Of a sample of bounded rows the first by `place` that have so many bytes of `terms` at most."""
+    sizes = sorted((r["place"], r["size"]) for r in
+                   sample.select("place", F.length("terms").alias("size")).collect())
+    last = int(np.searchsorted(np.cumsum([size for _, size in sizes]), most_bytes, "right"))
+    return sample.filter(F.col("place") < sizes[last][0]) if last < len(sizes) else sample
+
+
 def wrapped(docs: DataFrame, id_col: str) -> DataFrame:
     """The rows as one column `doc` and their id as `key`, so that no name of theirs can clash."""
     columns = [F.col(f"`{name}`") for name in docs.columns]

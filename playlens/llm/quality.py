@@ -29,10 +29,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from playlens.llm.common import WORD, materialized
+from playlens.llm.common import bounded, materialized, stored, WORD
 
 DIMENSIONS = 1 << 18
 SAMPLE_ROWS = 10_000
+SAMPLE_BYTES = 64_000_000
 EM_STEPS = 200
 EPOCHS, BATCH, RATE, DECAY = 4, 256, 0.1, 1e-4
 TOKEN = re.compile(r"\w+|[^\w\s]+")
@@ -211,10 +212,12 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 [batch.column("doc_id"), pa.array(terms, pa.binary()),
                  pa.array(model.posterior(patterns))], ["doc_id", "terms", "soft"])
 
-    # Repeats of a chosen row go before they are collected: sample_rows rows at most.
-    sample = texts.join(F.broadcast(chosen), ["doc_id", "mark"]).dropDuplicates(
+    # Repeats of a chosen row go before they are collected: sample_rows rows at most, and of these as
+    # many as have SAMPLE_BYTES of terms together.
+    sample = bounded(stored(texts.join(F.broadcast(chosen), ["doc_id", "mark"]).dropDuplicates(
         ["doc_id", "mark"]).mapInArrow(
-        features, f"doc_id {kind}, terms binary, soft double").toPandas()
+        features, f"doc_id {kind}, terms binary, soft double").withColumn(
+        "place", F.xxhash64("doc_id", "terms"))), SAMPLE_BYTES).toPandas()
     sample = sample.sort_values(["doc_id", "terms"], kind="stable")
     scorer = fit([np.frombuffer(t, np.int32) for t in sample["terms"]],
                  sample["soft"].to_numpy(float))

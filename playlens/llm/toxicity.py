@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playlens.llm.common import REMEMBERED_WORDS, mix, stored
+from playlens.llm.common import REMEMBERED_WORDS, bounded, mix, stored
 
 DIMENSIONS = 1 << 19
 FACTORS = 4
@@ -230,12 +230,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     found = stored(rows.mapInArrow(terms, f"id {kind}, terms binary, label double")
                    .groupBy("id").agg(F.min("terms").alias("terms"), F.max("label").alias("label"))
                    .withColumn("place", F.xxhash64("id")))
-    sizes = sorted((r["place"], r["size"]) for r in
-                   found.select("place", F.length("terms").alias("size")).collect())
-    last = int(np.searchsorted(np.cumsum([size for _, size in sizes]), SAMPLE_BYTES, "right"))
-    if last < len(sizes):
-        found = found.filter(F.col("place") < sizes[last][0])
-    got = found.toPandas().sort_values(["place", "id"], kind="stable")
+    got = bounded(found, SAMPLE_BYTES).toPandas().sort_values(["place", "id"], kind="stable")
     return fit([np.frombuffer(t, np.int32) for t in got["terms"]],
                (got["label"].to_numpy(float) > 0).astype(float))
 

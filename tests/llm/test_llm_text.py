@@ -135,6 +135,44 @@ def test_quality_tells_labels_apart(spark):
     assert np.mean([r.kept for r in got if labels.get(r.doc_id) == 1]) > 0.95
 
 
+def test_expectation_maximisation_against_plain_loops():
+    """The same steps row by row, with dictionaries."""
+    rng = np.random.default_rng(9)
+    rows = [tuple(int(v) for v in rng.integers(-1, 2, 4)) for _ in range(300)]
+    patterns, counts = np.unique(np.array(rows), axis=0, return_counts=True)
+    model = quality.expectation_maximisation(patterns, counts.astype(float), steps=6)
+    good = [sum(v == 1 for v in row) / sum(v >= 0 for v in row) if any(v >= 0 for v in row) else 0.5
+            for row in rows]
+    share = before = -1.0
+    for _ in range(6):
+        chance = {(j, c, v): 1.0 + sum((g if c else 1 - g) for row, g in zip(rows, good, strict=True)
+                                       if row[j] == v)
+                  for j in range(4) for c in (0, 1) for v in (0, 1, -1)}
+        total = {(j, c): sum(chance[j, c, v] for v in (0, 1, -1)) for j in range(4) for c in (0, 1)}
+        share, before = (sum(good) + 1) / (len(rows) + 2), share
+        good = []
+        for row in rows:
+            odds = [1 - share, share]
+            for j, v in enumerate(row):
+                odds = [o * chance[j, c, v] / total[j, c] for c, o in enumerate(odds)]
+            good.append(odds[1] / sum(odds))
+        if abs(before - share) < 1e-9:
+            break
+    assert model.share == pytest.approx(share)
+    assert model.posterior(np.array(rows)) == pytest.approx(good)
+
+
+def test_quality_sample_is_bounded_in_bytes(spark, monkeypatch):
+    seen = []
+    plain = quality.fit
+    monkeypatch.setattr(quality, "fit", lambda rows, soft: seen.append(
+        sum(r.nbytes for r in rows)) or plain(rows, soft))
+    monkeypatch.setattr(quality, "SAMPLE_BYTES", 3000)
+    docs = frame(spark, [(i, f"the word {i} and the other words of it " * 3 + "x y z " * i)
+                         for i in range(60)])
+    assert quality.score(docs).count() == 60 and 0 < seen[0] <= 3000
+
+
 def test_quality_odd_rows(spark):
     docs = frame(spark, [(1, None), (2, ""), (3, "the cat is on the mat " * 9), (3, "###"),
                          (None, "a of the"), (4, "long " * 50_000)])
@@ -304,6 +342,59 @@ def test_long_and_deep_pages_take_linear_time(html):
     assert time.process_time() - started < 10
 
 
+def random_page(rng):
+    """A page put together from blocks, and the text its article must have, written apart from it."""
+    words = ["Fünf", "tests", "a &amp; b", "x&lt;y", "<b>bold</b>", "<a href='#'>lin<i>k</i></a>",
+             "caf&eacute;", "end.", "so,", "<span class='share'>kept</span>", "1&nbsp;2", "&#8364;"]
+    shown = ["Fünf", "tests", "a & b", "x<y", "bold", "link", "café", "end.", "so,", "kept", "1 2", "€"]
+
+    def run():
+        picks = rng.integers(0, len(words), int(rng.integers(1, 25)))
+        gap = [" ", "\n", "\t ", "  "][int(rng.integers(0, 4))]
+        return gap.join(words[i] for i in picks), " ".join(shown[i] for i in picks)
+
+    html, text = [], []
+    for _ in range(int(rng.integers(1, 12))):
+        kind = rng.choice(["p", "h2", "li", "quote", "table", "div", "advert", "form", "aside", "script"])
+        source, plain = run()
+        if kind in ("p", "h2", "div"):
+            html.append(f"<{kind} class='x-share legal-y'>{source}</{kind}>")
+            text.append(plain)
+        elif kind == "li":
+            second, more = run()
+            html.append(f"<ul><li>{source}<li>{second}</ul>")
+            text += [plain, more]
+        elif kind == "quote":
+            html.append(f"<blockquote><p>{source}</blockquote>")
+            text.append(plain)
+        elif kind == "table":
+            second, more = run()
+            html.append(f"<table><tr><td>{source}<td>{second}</table>")
+            text += [plain, more]
+        else:
+            html.append({"advert": f"<div class='ad'>{source}</div>",
+                         "form": f"<form><p>{source}<input></form>",
+                         "aside": f"<aside><p>{source}</p></aside>",
+                         "script": f"<script>var x = '<p>{plain}</p>';</script>"}[kind])
+    tag = rng.choice(["article", "main"])
+    around = [f"<nav><ul><li>{run()[0]}</ul></nav>", f"<header><h1>{run()[0]}</h1></header>",
+              f"<div class='sidebar'><p>{run()[0]}</p></div>", f"<footer>{run()[0]}</footer>",
+              f"<div id='comments'><article><p>{run()[0]}</p></article></div>",
+              f"<div class='cookie-notice'>{run()[0]}</div>", f"<form>{run()[0]}</form>",
+              f"<!-- <article>{run()[0]}</article> -->"]
+    rng.shuffle(around)
+    cut = int(rng.integers(0, len(around)))
+    body = "".join([*around[:cut], f"<{tag}>", *html, f"</{tag}>", *around[cut:]])
+    return f"<html><head><title>t</title></head><body>{body}</body></html>", "\n".join(text)
+
+
+@pytest.mark.parametrize("seed", range(60))
+def test_articles_put_together_from_blocks(seed):
+    html, text = random_page(np.random.default_rng(seed))
+    if text:
+        assert html_text.main_text(html) == text
+
+
 def test_unclosed_markup_is_text():
     assert html_text.main_text("<p>1 <b and 2") == "1 <b and 2"
     assert html_text.main_text("a <!-- b") == "a"
