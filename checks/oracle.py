@@ -598,12 +598,15 @@ oracle("lookup_progress", f"""SELECT {PROGRESS_COLUMNS} FROM progress
 WHERE user_id = 'user-1' AND content_id = 'content-1'""", PROGRESS_VIEW)
 oracle("lookup_all_progress", f"SELECT {PROGRESS_COLUMNS} FROM progress WHERE user_id = 'user-1'",
        PROGRESS_VIEW)
+ORACLE_SQL["stored_progress"] = ORACLE_SQL["user_content_progress"]
+ORACLE_SQL["stored_lookup_all_progress"] = ORACLE_SQL["lookup_all_progress"]
 oracle("lookup_user_events", f"""SELECT {USER_COLUMNS} FROM e WHERE user_id = 'user-1'
 ORDER BY e.event_timestamp DESC, e.event_id LIMIT 100""")
 oracle("lookup_session_events", f"""SELECT {SESSION_COLUMNS} FROM e
 WHERE session_id = 's-1-20240105'""")
 oracle("lookup_content_events", f"""SELECT {CONTENT_COLUMNS} FROM e WHERE content_id = 'content-1'
 ORDER BY e.event_timestamp DESC, e.user_id, e.event_id LIMIT 100""")
+ORACLE_SQL["stored_lookup_content_events"] = ORACLE_SQL["lookup_content_events"]
 oracle("lookup_content_metrics", """SELECT * FROM metrics WHERE content_id = 'content-1'
 ORDER BY window_start DESC LIMIT 100""", content_metrics("5 minutes"))
 oracle("lookup_quality_events", f"""SELECT {QUALITY_COLUMNS} FROM e

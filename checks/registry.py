@@ -7,6 +7,8 @@ replaced by a presence flag.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,12 +16,14 @@ from pyspark.sql import functions as F
 
 from playlens.operators import (contents, enrich, lookups, metrics, qos, quality, reports, rollup,
                                 sessions, views)
-from playlens.plans import rollup_jobs
+from playlens.plans import current, rollup_jobs
 from playlens.plans.layout import events_from_history
+from playlens.session import checkpoint_root
 from playlens.sources import decode
 from playlens.sources.schema import RETENTION_DAYS
 from playlens.sources.tables import (content_dimension, content_versions, device_dimension,
                                      playback_events, with_payload_json)
+from playlens.streaming.sinks import HOT_VIEWS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -224,6 +228,46 @@ on_events("smart_resume", lambda e: lookups.smart_resume(views.user_content_prog
           settled=True)
 on_events("active_sessions", lambda e: lookups.active_sessions(e, AS_OF))
 
+# --- current tables ------------------------------------------------------------------------
+
+def current_tables(spark: SparkSession, sf_dir: str, table: str, buckets: int = 8) -> str:
+    """A current table that three batches with common keys were merged into, the middle one first."""
+    root = checkpoint_root(spark, scratch_root(spark))
+    path = f"{root}/current-{uuid.uuid4().hex}/{table}"
+    events = playback_events(spark, sf_dir, settled=True)
+    day = F.dayofmonth("event_timestamp")
+    for number, part in enumerate((day.between(11, 20), day <= 10, day > 20)):
+        current.merge_batch(HOT_VIEWS[table](events.filter(part)), path, table, number, buckets)
+    return path
+
+
+def scratch_root(spark: SparkSession) -> str | None:
+    """A folder for sessions that run on this machine alone."""
+    return tempfile.mkdtemp(prefix="/tmp/run-") \
+        if spark.sparkContext.master.startswith("local[") or spark.sparkContext.master == "local" \
+        else None
+
+
+@register("stored_progress")
+def _(spark, sf_dir):
+    path = current_tables(spark, sf_dir, "user_content_progress")
+    return current.read_current(spark, path).drop("event_id")
+
+
+@register("stored_lookup_all_progress")
+def _(spark, sf_dir):
+    path = current_tables(spark, sf_dir, "user_content_progress")
+    rows = current.read_current_key(spark, path, "user_id", USER, 8)
+    return lookups.all_progress(rows, USER).drop("event_id")
+
+
+@register("stored_lookup_content_events")
+def _(spark, sf_dir):
+    path = current_tables(spark, sf_dir, "events_by_content")
+    return lookups.content_events(
+        current.read_current_key(spark, path, "content_id", CONTENT, 8), CONTENT)
+
+
 # --- joins ----------------------------------------------------------------------------------
 
 

@@ -5,6 +5,8 @@
     python -m playlens maintain --root WAREHOUSE [--table NAME]
     python -m playlens fresh    --root WAREHOUSE [--max-lag 30]
 
+With --database NAME, hourly and backfill keep the catalog's tables of that database up to date.
+
 The warehouse folder holds `playback_events`, `hourly_content_stats` and
 `daily_content_stats`.
 """
@@ -41,11 +43,17 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     maintain.add_argument("--table")
     fresh = jobs.add_parser("fresh", help="exit 1 when the newest event is too old")
     fresh.add_argument("--max-lag", type=float, default=30.0, help="minutes")
+    for job in (hourly, backfill):
+        job.add_argument("--database", help="of the catalog's tables")
     for job in (hourly, backfill, maintain, fresh):
         job.add_argument("--root", required=True, help="warehouse folder")
     return parser.parse_args(arguments)
 
 
+def named(database: str | None, table: str) -> str | None:
+    return f"{database}.{table}" if database else None
+
+
 def run(spark: SparkSession, options: argparse.Namespace,
         now: datetime.datetime | None = None) -> int:
     """Runs one job; returns the exit code."""
@@ -57,19 +65,24 @@ def run(spark: SparkSession, options: argparse.Namespace,
             date, hour = options.date[0], int(options.date[1]) if len(options.date) > 1 else 0
         else:
             date, hour = rollup_jobs.previous_hour(now)
-        rows = rollup_jobs.run_hour(spark, events, f"{root}/{HOURLY}", date, hour)
+        rows = rollup_jobs.run_hour(spark, events, f"{root}/{HOURLY}", date, hour,
+                                    named(options.database, HOURLY))
         log.info("%s hour %d: %d titles", date, hour, rows)
     elif options.job == "backfill":
         written = rollup_jobs.backfill(spark, events, f"{root}/{HOURLY}", f"{root}/{DAILY}",
                                        options.start_date, options.end_date,
-                                       TARGETS[options.target])
+                                       TARGETS[options.target],
+                                       {"hourly": named(options.database, HOURLY),
+                                        "daily": named(options.database, DAILY)})
         for table, rows in written.items():
             log.info("%s: %d rows", table, rows)
     elif options.job == "maintain":
-        outcome = maintenance.maintain_tables(
+        report = maintenance.maintenance_report(
             spark, maintenance.warehouse_tables(spark, root, options.table))
-        log.info("%d of %d tables maintained", sum(outcome.values()), len(outcome))
-        return 0 if all(outcome.values()) else 1
+        for row in report:
+            log.info("%(table)s: %(files_before)s files, %(bytes_before)s bytes, then "
+                     "%(files_after)s files, %(bytes_after)s bytes", row)
+        return 0 if all(row["done"] for row in report) else 1
     else:
         if newest_day(spark, events) is None:
             return 1

@@ -138,6 +138,26 @@ def warehouse_tables(spark: SparkSession, root: str, only: str | None = None
     return found
 
 
+def maintenance_report(spark: SparkSession, tables: dict[str, list[str]],
+                       target_bytes: int = TARGET_FILE_BYTES) -> list[dict]:
+    """Compacts several tables; one line per table: table, done, files and bytes before and after."""
+    def sizes(path: str) -> tuple[int, int]:
+        row = files.listing(spark, path).agg(
+            F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes")).first()
+        return row["files"], row["bytes"] or 0
+
+    report = []
+    for path, partition_by in tables.items():
+        restore_whole(spark, path)
+        before = sizes(path)
+        done = maintain_tables(spark, {path: partition_by}, target_bytes)[path]
+        after = sizes(path)
+        report.append({"table": path, "done": done, "files_before": before[0],
+                       "bytes_before": before[1], "files_after": after[0],
+                       "bytes_after": after[1]})
+    return report
+
+
 def maintain_tables(spark: SparkSession, tables: dict[str, list[str]],
                     target_bytes: int = TARGET_FILE_BYTES) -> dict[str, bool]:
     """Compacts several tables (path to partition columns); one failure stops no other."""

@@ -48,9 +48,11 @@ def _processed(df: DataFrame) -> DataFrame:
     return df.withColumn("processed_at", F.current_timestamp())
 
 
-def run_hour(spark: SparkSession, history_path: str, out_path: str, date: str, hour: int = 0
-             ) -> int:
-    """Recomputes one hour of the hourly table; 0 and no change without events."""
+def run_hour(spark: SparkSession, history_path: str, out_path: str, date: str, hour: int = 0,
+             table: str | None = None) -> int:
+    """Recomputes one hour of the hourly table; 0 and no change without events.
+
+    With `table` the catalog has a table of that name at the output."""
     if not has_rows(spark, history_path, date, date):
         return 0
     history = read_history(spark, history_path, [date])
@@ -60,14 +62,15 @@ def run_hour(spark: SparkSession, history_path: str, out_path: str, date: str, h
         return 0
     stats = rollup.hourly_content_stats(history, date=date, hour=hour)
     return replace_scope(spark, _processed(stats), out_path, HOURLY_PARTITIONS,
-                         [f"event_date={date}/event_hour={hour}"])
+                         [f"event_date={date}/event_hour={hour}"], table)
 
 
 def backfill(spark: SparkSession, history_path: str, hourly_path: str, daily_path: str,
-             start: str, end: str, target: str = "all") -> dict[str, int]:
+             start: str, end: str, target: str = "all", tables: dict[str, str] | None = None
+             ) -> dict[str, int]:
     """Recomputes a date range; returns rows written per table.
 
-    The daily table is built from the stored hourly one, after it.
+    `tables` names the catalog's tables for `hourly` and `daily`, if they are to be there. The daily table is built from the stored hourly one, after it.
     """
     if target not in TARGETS:
         raise ValueError(f"target must be one of {TARGETS}")
@@ -79,7 +82,8 @@ def backfill(spark: SparkSession, history_path: str, hourly_path: str, daily_pat
             stats = rollup.hourly_content_stats(
                 read_history(spark, history_path, days_between(start, end)), start=start, end=end)
             written["hourly"] = replace_scope(spark, _processed(stats), hourly_path,
-                                              HOURLY_PARTITIONS, scope)
+                                              HOURLY_PARTITIONS, scope,
+                                              (tables or {}).get("hourly"))
     if target in ("daily", "all"):
         written["daily"] = 0
         if has_rows(spark, hourly_path, start, end):
@@ -87,7 +91,7 @@ def backfill(spark: SparkSession, history_path: str, hourly_path: str, daily_pat
                 F.col("event_date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
             written["daily"] = replace_scope(
                 spark, _processed(rollup.daily_content_stats(hourly)), daily_path,
-                DAILY_PARTITIONS, scope)
+                DAILY_PARTITIONS, scope, (tables or {}).get("daily"))
     return written
 
 

@@ -4,6 +4,7 @@ import datetime
 
 import pytest
 from conftest import SMALL
+from pyspark.sql import functions as F
 
 from checks.registry import with_payload_json
 from playlens.__main__ import parse, run
@@ -50,6 +51,30 @@ def test_backfill_and_maintain(spark, warehouse):
     assert spark.read.parquet(f"{warehouse}/daily_content_stats").count() == before
 
 
+def test_backfill_keeps_the_catalog(spark, warehouse):
+    spark.sql("CREATE DATABASE IF NOT EXISTS plays")
+    try:
+        for end in ("2024-01-10", "2024-01-11"):
+            assert job(spark, "backfill", "--root", warehouse, "--start-date", "2024-01-10",
+                       "--end-date", end, "--database", "plays") == 0
+        other = spark.newSession()
+        for table in ("hourly_content_stats", "daily_content_stats"):
+            days = other.table(f"plays.{table}").select("event_date").distinct().collect()
+            assert {"2024-01-10", "2024-01-11"} <= {str(r[0]) for r in days}
+    finally:
+        spark.sql("DROP DATABASE IF EXISTS plays CASCADE")
+
+
+def test_maintenance_reports_before_and_after(spark, scratch):
+    for _ in range(3):
+        spark.range(10).withColumn("p", F.lit(1)).repartition(2).write.mode("append").partitionBy(
+            "p").parquet(f"{scratch}/t")
+    row, = maintenance.maintenance_report(spark, {f"{scratch}/t": ["p"]})
+    assert (row["done"], row["files_before"], row["files_after"]) == (True, 6, 1)
+    assert row["bytes_before"] > row["bytes_after"] > 0
+    assert spark.read.parquet(f"{scratch}/t").count() == 30
+
+
 def test_freshness_code(spark, warehouse, scratch):
     last = datetime.datetime(2024, 1, 31, 0, 0, tzinfo=datetime.timezone.utc)
     assert job(spark, "fresh", "--root", warehouse, "--max-lag", "100000", now=last) == 0
