@@ -23,15 +23,17 @@ def previous_hour(now: datetime.datetime) -> tuple[str, int]:
     return str(before.date()), before.hour
 
 
+def read_days(spark: SparkSession, path: str, start: str, end: str) -> DataFrame | None:
+    """The rows of a day-partitioned table in [start, end]; only these days' folders are listed."""
+    folders = [folder for day in days_between(start, end)
+               if files.exists(spark, folder := f"{path}/event_date={day}")]
+    return spark.read.option("basePath", path).parquet(*folders) if folders else None
+
+
 def has_rows(spark: SparkSession, path: str, start: str, end: str) -> bool:
     """Whether a day-partitioned table exists and holds a row in [start, end]."""
-    folders = [d for d in days_between(start, end)
-               if files.exists(spark, f"{path}/event_date={d}")]
-    if not folders:
-        return False
-    found = spark.read.option("basePath", path).parquet(
-        *[f"{path}/event_date={d}" for d in folders])
-    return not found.isEmpty()
+    found = read_days(spark, path, start, end)
+    return found is not None and not found.isEmpty()
 
 
 def backfill_frames(history: DataFrame, start: str, end: str, target: str = "all"
@@ -86,9 +88,8 @@ def backfill(spark: SparkSession, history_path: str, hourly_path: str, daily_pat
                                               (tables or {}).get("hourly"))
     if target in ("daily", "all"):
         written["daily"] = 0
-        if has_rows(spark, hourly_path, start, end):
-            hourly = spark.read.parquet(hourly_path).filter(
-                F.col("event_date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+        hourly = read_days(spark, hourly_path, start, end)
+        if hourly is not None and not hourly.isEmpty():
             written["daily"] = replace_scope(
                 spark, _processed(rollup.daily_content_stats(hourly)), daily_path,
                 DAILY_PARTITIONS, scope, (tables or {}).get("daily"))

@@ -367,3 +367,13 @@ def test_catalogue_is_read_as_it_was(spark, scratch):
         "checkpointLocation", f"{scratch}/cp").trigger(availableNow=True).start(f"{scratch}/out")
     query.awaitTermination()
     assert seen(spark.read.parquet(f"{scratch}/out")) == expected
+
+
+def test_days_of_the_hourly_table_are_listed_alone(spark, scratch):
+    for day in ("2024-01-01", "2024-01-02", "2024-01-05"):
+        spark.range(3).withColumns({"event_hour": F.lit(4)}).write.parquet(
+            f"{scratch}/h/event_date={day}")
+    found = rollup_jobs.read_days(spark, f"{scratch}/h", "2024-01-02", "2024-01-04")
+    assert found.count() == 3 and all("event_date=2024-01-02" in f for f in found.inputFiles())
+    assert rollup_jobs.read_days(spark, f"{scratch}/h", "2024-01-03", "2024-01-04") is None
+    assert not rollup_jobs.has_rows(spark, f"{scratch}/h", "2024-01-03", "2024-01-04")
