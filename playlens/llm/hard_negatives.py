@@ -41,6 +41,7 @@ Edge cases
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -96,26 +97,46 @@ def packed(bits: np.ndarray) -> np.ndarray:
     return np.packbits(full, axis=1).view(np.uint64)
 
 
+def group_means(vectors: np.ndarray, groups: np.ndarray) -> np.ndarray:
+    """The mean of each group; the same rows in the same order give the same numbers."""
+    order = np.argsort(groups, kind="stable")
+    starts = np.flatnonzero(np.diff(groups[order], prepend=-1))
+    counts = np.diff(starts, append=len(order))
+    means = np.zeros((int(groups.max(initial=0)) + 1, vectors.shape[1]))
+    means[groups[order][starts]] = np.add.reduceat(
+        vectors[order].astype(float), starts, axis=0) / counts[:, None]
+    return means
+
+
+@dataclass
 class Codes:
-    """One-bit codes of vectors about the mean of their group, with alignments and residual lengths.
-
-    `groups` numbers the group of each vector from 0; by default all are one.
-    """
-
-    def __init__(self, vectors: np.ndarray, groups: np.ndarray | None = None):
-        self.groups = np.zeros(len(vectors), np.int64) if groups is None else groups
-        self.length = np.sqrt((vectors.astype(float) ** 2).sum(axis=1))
-        order = np.argsort(self.groups, kind="stable")
-        starts = np.flatnonzero(np.diff(self.groups[order], prepend=-1))
-        counts = np.diff(starts, append=len(order))
-        self.means = np.zeros((int(self.groups.max(initial=0)) + 1, vectors.shape[1]))
-        self.means[self.groups[order][starts]] = np.add.reduceat(
-            vectors[order].astype(float), starts, axis=0) / counts[:, None]
-        turned = rotated(vectors - self.means[self.groups])
-        self.size = turned.shape[1]
-        self.words = packed(turned >= 0)
-        self.alignment = np.abs(turned).sum(axis=1) / np.sqrt(self.size)
-        self.rest = np.sqrt(np.maximum((turned ** 2).sum(axis=1) - self.alignment ** 2, 0))
+    """One-bit codes of vectors about the mean of their group, with alignments and residual lengths."""
+
+    groups: np.ndarray
+    means: np.ndarray
+    words: np.ndarray
+    alignment: np.ndarray
+    rest: np.ndarray
+    length: np.ndarray
+
+    @property
+    def size(self) -> int:
+        return 1 << max(0, self.means.shape[1] - 1).bit_length()
+
+    @classmethod
+    def made(cls, vectors: np.ndarray, groups: np.ndarray | None = None) -> Codes:
+        """`groups` numbers the group of each vector from 0; by default all are one."""
+        if groups is None:
+            groups = np.zeros(len(vectors), np.int64)
+        means = group_means(vectors, groups)
+        turned = rotated(vectors - means[groups])
+        alignment = np.abs(turned).sum(axis=1) / np.sqrt(turned.shape[1])
+        rest = np.sqrt(np.maximum((turned ** 2).sum(axis=1) - alignment ** 2, 0))
+        return cls(groups, means, packed(turned >= 0), alignment, rest, lengths(vectors))
+
+
+def lengths(vectors: np.ndarray) -> np.ndarray:
+    return np.sqrt((vectors.astype(float) ** 2).sum(axis=1))
 
 
 class Planes:
@@ -184,15 +205,24 @@ def kth_largest(values: np.ndarray, k: int) -> np.ndarray:
 
 
 class Side:
-    """Rows of a block as arrays."""
+    """Rows of a block as arrays, in the order of their places."""
 
     def __init__(self, found: pa.Table, width: int):
+        found = found.sort_by("place")
+        self.found = found
         column = lambda name: found.column(name).to_numpy(zero_copy_only=False)
         self.ids, self.places = column("id"), column("place")
         self.labels = found.column("label").to_pylist()
         self.vectors = np.frombuffer(b"".join(found.column("vector").to_pylist()),
                                      "<i8").reshape(-1, width)
 
+    def codes(self, groups: np.ndarray) -> Codes:
+        """The stored codes; the means are those of the block again."""
+        words = np.frombuffer(b"".join(self.found.column("code").to_pylist()), np.uint64)
+        return Codes(groups, group_means(self.vectors, groups), words.reshape(len(self.ids), -1),
+                     *(self.found.column(n).to_numpy() for n in ("alignment", "rest")),
+                     lengths(self.vectors))
+
 
 def numbered_labels(*sides: Side) -> tuple[np.ndarray, ...]:
     number: dict = {}
@@ -203,7 +233,7 @@ def numbered_labels(*sides: Side) -> tuple[np.ndarray, ...]:
 def near_rows(anchors: Side, rows: Side, positives: int) -> tuple:
     """In a cell: places of anchors, ids and scores of each anchor's first rows of its label."""
     anchor_labels, row_labels = numbered_labels(rows, anchors)[::-1]
-    codes = Codes(rows.vectors, row_labels)
+    codes = rows.codes(row_labels)
     out_place, out_id, out_score = [], [], []
     for some in _slices(len(anchors.ids), len(rows.ids)):
         own = (anchor_labels[some][:, None] == row_labels[None, :]) \
@@ -226,7 +256,7 @@ def far_rows(anchors: Side, limits: list[list[tuple[int, int]]], rows: Side,
     """In a cell: places of anchors, ranks of positives, ids and scores of their first rows of other
     labels within the positive's bounds (least and highest score)."""
     anchor_labels, row_labels = numbered_labels(rows, anchors)[::-1]
-    codes = Codes(rows.vectors, row_labels)
+    codes = rows.codes(row_labels)
     out = ([], [], [], [])
     most = max(map(len, limits), default=0)
     # Bounds that nothing meets where an anchor has fewer positives.
@@ -267,9 +297,9 @@ def _joined(*columns: list[np.ndarray]) -> tuple:
 
 
 def encoded(vectors: DataFrame, id_col: str, label_col: str, vector_col: str,
-            scale: int = SCALE) -> tuple[DataFrame, int]:
-    """The rows that take part: id, label, place (a number of their own), vector (integers), and the
-    length of the vectors."""
+            scale: int = SCALE) -> tuple[DataFrame, int, int]:
+    """The rows that take part: id, label, place (a number of their own), vector (integers), block and
+    their code with alignment and residual length; the length of the vectors, the number of blocks."""
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).alias("label"),
                           F.col(vector_col).alias("raw"))
     rows = rows.filter(F.col("id").isNotNull() & F.col("label").isNotNull() & usable(F.col("raw")))
@@ -293,8 +323,21 @@ def encoded(vectors: DataFrame, id_col: str, label_col: str, vector_col: str,
                 [*(batch.column(n) for n in ("id", "label", "place")),
                  pa.array(packed_rows, pa.binary())], ["id", "label", "place", "vector"])
 
-    found = rows.mapInArrow(pack, f"id long, label {kind}, place long, vector binary")
-    return stored(found), width
+    found = stored(rows.mapInArrow(
+        pack, f"id long, label {kind}, place long, vector binary"))
+    blocks = max(1, -(-found.count() // BLOCK_ROWS))
+
+    def encode(block: pa.Table) -> pa.Table:
+        side = Side(block, width)
+        codes = Codes.made(side.vectors, numbered_labels(side)[0])
+        columns = {"code": pa.array([w.tobytes() for w in codes.words], pa.binary()),
+                   "alignment": pa.array(codes.alignment), "rest": pa.array(codes.rest)}
+        return pa.table({name: side.found.column(name) for name in block.column_names} | columns)
+
+    block = F.pmod(F.xxhash64("place"), F.lit(blocks)).alias("block")
+    return stored(found.select("*", block).groupBy("block").applyInArrow(
+        encode, f"id long, label {kind}, place long, vector binary, block long, code binary, "
+                "alignment double, rest double")), width, blocks
 
 
 def mine(vectors: DataFrame, is_anchor: Column, id_col: str = "vec_id", label_col: str = "label",
@@ -302,18 +345,16 @@ def mine(vectors: DataFrame, is_anchor: Column, id_col: str = "vec_id", label_co
          negatives: int = NEGATIVES, low_percent: int = LOW_PERCENT,
          high_percent: int = HIGH_PERCENT) -> DataFrame:
     """The hard negatives of every anchor and positive; `is_anchor` speaks of the column `id`."""
-    rows, width = encoded(vectors, id_col, label_col, vector_col, scale)
-    anchors = rows.filter(is_anchor)
-    n_rows, n_anchors = rows.count(), anchors.count()
-    row_blocks = max(1, -(-n_rows // BLOCK_ROWS))
-    anchor_blocks = max(1, -(-n_anchors // BLOCK_ANCHORS))
-    block = lambda count: F.pmod(F.xxhash64("place"), F.lit(count))
+    rows, width, row_blocks = encoded(vectors, id_col, label_col, vector_col, scale)
+    anchors = rows.filter(is_anchor).select("id", "label", "place", "vector")
+    anchor_blocks = max(1, -(-anchors.count() // BLOCK_ANCHORS))
     every = lambda count: F.explode(F.sequence(F.lit(0).cast("long"),
                                                F.lit(count - 1).cast("long")))
-    dealt = rows.select("*", block(row_blocks).alias("__row"),
-                        every(anchor_blocks).alias("__anchor"))
+    dealt = rows.withColumnRenamed("block", "__row").select(
+        "*", every(anchor_blocks).alias("__anchor"))
     spread = lambda frame: frame.select(
-        "*", block(anchor_blocks).alias("__anchor"), every(row_blocks).alias("__row"))
+        "*", F.pmod(F.xxhash64("place"), F.lit(anchor_blocks)).alias("__anchor"),
+        every(row_blocks).alias("__row"))
 
     def near(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:

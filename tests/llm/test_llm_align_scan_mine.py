@@ -305,7 +305,7 @@ def test_intervals_hold_every_score(width):
     rows[0], rows[1] = 0, rows[2]
     anchors = np.concatenate((rows[:20], rng.integers(-5, 2 ** 27, (5, width))))
     exact = anchors.astype(object) @ rows.T.astype(object)
-    codes = hard_negatives.Codes(rows, rng.integers(0, 9, 400) if width > 3 else None)
+    codes = hard_negatives.Codes.made(rows, rng.integers(0, 9, 400) if width > 3 else None)
     low, high = hard_negatives.Planes(anchors).intervals(codes)
     assert (low <= exact.astype(float)).all() and (exact.astype(float) <= high).all()
 
@@ -316,7 +316,7 @@ def test_intervals_leave_far_rows_out():
     centre = rng.normal(size=(20, 64)) * 200
     group = rng.integers(0, 20, 4000)
     rows = np.rint(centre[group] + rng.normal(size=(4000, 64)) * 20).astype(int)
-    low, high = hard_negatives.Planes(rows[:50]).intervals(hard_negatives.Codes(rows, group))
+    low, high = hard_negatives.Planes(rows[:50]).intervals(hard_negatives.Codes.made(rows, group))
     kept = high >= hard_negatives.kth_largest(low, 5)[:, None]
     assert kept.mean() < 0.5
     exact = rows[:50] @ rows.T
