@@ -278,16 +278,21 @@ def test_search_recall_on_the_given_table(spark):
     from playlens.llm import queries
 
     links = {(r.query_class, r.class_id) for r in queries.minhash_search(
-        spark, "/root/testdata/sf0.01").collect()}
-    rows = [(r.doc_id, r.text) for r in spark.read.parquet(
-        "/root/testdata/sf0.01/documents.parquet").collect()]
-    sets = {i: shingles(t, 5) for i, t in rows}
-    of = {}
+        spark, "/root/testdata/sf0.1").collect()}
+    sets = {r.doc_id: shingles(r.text, 5) for r in spark.read.parquet(
+        "/root/testdata/sf0.1/documents.parquet").collect()}
+    first, of = {}, {}
     for i in sorted(sets):
-        of[i] = min((j for j in of if of[j] == j and sets[j] == sets[i] and sets[i]), default=i)
-    want = {(of[x], of[y]) for x in sets if x % 100 == 0 and sets[x] for y in sets
-            if of[x] != of[y] and len(sets[x] & sets[y]) >= 0.8 * len(sets[x] | sets[y])}
-    assert links <= want and len(links) >= 0.9 * len(want)
+        of[i] = first.setdefault(sets[i], i) if sets[i] else i
+    want = set()
+    for x in (i for i in sets if i % 100 == 0 and sets[i]):
+        for y in first.values():
+            a, b = len(sets[x]), len(sets[y])
+            if of[x] != y and 5 * min(a, b) >= 4 * max(a, b):
+                both = len(sets[x] & sets[y])
+                if both >= 0.8 * (a + b - both):
+                    want.add((of[x], y))
+    assert want and links <= want and len(links) >= 0.9 * len(want)
 
 
 CLASHING = ("__length", "__prefix", "__maybe", "__bits", "__bucket", "__id", "key", "doc", "__row",
