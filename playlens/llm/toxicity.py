@@ -38,7 +38,6 @@ from dataclasses import dataclass
 from itertools import chain
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -56,6 +55,7 @@ SIGNIFICANT = 3.3  # root of the likelihood ratio from which a term enters with
 PLAIN = 0.3  # value of all other terms
 COPY_TERMS, COPY_SHARE = 4, 0.8
 EPOCHS, BATCH, RATE, DECAY, START = 8, 256, 0.05, 0.01, 0.2
+SLICE_TERMS = 1 << 16  # terms that are scored together; a larger text comes alone
 
 WORD = re.compile(r"\w+")
 
@@ -111,6 +111,14 @@ def pair_scores(weights: np.ndarray, factors: np.ndarray, starts: np.ndarray) ->
     return linear + 0.5 * ((sums * sums).sum(axis=1) - squares), sums
 
 
+def row_counts(rows: list[np.ndarray]) -> np.ndarray:
+    """The number of rows with each term, added up over some rows at a time."""
+    counts = np.zeros(DIMENSIONS, np.int64)
+    for at in range(0, len(rows), BATCH):
+        counts += np.bincount(np.concatenate(rows[at:at + BATCH]), minlength=DIMENSIONS)
+    return counts
+
+
 def association(rows: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
     """Log odds of every term between toxic and other rows; 0 where chance explains them.
 
@@ -118,8 +126,7 @@ def association(rows: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
     """
     toxic = labels > 0
     sizes = np.array([toxic.sum(), (~toxic).sum()], float)
-    counts = np.stack([np.bincount(np.concatenate([r for r, t in zip(rows, toxic, strict=True)
-                                                   if t == side]), minlength=DIMENSIONS)
+    counts = np.stack([row_counts([r for r, t in zip(rows, toxic, strict=True) if t == side])
                        for side in (True, False)]).astype(float)
     expected = counts.sum(axis=0) * (sizes / sizes.sum())[:, None]
     parts = counts * np.log(np.maximum(counts, 1e-9) / np.maximum(expected, 1e-9))
@@ -159,7 +166,7 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Model:
     if labels.min() == labels.max() or not any(map(len, rows)):
         return model
     odds = association(rows, labels)
-    support = np.bincount(np.concatenate(rows), minlength=DIMENSIONS)
+    support = row_counts(rows)
     kept = np.flatnonzero((odds != 0) | (support >= SUPPORT))
     dense = np.full(DIMENSIONS, -1, np.int32)
     dense[kept] = np.arange(len(kept))
@@ -235,6 +242,22 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                (got["label"].to_numpy(float) > 0).astype(float))
 
 
+def text_scores(texts: pa.Array, model: Model) -> pa.Array:
+    """The score of each text. Texts leave Arrow one at a time and their terms are scored in slices of
+    SLICE_TERMS, so that a worker's memory does not grow with the rows or terms of a batch."""
+    out, rows, size = [], [], 0
+    for text in texts:
+        terms = terms_of(text.as_py())
+        if rows and size + len(terms) > SLICE_TERMS:
+            out.append(model.scores(rows))
+            rows, size = [], 0
+        rows.append(terms)
+        size += len(terms)
+    if rows:
+        out.append(model.scores(rows))
+    return pa.array(np.concatenate(out) if out else np.empty(0))
+
+
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id",
           text_col: str = "text") -> DataFrame:
     """doc_id, score of every document."""
@@ -244,9 +267,8 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id",
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            got = shared.value.scores([terms_of(t) for t in batch.column("text").to_pylist()])
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(got)],
-                                             ["doc_id", "score"])
+            got = text_scores(batch.column("text"), shared.value)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), got], ["doc_id", "score"])
 
     return rows.mapInArrow(judge, f"doc_id {kind}, score double")
 
@@ -256,8 +278,8 @@ def reject(docs: DataFrame, labelled_docs: DataFrame, labels: DataFrame, text_co
     """The documents scored under the threshold, with all their columns."""
     shared = docs.sparkSession.sparkContext.broadcast(train(labelled_docs, labels))
 
-    @F.pandas_udf("double")
-    def judge(texts: pd.Series) -> pd.Series:
-        return pd.Series(shared.value.scores([terms_of(t) for t in texts]))
+    @F.arrow_udf("double")
+    def judge(texts: pa.Array) -> pa.Array:
+        return text_scores(texts, shared.value)
 
     return docs.filter(judge(text_col) < threshold)

@@ -6,6 +6,7 @@ import time
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from playlens.llm import html_text, pii, quality, toxicity
@@ -113,6 +114,44 @@ def test_toxicity_odd_rows(spark):
 
 # --- quality ------------------------------------------------------------------------------
 
+def test_scores_of_a_batch_take_bounded_memory(monkeypatch):
+    """Workers of the pipeline held all terms of 10,000 texts and their factors at once."""
+    rng = np.random.default_rng(3)
+    model = toxicity.Model(-0.5, rng.normal(0, 0.1, toxicity.DIMENSIONS).astype(np.float32),
+                           rng.normal(0, 0.1, (toxicity.DIMENSIONS, 4)).astype(np.float32))
+    texts = [" ".join(f"w{n}" for n in rng.integers(0, 5000, rng.integers(0, 80)))
+             for _ in range(500)] + [None, "", " ".join(f"long{i}" for i in range(3000)), "end"]
+    whole = model.scores([toxicity.terms_of(t) for t in texts])
+    held = []
+    plain = toxicity.Model.logits
+    monkeypatch.setattr(toxicity.Model, "logits", lambda self, rows: (
+        held.append((len(rows), sum(map(len, rows)))), plain(self, rows))[1])
+    monkeypatch.setattr(toxicity, "SLICE_TERMS", 1000)
+    got = toxicity.text_scores(pa.array(texts), model)
+    assert np.array_equal(got.to_numpy(zero_copy_only=False), whole)
+    assert sum(n for n, _ in held) == len(texts)
+    assert len(held) > 20 and all(size <= 1000 or n == 1 for n, size in held)
+    assert len(toxicity.text_scores(pa.array([], pa.string()), model)) == 0
+
+
+def test_reject_scores_as_score_does(spark):
+    docs = frame(spark, [(i, "you scum " * (i % 2) + f"word{i} fine words") for i in range(60)]
+                 + [(60, None), (None, ""), (60, "you scum")])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels)
+    low = toxicity.score(docs, model).filter("score < 0.5").groupBy("doc_id").count().collect()
+    kept = toxicity.reject(docs, docs, labels).groupBy("doc_id").count().collect()
+    assert 20 < len(kept) < 62 and sorted(low, key=str) == sorted(kept, key=str)
+
+
+def test_counts_by_blocks_of_rows():
+    rng = np.random.default_rng(5)
+    rows = [np.unique(rng.integers(0, 90, rng.integers(0, 30))).astype(np.int32) for _ in range(700)]
+    counts = toxicity.row_counts(rows)
+    assert len(counts) == toxicity.DIMENSIONS
+    assert counts[:90].tolist() == [sum(t in set(r.tolist()) for r in rows) for t in range(90)]
+
+
 def test_expectation_maximisation_recovers_accuracies():
     rng = np.random.default_rng(4)
     truth = rng.random(20_000) < 0.7
