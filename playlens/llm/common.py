@@ -9,7 +9,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 # ASCII white space; a word is a run of anything else.
@@ -27,6 +27,9 @@ REMEMBERED_WORDS = 150_000
 # Characters of texts that are tokenized together; a longer text comes alone.
 BATCH_CHARS = 1 << 20
 
+# Bytes of terms that come to the driver at once.
+FETCHED_BYTES = 2_000_000
+
 # Rows of an order that one task takes.
 PIECE_ROWS = 100_000
 
@@ -76,6 +79,14 @@ def bounded(sample: DataFrame, most_bytes: int) -> DataFrame:
     return sample.filter(F.col("place") < sizes[last][0]) if last < len(sizes) else sample
 
 
+def fetched(sample: DataFrame) -> Iterator[Row]:
+    """All rows of a sample of bounded rows, in any order. They are dealt to partitions of about
+    FETCHED_BYTES of `terms` that come one after another: the driver's JVM would hold a result that
+    comes at once several times over."""
+    size = sample.agg(F.sum(F.length("terms"))).first()[0] or 0
+    return sample.repartition(max(1, -(-size // FETCHED_BYTES))).toLocalIterator()
+
+
 def wrapped(docs: DataFrame, id_col: str) -> DataFrame:
     """The rows as one column `doc` and their id as `key`, so that no name of theirs can clash."""
     columns = [F.col(f"`{name}`") for name in docs.columns]

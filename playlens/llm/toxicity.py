@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playlens.llm.common import REMEMBERED_WORDS, bounded, mix, stored
+from playlens.llm.common import REMEMBERED_WORDS, bounded, fetched, mix, stored
 
 DIMENSIONS = 1 << 19
 FACTORS = 4
@@ -237,9 +237,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     found = stored(rows.mapInArrow(terms, f"id {kind}, terms binary, label double")
                    .groupBy("id").agg(F.min("terms").alias("terms"), F.max("label").alias("label"))
                    .withColumn("place", F.xxhash64("id")))
-    got = bounded(found, SAMPLE_BYTES).toPandas().sort_values(["place", "id"], kind="stable")
-    return fit([np.frombuffer(t, np.int32) for t in got["terms"]],
-               (got["label"].to_numpy(float) > 0).astype(float))
+    got = sorted(fetched(bounded(found, SAMPLE_BYTES)), key=lambda r: (r["place"], r["id"]))
+    return fit([np.frombuffer(r["terms"], np.int32) for r in got],
+               (np.array([r["label"] for r in got], float) > 0).astype(float))
 
 
 def text_scores(texts: pa.Array, model: Model) -> pa.Array:

@@ -8,8 +8,9 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from playlens.llm import html_text, pii, quality, toxicity
+from playlens.llm import common, html_text, pii, quality, toxicity
 
 SMALL = "/root/testdata/sf0.1"
 SCHEMA = "doc_id long, text string, score string, spans int"
@@ -97,6 +98,35 @@ def test_repeated_rows_are_learned_from_once(spark, monkeypatch):
     assert seen[2] == seen[0][:len(seen[2])] and sum(len(t) for t, _ in seen[2]) <= 200 and seen[2]
 
 
+def test_sample_reaches_the_driver_in_pieces(spark, monkeypatch):
+    """The sample came as one result, which the driver's JVM held several times over."""
+    texts = [" ".join(f"word{n}" for n in range(i, i + 20)) + (" insult" if i % 2 else " praise")
+             for i in range(120)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(120)], "doc_id long, toxic int")
+    docs = frame(spark, list(enumerate(texts)))
+    seen, at_once = [], []
+    monkeypatch.setattr(toxicity, "fit", lambda rows, labels: seen.append(
+        [(r.tobytes(), y) for r, y in zip(rows, labels, strict=True)]))
+    toxicity.train(docs, labels)
+    kind = type(docs)
+    plain = kind.toLocalIterator
+
+    def noted(self, *args, **kwargs):
+        at_once.extend(r.n for r in self.groupBy(F.spark_partition_id()).agg(
+            F.sum(F.length("terms")).alias("n")).collect())
+        return plain(self, *args, **kwargs)
+
+    monkeypatch.setattr(kind, "toLocalIterator", noted)
+    monkeypatch.setattr(kind, "toPandas", lambda self: pytest.fail("the sample came at once"))
+    monkeypatch.setattr(common, "FETCHED_BYTES", 2000, raising=False)
+    toxicity.train(docs, labels)
+    assert seen[0] == seen[1] and 60 < len(seen[0]) <= 120
+    assert sum(at_once) == sum(len(t) for t, _ in seen[0])
+    assert len(at_once) >= sum(at_once) // 2000 > 5 and max(at_once) < 4000
+    toxicity.train(docs.limit(0), labels)
+    assert seen[2] == []
+
+
 def test_toxicity_odd_rows(spark):
     labels = spark.createDataFrame([(1, 1), (1, 0), (None, 1), (2, None), (3, 0)],
                                    "doc_id long, toxic int")
