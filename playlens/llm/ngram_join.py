@@ -5,8 +5,10 @@
    shingles. If shingles are dealt into k > h parts by a hash, at least k - h parts are equal in
    both. Of all equal parts the first in the order (larger first, then by number) is among the first
    h + 1 parts of either set, so every set emits those h + 1 part hashes, once for its own size band
-   and once for the next. Classes that share a part hash are tied; ties make groups, and no pair
-   that qualifies lies in two groups.
+   and once for the next. Sets that share a part hash are tied; ties make groups, and no pair that
+   qualifies lies in two groups. Part hashes are shuffled once, packed, ten bytes each, and stored
+   nowhere; where texts are read, only the smallest set of a part hash goes on. Hashes are cut short
+   for it: equal ones of different parts tie sets that are not near, which costs time and no link.
 3. In a group, shingles get one global order (frequent first), the ordered sets form a trie, and
    every set is traversed against it: sets with a common beginning share the count of their overlap,
    and a subtree is left as soon as the overlap so far and the shorter remaining length cannot reach
@@ -29,7 +31,7 @@ Edge cases
     ties                  the smallest id names a component
     empty table           empty result
     very long text        its shingles are hashed in one pass; a task holds one text's set at a time
-                          when it reads, those of a block when it joins
+                          and a million part hashes when it reads, the sets of a block when it joins
     other columns         ignored by `join`, returned untouched by `keep_first`, whatever their names
 """
 
@@ -53,6 +55,9 @@ SHINGLE_WORDS = 3
 PERCENT = 90
 BLOCK = 1000
 SHARED_SETS = 16
+BUCKETS = 1 << 12  # of part hashes, by their first bits
+CHUNK_KEYS = 1 << 20  # part hashes that are packed together, and ties that are thinned together
+SHORT = 5  # bytes of a set's name, and of a part hash beside its bucket
 FLAT = 32  # subtrees with so few sets are compared side by side
 
 
@@ -243,20 +248,40 @@ def trie_links(sets: list[np.ndarray], like: Similarity, labels: list | None = N
     return links
 
 
-def shingle_facts(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """doc_id, n_shingles, same (digest of the set, null if empty), keys (part hashes)."""
+def short_name(digest: bytes) -> int:
+    """The first bytes of a set's digest, its name among ties."""
+    return int.from_bytes(digest[:SHORT], "big")
 
-    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [shingle_hashes(t, words) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
-                pa.array([hashlib.sha256(s.tobytes()).digest()[:16] if len(s) else None
-                          for s in sets], pa.binary()),
-                pa.array([part_hashes(s, percent).view(np.int64) if len(s) else [] for s in sets],
-                         pa.list_(pa.int64()))], ["doc_id", "n_shingles", "same", "keys"])
 
-    return docs.mapInArrow(describe, "doc_id long, n_shingles long, same binary, keys array<long>")
+def to_short(values: np.ndarray) -> np.ndarray:
+    """Whole numbers as rows of SHORT bytes."""
+    return values.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - SHORT:]
+
+
+def from_short(rows: np.ndarray) -> np.ndarray:
+    wide = np.zeros((len(rows), 8), np.uint8)
+    wide[:, 8 - SHORT:] = rows
+    return wide.reshape(-1).view(">u8").astype(np.uint64)
+
+
+def smallest_and_tied(keys: np.ndarray, names: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The distinct keys in order and the smallest name of each; keys in order and the pairs (name,
+    smallest name) of the other names."""
+    order = np.argsort(keys)
+    keys, names = keys[order], names[order]
+    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    hubs = np.minimum.reduceat(names, starts)
+    each = np.repeat(hubs, np.diff(np.append(starts, len(keys))))
+    other = names != each
+    return keys[starts], hubs, keys[other], np.stack([names[other], each[other]])
+
+
+def first_places(pairs: np.ndarray) -> np.ndarray:
+    """Where each distinct pair comes first."""
+    order = np.lexsort(pairs)
+    both = pairs[:, order]
+    changed = (both[:, 1:] != both[:, :-1]).any(axis=0)
+    return order[np.concatenate([np.ones(min(1, len(order)), bool), changed])]
 
 
 def as_stars(links: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -275,6 +300,118 @@ def as_stars(links: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(node, root(node)) for node in list(top) if root(node) != node]
 
 
+def thinned(pairs: list[np.ndarray]) -> np.ndarray:
+    """Pairs that connect what the given ones connect, one per name at most."""
+    together = np.concatenate(pairs, axis=1)
+    together = together[:, first_places(together)]
+    stars = as_stars(list(zip(*together.tolist(), strict=True)))
+    return np.array(stars, np.int64).reshape(-1, 2).T
+
+
+FACT = {"doc_id": pa.int64(), "n_shingles": pa.int64(), "same": pa.binary()}
+TIE = {"a": pa.int64(), "b": pa.int64()}
+
+
+def _rows(columns: dict[str, pa.DataType], values: dict) -> pa.RecordBatch:
+    """Columns that are not given are null."""
+    n = max(map(len, values.values()))
+    return pa.RecordBatch.from_arrays([
+        pa.array(values[name], kind) if name in values else pa.nulls(n, kind)
+        for name, kind in columns.items()], list(columns))
+
+
+def facts_and_ties(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Facts: doc_id, n_shingles, same (digest of the set, null if empty), a row per document.
+
+    Ties: pairs (a, b) of short names of sets that share a part hash, enough of them to connect all
+    such sets; rows without doc_id take no part.
+    """
+    packed = {"bucket": pa.int32(), **FACT, **TIE, "keys": pa.binary()}
+    key_bits, short_bits = 64 - 8 * SHORT - (BUCKETS - 1).bit_length(), np.uint64(8 * SHORT)
+
+    def chunk(keys: list[np.ndarray], names: list[int]) -> Iterator[pa.RecordBatch]:
+        """A row for the part hashes of each bucket, and one for each tie found here.
+
+        A tie is in the bucket of its smallest part hash: whichever rows a repeated task puts
+        together, a bucket has all of its part hashes or ties that smaller ones make.
+        """
+        each = np.repeat(np.array(names, np.uint64), [len(k) for k in keys])
+        joined, hubs, found_at, pairs = smallest_and_tied(
+            np.concatenate(keys) >> np.uint64(key_bits), each)
+        blob = np.hstack([to_short(joined), to_short(hubs)])
+        buckets, starts = np.unique(joined >> short_bits, return_index=True)
+        ends = [*starts[1:].tolist(), len(joined)]
+        yield _rows(packed, {"bucket": buckets.astype(np.int32), "keys": [
+            blob[low:high].tobytes() for low, high in zip(starts.tolist(), ends, strict=True)]})
+        if len(found_at):
+            first = first_places(pairs)
+            a, b = pairs[:, first].astype(np.int64)
+            yield _rows(packed, {"bucket": (found_at[first] >> short_bits).astype(np.int32),
+                                 "a": a, "b": b})
+
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, names, held = [], [], 0
+        for batch in batches:
+            sizes, digests, ids = [], [], batch.column("doc_id").to_pylist()
+            for doc_id, text in zip(ids, batch.column("text").to_pylist(), strict=True):
+                shingles = shingle_hashes(text, words)
+                sizes.append(len(shingles))
+                digests.append(hashlib.sha256(shingles.tobytes()).digest()[:16] if len(shingles)
+                               else None)
+                if doc_id is None or not len(shingles):
+                    continue
+                keys.append(part_hashes(shingles, percent))
+                names.append(short_name(digests[-1]))
+                held += len(keys[-1])
+                if held >= CHUNK_KEYS:
+                    yield from chunk(keys, names)
+                    keys, names, held = [], [], 0
+            # By what they hold: a repeated task may meet its rows in another order.
+            places = mix(np.array([short_name(digest or b"") if doc_id is None else doc_id
+                                   for doc_id, digest in zip(ids, digests, strict=True)],
+                                  np.int64).view(np.uint64)) % np.uint64(BUCKETS)
+            yield _rows(packed, {"bucket": places.astype(np.int32), "doc_id": ids,
+                                 "n_shingles": sizes, "same": digests})
+        if held:
+            yield from chunk(keys, names)
+
+    def ties_of(bucket: list[bytes]) -> np.ndarray:
+        rows = np.frombuffer(b"".join(bucket), np.uint8).reshape(-1, 2 * SHORT)
+        return smallest_and_tied(from_short(rows[:, :SHORT]), from_short(rows[:, SHORT:]))[3]
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = {**FACT, **TIE}
+        current, bucket, pairs, held = None, [], [], 0
+        for batch in batches:
+            known = batch.column("keys").is_null()
+            yield batch.filter(known).select(list(out))
+            rest = batch.filter(batch.column("keys").is_valid())
+            columns = [rest.column(n).to_pylist() for n in ("bucket", "keys")]
+            for name, blob in zip(*columns, strict=True):
+                if name != current and bucket:
+                    pairs.append(ties_of(bucket))
+                    bucket, held = [], held + pairs[-1].shape[1]
+                    if held >= CHUNK_KEYS:
+                        a, b = thinned(pairs)
+                        yield _rows(out, {"a": a, "b": b})
+                        pairs, held = [], 0
+                current = name
+                bucket.append(blob)
+        if bucket:
+            pairs.append(ties_of(bucket))
+        if any(p.size for p in pairs):
+            a, b = thinned(pairs)
+            yield _rows(out, {"a": a, "b": b})
+
+    fact, tie = "doc_id long, n_shingles long, same binary", "a long, b long"
+    width = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    met = materialized(
+        docs.mapInArrow(describe, f"bucket int, {fact}, {tie}, keys binary")
+        .repartition(width, "bucket").sortWithinPartitions("bucket")
+        .mapInArrow(meet, f"{fact}, {tie}"))
+    return met.filter("a IS NULL").select(*FACT), met.filter("a IS NOT NULL").select(*TIE)
+
+
 def linked_in_blocks(rows: DataFrame, words: int, percent: int) -> DataFrame:
     """Links (a, b) found in each block; rows have block, rep, label, probing, text.
 
@@ -320,23 +457,28 @@ def _slice_of(count: str):
     return F.pmod(F.xxhash64("rep", F.lit(1)), _slices(count)).cast("int")
 
 
-def near_links(docs: DataFrame, keyed: DataFrame, reps: DataFrame, words: int, percent: int
+def tied_classes(ties: DataFrame, classes: DataFrame) -> DataFrame:
+    """rep, tied: the classes that are tied to others, and the name of their group.
+
+    Classes with one short name are in one group.
+    """
+    name = F.conv(F.hex(F.substring("same", 1, SHORT)), 16, 10).cast("long")
+    named = classes.select("rep", name.alias("node"))
+    twins = named.groupBy("node").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).filter(
+        "low < high").select("node", F.col("node").alias("component"))
+    groups = components(ties).unionByName(twins).groupBy("node").agg(
+        F.min("component").alias("tied"))
+    return named.join(groups, "node").select("rep", "tied").distinct()
+
+
+def near_links(docs: DataFrame, ties: DataFrame, classes: DataFrame, words: int, percent: int
                ) -> DataFrame:
     """Links (a, b) between classes.
 
-    `docs` has doc_id and text, `keyed` a row (rep, key) per part hash of every class and maybe of
-    some copies, `reps` the names of the classes. The smallest id with a key is always a class.
+    `docs` has doc_id and text, `ties` the pairs of short names, `classes` rep and same.
     """
-    hubs = materialized(keyed.groupBy("key").agg(
-        F.min("rep").alias("hub"), F.max("rep").alias("far")).filter("hub < far").drop("far"))
-    # Most keys are of one class; filters of a fixed size keep them, and most texts, unshuffled.
-    common = with_maybe(keyed, bit_maps(hubs, "key"), "key").filter("__maybe").join(
-        reps, "rep", "left_semi")
-    ties = common.join(hubs, "key").filter("rep <> hub").select(
-        F.col("rep").alias("a"), F.col("hub").alias("b")).distinct()
-    grouped = materialized(components(ties).select(
-        F.col("node").alias("rep"), F.col("component").alias("tied")))
-    counts = grouped.groupBy("tied").agg(F.count("*").alias("n"))
+    grouped = materialized(tied_classes(ties, classes))
+    counts = grouped.groupBy("tied").agg(F.count("*").alias("n")).filter("n > 1")
     members = materialized(grouped.join(counts, "tied"))
     texts = with_maybe(docs.select(F.col("doc_id").alias("rep"), "text"),
                        bit_maps(members, "rep"), "rep").filter("__maybe").drop("__maybe")
@@ -380,21 +522,17 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
          words: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest id reachable by links) per document."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    facts = materialized(shingle_facts(rows, words, percent))
+    facts, ties = facts_and_ties(rows, words, percent)
     classes = materialized(facts.filter("same IS NOT NULL AND doc_id IS NOT NULL").groupBy(
         "same").agg(F.min("doc_id").alias("rep")))
     members = facts.select("doc_id", "same").join(classes, "same")
-    # The key lists stay where they are: a filter of fixed size drops copies unshuffled.
-    heads = with_maybe(facts.select(F.col("doc_id").alias("rep"), "keys"),
-                       bit_maps(classes, "rep"), "rep").filter("__maybe")
-    keyed = heads.select("rep", F.explode("keys").alias("key"))
-    links = near_links(rows, keyed, classes.select("rep"), words, percent)
+    links = near_links(rows, ties, classes, words, percent)
     # Rows of one id in several classes tie these classes.
     several = members.groupBy("doc_id").agg(
         F.min("rep").alias("b"), F.max("rep").alias("far")).filter("b < far").drop("far")
-    ties = members.select("doc_id", "rep").join(several, "doc_id").select(
+    repeated = members.select("doc_id", "rep").join(several, "doc_id").select(
         F.col("rep").alias("a"), "b")
-    found = components(links.unionByName(ties))
+    found = components(links.unionByName(repeated))
     placed = facts.select("doc_id", "n_shingles", "same").join(classes, "same", "left")
     return placed.join(found, F.col("rep") == F.col("node"), "left").select(
         "doc_id", "n_shingles", F.when(

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -9,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from playlens.llm import exact_dedup, minhash, mixing, ngram_join
-from playlens.llm.common import shingle_hashes
+from playlens.llm.common import shared_folder, shingle_hashes
 from playlens.llm.graph import components
 
 SCHEMA = "doc_id long, text string, keep_id string, label int"
@@ -139,6 +140,78 @@ def test_sliced_groups_lose_no_link(spark, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(rows, 3, 90)
 
 
+def groups(links):
+    top = {}
+
+    def root(i):
+        while top.setdefault(i, i) != i:
+            i = top[i]
+        return i
+
+    for a, b in links:
+        low, high = sorted((root(a), root(b)))
+        top[high] = low
+    return {i: root(i) for i in list(top)}
+
+
+@pytest.mark.parametrize("chunk", [1, 1000, 1 << 20])
+def test_ties_connect_sets_that_share_a_part_hash(spark, monkeypatch, chunk):
+    monkeypatch.setattr(ngram_join, "CHUNK_KEYS", chunk)
+    rows = [*enumerate(random_texts(150, seed=3)), (7, "a b c"), (1000, None), (1001, ""),
+            (None, "w1 w2 w3 w4 w5 w6 w7 w8"), (1002, "w1 w2 w3 w4 w5 w6 w7 w8")]
+    docs = frame(spark, rows).select("doc_id", "text").repartition(3)
+    facts, ties = ngram_join.facts_and_ties(docs, 5, 80)
+    sets = [(i, shingle_hashes(t, 5)) for i, t in rows]
+    digests = [hashlib.sha256(s.tobytes()).digest()[:16] if len(s) else None for _, s in sets]
+    want = sorted(((i, len(s), d) for (i, s), d in zip(sets, digests, strict=True)), key=str)
+    assert sorted(((r.doc_id, r.n_shingles, r.same and bytes(r.same)) for r in facts.collect()),
+                  key=str) == want
+    holders = {}
+    for (i, s), digest in zip(sets, digests, strict=True):
+        for key in ngram_join.part_hashes(s, 80).tolist() if i is not None and len(s) else ():
+            holders.setdefault(key, set()).add(ngram_join.short_name(digest))
+    links = [(min(names), n) for names in holders.values() for n in names if len(names) > 1]
+    assert groups((r.a, r.b) for r in ties.collect()) == groups(links) != {}
+
+
+def test_classes_with_one_short_name_meet(spark):
+    name, other = b"12345", b"54321"
+    classes = spark.createDataFrame(
+        [(1, name + b"x"), (2, name + b"y"), (3, other), (4, b"alone"), (5, name + b"z")],
+        "rep long, same binary")
+    a, b = sorted(map(ngram_join.short_name, (name, other)))
+    none, one = [spark.createDataFrame(rows, "a long, b long") for rows in ([], [(a, b)])]
+    assert sorted(r.rep for r in ngram_join.tied_classes(none, classes).collect()) == [1, 2, 5]
+    tied = ngram_join.tied_classes(one, classes).collect()
+    assert sorted(r.rep for r in tied) == [1, 2, 3, 5] and {r.tied for r in tied} == {a}
+
+
+def test_part_hashes_are_on_disk_once(spark, monkeypatch):
+    rng = np.random.default_rng(11)
+    rows = [(i, " ".join(map(str, rng.integers(1 << 30, size=3000)))) for i in range(300)]
+    keys = sum(len(ngram_join.part_hashes(shingle_hashes(t, 3), 90)) for _, t in rows)
+    folder = Path(shared_folder(spark).removeprefix("file:"))
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager()
+
+    def on_disk():
+        files = blocks.diskBlockManager().getAllFiles()
+        return {files.apply(i).getName(): files.apply(i).length() for i in range(files.size())} | {
+            str(p): p.stat().st_size for p in folder.rglob("part-*")}
+
+    before, most = set(on_disk()), []
+
+    def measured(df, plain=ngram_join.materialized):
+        df = plain(df)
+        most.append(sum(size for name, size in on_disk().items() if name not in before))
+        return df
+
+    monkeypatch.setattr(ngram_join, "materialized", measured)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert ngram_join.join(docs).filter("component_id = doc_id").count() == 300
+    # Ten bytes each, and what names the rows that hold them.
+    assert 8 * keys < max(most) < 16 * keys
+
+
 def test_trie_links_with_deep_branches(monkeypatch):
     monkeypatch.setattr(ngram_join, "FLAT", 1)
     texts = random_texts(120, seed=9)
